@@ -301,7 +301,7 @@ def pending(spark: SparkSession, sf: str) -> DataFrame:
 def reassemble(spark: SparkSession, sf: str) -> DataFrame:
     """Outcomes finished in any order, back on their rows."""
     outcomes = t.pairs(spark, sf).orderBy(F.md5("generated_response")).select(
-        "row_id", F.upper("generated_response").alias("outcome")
+        "row_id", F.md5("generated_response").alias("outcome")
     )
     return rows.reassemble(t.pairs(spark, sf).select("row_id", "prompt"), outcomes)
 
