@@ -91,7 +91,7 @@ def parse_facts(spark: SparkSession, sf: str) -> DataFrame:
 def truncate_text(spark: SparkSession, sf: str) -> DataFrame:
     """What the classifier sees of a text."""
     cut = text.head("text")
-    return t.table(spark, sf, "documents").select(
+    return t.documents(spark, sf).select(
         "doc_id",
         F.md5(cut).alias("head_digest"),
         long(F.length(cut)).alias("head_chars"),
@@ -101,7 +101,7 @@ def truncate_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentences(spark: SparkSession, sf: str) -> DataFrame:
-    listed = t.table(spark, sf, "documents").select(
+    listed = t.documents(spark, sf).select(
         "doc_id", F.posexplode(text.sentences("text")).alias("sentence_no", "sentence")
     )
     return listed.withColumn("sentence_no", long("sentence_no"))
@@ -156,7 +156,7 @@ def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bm25_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(retrieve.corpus_stats(t.examples(spark, sf)))
+    return rounded(retrieve.corpus_stats(t.examples(spark, sf)).select("n_examples", "avg_len"))
 
 
 def _asked_sentences(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +246,7 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
         .when(variant == 4, F.replace(whole, F.lit("decisions"), F.lit("verdicts")))
         .when(variant == 5, F.lit('{"decisions": null}'))
     )
-    return t.table(spark, sf, "documents").select("doc_id", long(rx.count_yes(reply)).alias("n_yes"))
+    return t.documents(spark, sf).select("doc_id", long(rx.count_yes(reply)).alias("n_yes"))
 
 
 def refusals(spark: SparkSession, sf: str) -> DataFrame:
@@ -332,14 +332,13 @@ def _token_claims(spark: SparkSession, sf: str) -> DataFrame:
 
 def verify_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Claims whose words mostly occur in the ground truth of their row."""
-    supported = F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))
-    return _token_claims(spark, sf).select(
+    checked = _token_claims(spark, sf).select(
         "row_id",
         long(F.size("gen_facts")).alias("k_gen"),
         long(F.size("gt_facts")).alias("k_gt"),
-        long(supported).alias("supported"),
-        six(scoring.f1_at_k(supported, F.size("gen_facts"), F.size("gt_facts"))).alias("score"),
+        long(F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))).alias("supported"),
     )
+    return checked.withColumn("score", six(scoring.f1_at_k("supported", "k_gen", "k_gt")))
 
 
 def supported_claims(spark: SparkSession, sf: str) -> DataFrame:

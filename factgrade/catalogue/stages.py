@@ -240,12 +240,9 @@ def folder_stream(spark: SparkSession, sf: str) -> DataFrame:
             fx.sentence_facts("generated_response").alias("gen_facts"),
             fx.sentence_facts("response").alias("gt_facts"),
         )
-        supported = F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))
-        return listed.select(
-            "row_id",
-            _long(supported).alias("supported"),
-            F.round(scoring.f1_at_k(supported, F.size("gen_facts"), F.size("gt_facts")), 6).alias("score"),
-        )
+        checked = listed.withColumn("supported", _long(F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))))
+        score = scoring.f1_at_k("supported", F.size("gen_facts"), F.size("gt_facts"))
+        return checked.select("row_id", "supported", F.round(score, 6).alias("score"))
 
     def run() -> None:
         grade_folder(spark, f"{work}/in", schema, grade, f"{work}/out", f"{work}/state", files_per_batch=3)

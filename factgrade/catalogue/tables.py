@@ -9,11 +9,25 @@ from factgrade import fixed
 from factgrade.functions import facts as fx
 from factgrade.functions import scoring
 from factgrade.functions.text import sentences
-from factgrade.operators import verify
+from factgrade.operators import skew, verify
+
+
+# Known schemas save the pass over the file footers.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Documents with their text, on all cores even when the file is a single piece."""
+    return skew.spread(table(spark, sf, "documents").select("doc_id", "text", *columns), "doc_id")
 
 
 def pairs_raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +93,7 @@ def personas(spark: SparkSession, sf: str) -> DataFrame:
 
 def answers(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as answers: every sentence is one fact."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf, "lang", "source").select(
         "doc_id",
         F.col("lang").alias("domain"),
         F.col("source").alias("model"),

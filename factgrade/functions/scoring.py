@@ -37,17 +37,25 @@ def is_refusal(label: Column | str, score: Column | str) -> Column:
     return ~_column(label).isin(fixed.PASSING_LABELS) & (_column(score) >= fixed.REFUSAL_THRESHOLD)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, even inside a function over an array."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def overlapping_claims(claims: Column | str, references: Column | str, share: float = 0.5) -> Column:
     """Offline stand-in for the checking model: the claims whose words mostly occur in the reference facts.
 
     Both lists sit on the same row, so nothing is shuffled and no claim-fact pairs are built.
     """
-    known = F.array_distinct(F.flatten(F.transform(references, word_set)))
+    claims = _column(claims)
 
-    def supported(words: Column) -> Column:
+    def supported(words: Column, known: Column) -> Column:
         return (F.size(words) > 0) & (F.size(F.array_intersect(words, known)) >= share * F.size(words))
 
-    return F.filter(claims, lambda claim: supported(word_set(claim)))
+    return _let(
+        word_set(F.array_join(references, "\n")),
+        lambda known: F.filter(claims, lambda claim: _let(word_set(claim), lambda words: supported(words, known))),
+    )
 
 
 def exact_claims(claims: Column | str, references: Column | str) -> Column:

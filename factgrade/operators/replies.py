@@ -49,9 +49,10 @@ def best_replies(store: DataFrame) -> DataFrame:
     return store.groupBy("prompt_hash").agg(kept.alias("_r")).select("prompt_hash", "_r.reply", "_r.status")
 
 
-def join_replies(df: DataFrame, store: DataFrame, limit: int = skew.BROADCAST_LIMIT_BYTES) -> DataFrame:
+def join_replies(df: DataFrame, store: DataFrame, small: bool | None = None) -> DataFrame:
     """Give every row that asked a prompt its reply and status; a prompt may be asked by any share of the rows."""
-    joined = skew.lookup_join(df, best_replies(store), ["prompt_hash"], measure=store, limit=limit)
+    small = skew.fits_broadcast(store) if small is None else small
+    joined = skew.lookup_join(df, best_replies(store), ["prompt_hash"], small=small)
     return joined.withColumn("status", F.coalesce("status", F.lit("missing")))
 
 

@@ -5,7 +5,9 @@ Examples are ``(example_id, sentence, facts)``; of two equally good ones the hig
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from factgrade import fixed
@@ -14,10 +16,11 @@ from factgrade.operators import skew
 
 # Splitting at single spaces never yields a token that holds a space, so this one is free.
 PAD = " "
+FAN_OUT = 2
 
 
 def _postings(examples: DataFrame) -> DataFrame:
-    """(example_id, term, tf, len): how often each term occurs in each example."""
+    """(example_id, len, term, tf): how often each term occurs in each example."""
     listed = examples.select("example_id", tokens("sentence").alias("_t"))
     return (
         listed.select("example_id", F.size("_t").alias("len"), F.explode("_t").alias("term"))
@@ -27,53 +30,83 @@ def _postings(examples: DataFrame) -> DataFrame:
 
 
 def corpus_stats(examples: DataFrame) -> DataFrame:
-    """One row: number of examples and their mean length in tokens."""
-    return examples.select(F.size(tokens("sentence")).alias("len")).agg(
-        F.count("*").alias("n_examples"), F.avg("len").alias("avg_len")
+    """One row: number of examples, their mean length in tokens, and a bound on the weight table's bytes."""
+    length = F.size(tokens("sentence"))
+    return examples.agg(
+        F.count("*").alias("n_examples"),
+        F.avg(length).alias("avg_len"),
+        F.sum(F.octet_length("sentence") + 256 * length).alias("weight_bytes"),
     )
 
 
-def _raw_idf(n: Column, df: Column) -> Column:
+def _raw_idf(n: int, df: Column) -> Column:
     return F.log(n - df + 0.5) - F.log(df + 0.5)
 
 
+def _idf_summary(examples: DataFrame, n: int) -> Row:
+    """Mean and lowest idf over the terms, before any replacement."""
+    df = _postings(examples).groupBy("term").agg(F.count("*").alias("df"))
+    return df.agg(F.avg(_raw_idf(n, F.col("df"))).alias("mean"), F.min(_raw_idf(n, F.col("df"))).alias("low")).first()
+
+
+def _idf(n: int, mean: float | None, df: Column) -> Column:
+    """An idf below zero becomes a fixed part of the mean idf."""
+    raw = _raw_idf(n, df)
+    return F.when(raw < 0, fixed.BM25_EPSILON * (mean or 0.0)).otherwise(raw)
+
+
 def term_stats(examples: DataFrame) -> DataFrame:
-    """(term, df, idf); an idf below zero becomes a fixed part of the mean idf before replacement."""
-    n = corpus_stats(examples).select("n_examples").scalar()
-    raw = _postings(examples).groupBy("term").agg(F.count("*").alias("df")).withColumn("_idf", _raw_idf(n, F.col("df")))
-    mean = raw.agg(F.avg("_idf").alias("m")).select("m").scalar()
-    floor = fixed.BM25_EPSILON * mean
-    return raw.select("term", "df", F.when(F.col("_idf") < 0, floor).otherwise(F.col("_idf")).alias("idf"))
+    """(term, df, idf)."""
+    n = corpus_stats(examples).first()["n_examples"]
+    mean = _idf_summary(examples, n)["mean"]
+    found = _postings(examples).groupBy("term").agg(F.count("*").alias("df"))
+    return found.withColumn("idf", _idf(n, mean, F.col("df")))
 
 
-def term_weights(examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> DataFrame:
-    """(term, example_id, weight): what one occurrence of a term in a query adds to an example's score.
+@dataclass(frozen=True)
+class Weights:
+    """``table`` is (term, example_id, weight): what one occurrence of a term in a query adds to a score.
 
     The pad term gives weight 0 to the examples that win when nothing matches: the last ones.  Should any
     weight be negative, an example that shares no term can beat one that does, so all are padded then.
+    ``small`` says whether the table may be broadcast.
     """
-    avg_len = corpus_stats(examples).select("avg_len").scalar()
-    terms = term_stats(examples)
-    tf = F.col("tf")
-    norm = fixed.BM25_K1 * (1 - fixed.BM25_B + fixed.BM25_B * F.col("len") / avg_len)
-    weight = F.col("idf") * tf * (fixed.BM25_K1 + 1) / (tf + norm)
-    scored = _postings(examples).join(terms, "term").select("term", "example_id", weight.alias("weight"))
-    lowest = terms.agg(F.min("idf").alias("low")).select("low").scalar()
-    last = examples.select("example_id").orderBy(F.desc("example_id")).limit(n)
-    padded = last.unionByName(examples.where(lowest < 0).select("example_id"))
-    return scored.unionByName(padded.select(F.lit(PAD).alias("term"), "example_id", F.lit(0.0).alias("weight")))
 
+    table: DataFrame
+    small: bool
 
-def top_examples(sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> DataFrame:
-    """(sentence, rank, example_id, score) for each distinct sentence; ties go to the higher index.
 
-    Sentences are shuffled once, to drop repeats; scoring and ranking then stay inside the partition.
+def term_weights(examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> Weights:
+    """Weights of an example corpus.  Two one-row results come to the driver: corpus figures and mean idf."""
+    corpus = corpus_stats(examples).first()
+    idf = _idf_summary(examples, corpus["n_examples"])
+    tf, avg_len = F.col("tf"), corpus["avg_len"] or 1.0
+    df = F.count("*").over(Window.partitionBy("term"))
+    norm = fixed.BM25_K1 * (1 - fixed.BM25_B + fixed.BM25_B * F.col("len") / avg_len)
+    weight = _idf(corpus["n_examples"], idf["mean"], F.col("df")) * tf * (fixed.BM25_K1 + 1) / (tf + norm)
+    scored = _postings(examples).withColumn("df", df).select("term", "example_id", weight.alias("weight"))
+    padded = examples.select("example_id")
+    if (idf["mean"] or 0.0) >= 0:
+        padded = padded.orderBy(F.desc("example_id")).limit(n)
+    pads = padded.select(F.lit(PAD).alias("term"), "example_id", F.lit(0.0).alias("weight"))
+    return Weights(scored.unionByName(pads), (corpus["weight_bytes"] or 0) <= skew.BROADCAST_LIMIT_BYTES)
+
+
+def top_examples(
+    sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN, weights: Weights | None = None
+) -> DataFrame:
+    """(sentence, rank, example_id, score) for each distinct sentence; ties go to the higher id.
+
+    Repeats are dropped first.  The sentences left are spread over more partitions than the shuffle made,
+    because each grows by the number of examples it shares a term with; from there on scoring and ranking stay
+    in the partition.
     """
-    weights = term_weights(examples, n)
+    weights = weights or term_weights(examples, n)
     asked = sentences.select("sentence").where(F.col("sentence").isNotNull()).distinct()
+    asked = asked.repartition(FAN_OUT * skew.shuffle_partitions(asked), "sentence")
     query = asked.select("sentence", F.explode(F.concat(tokens("sentence"), F.array(F.lit(PAD)))).alias("term"))
     scored = (
-        skew.lookup_join(query, weights, ["term"], "inner", measure=_measured(examples))
+        skew.lookup_join(query, weights.table, ["term"], "inner", small=weights.small)
         .groupBy("sentence", "example_id")
         .agg(F.round(F.sum("weight"), 6).alias("score"))
     )
@@ -85,20 +118,11 @@ def top_examples(sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMP
     )
 
 
-def _measured(examples: DataFrame) -> DataFrame:
-    """At least as many bytes as the weight table: one row per token."""
-    return examples.select("example_id", F.explode(tokens("sentence")).alias("term"), F.lit(0.0).alias("weight"))
-
-
 def with_examples(sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> DataFrame:
     """(sentence, examples): each distinct sentence with its best examples, best first."""
-    chosen = top_examples(sentences, examples, n)
-    shown = skew.lookup_join(chosen, examples.select("example_id", "sentence", "facts").withColumnRenamed(
-        "sentence", "shown"), ["example_id"], "inner")
-    entry = F.struct("rank", F.col("shown").alias("sentence"), "facts")
-    return shown.groupBy("sentence").agg(F.sort_array(F.collect_list(entry)).alias("_e")).select(
-        "sentence",
-        F.transform("_e", lambda e: F.struct(e["sentence"].alias("sentence"), e["facts"].alias("facts"))).alias(
-            "examples"
-        ),
-    )
+    weights = term_weights(examples, n)
+    chosen = top_examples(sentences, examples, n, weights)
+    texts = examples.select("example_id", F.struct("sentence", "facts").alias("shown"))
+    listed = skew.lookup_join(chosen, texts, ["example_id"], "inner", small=weights.small)
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "shown")))
+    return listed.groupBy("sentence").agg(F.transform(ranked, lambda r: r["shown"]).alias("examples"))

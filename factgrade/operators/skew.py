@@ -6,8 +6,11 @@ shuffle join in which the rows of each hot key are spread over several partition
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 HOT_FACTOR = 4
@@ -16,16 +19,41 @@ MIN_SAMPLED = 20
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table, taken by one parallel pass over it."""
-    per_row = F.octet_length(F.to_json(F.struct("*"))) + F.lit(64)
-    return df.select(per_row.alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+    """Size of a table, taken by one parallel pass over it: text by its length, 64 bytes for anything else."""
+
+    def size(field: T.StructField) -> Column:
+        c = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            found = F.octet_length(c) + 64
+        elif field.dataType == T.ArrayType(T.StringType()):
+            found = F.octet_length(F.array_join(c, "")) + 64 * F.size(c)
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            found = 8 * F.octet_length(F.to_json(c))
+        else:
+            return F.lit(64)
+        return F.coalesce(found, F.lit(64))
+
+    row = reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(64))
+    return df.select(row.cast("bigint").alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+
+
+def fits_broadcast(*tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether tables together stay under the limit."""
+    total = 0
+    for df in tables:
+        total += measured_bytes(df)
+        if total > limit:
+            return False
+    return True
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a table that was read in fewer pieces than half the cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df
 
 
-def _partitions(df: DataFrame) -> int:
+def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -35,7 +63,7 @@ def hot_keys(df: DataFrame, keys: list[str], fraction: float = SAMPLE_FRACTION)
     At most ``partitions / HOT_FACTOR`` keys can qualify, so the result is small whatever the input.  It is
     estimated on a sample: a key that is missed or found in error changes the layout, never the result.
     """
-    parts = _partitions(df)
+    parts = shuffle_partitions(df)
     sampled = df.select(*keys).na.drop().sample(fraction, seed=7) if fraction < 1 else df.select(*keys).na.drop()
     counts = sampled.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("t")).select("t").scalar()
@@ -67,17 +95,13 @@ def salted_join(
 
 
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "left",
-    measure: DataFrame | None = None,
-    limit: int = BROADCAST_LIMIT_BYTES,
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", small: bool | None = None
 ) -> DataFrame:
     """Join a large table to a reference table whose size decides the strategy.
 
-    ``measure`` is a cheaper table that is at least as large as ``right``, when there is one.
+    ``small`` is the outcome of ``fits_broadcast`` on the table the reference was made from; without it the
+    reference itself is measured.
     """
-    if fits_broadcast(right if measure is None else measure, limit):
+    if fits_broadcast(right) if small is None else small:
         return left.join(F.broadcast(right), keys, how)
     return salted_join(left, right, keys, how)

@@ -42,8 +42,9 @@ def stitch(
     order = ["row_id"] if "row_id" in reference.columns else []
     slim = reference.select(F.col("prompt").cast("string").alias("prompt"), *order, *facts)
     generated = generated.withColumn("prompt", F.col("prompt").cast("string"))
+    small = skew.fits_broadcast(slim, limit=limit)
     if not keep_duplicates:
-        return skew.lookup_join(generated, reference_by_prompt(slim), ["prompt"], measure=slim, limit=limit)
-    joined = skew.lookup_join(generated, _copies(slim), ["prompt"], measure=slim, limit=limit)
+        return skew.lookup_join(generated, reference_by_prompt(slim), ["prompt"], small=small)
+    joined = skew.lookup_join(generated, _copies(slim), ["prompt"], small=small)
     copy = F.sequence(F.lit(1), F.coalesce(F.col("_copies").cast("int"), F.lit(1)))
     return joined.withColumn("_copy", F.explode(copy)).drop("_copy", "_copies")

@@ -63,6 +63,7 @@ def match_reference(
     A fact is first reduced to its lowest item, so a fact that many items share never multiplies rows; text
     that matches nothing leaves the plan at the join.
     """
+    small = skew.fits_broadcast(references, limit=limit)
     lowest = (
         references.select("item_id", F.explode(F.array_distinct("gt_facts")).alias("fact"))
         .groupBy("fact")
@@ -70,9 +71,9 @@ def match_reference(
     )
     carried = [c for c in answers.columns if c not in ("doc_id", "gen_facts")]
     claims = answers.select("doc_id", *carried, F.explode_outer(F.array_distinct("gen_facts")).alias("fact"))
-    found = skew.lookup_join(claims, lowest, ["fact"], measure=references, limit=limit)
+    found = skew.lookup_join(claims, lowest, ["fact"], small=small)
     quoted = F.collect_set(F.when(F.col("item_id").isNotNull(), F.col("fact")))
     chosen = found.groupBy("doc_id").agg(
         F.min("item_id").alias("item_id"), quoted.alias("quoted"), *[F.any_value(c).alias(c) for c in carried]
     )
-    return skew.lookup_join(chosen, references, ["item_id"], measure=references, limit=limit)
+    return skew.lookup_join(chosen, references, ["item_id"], small=small)

@@ -71,6 +71,10 @@ def check_claim_by_claim(
     )
 
 
+def _text(df: DataFrame, side: str, column: str) -> DataFrame:
+    return df.select("row_id", F.lit(side).alias("side"), F.col(column).alias("text"))
+
+
 def evaluate(
     df: DataFrame,
     reference: DataFrame | None = None,
@@ -105,16 +109,22 @@ def evaluate(
         base = base.withColumns({"is_abstained": F.lit(False), "abstention_type": F.lit(None).cast("string")})
     base = storage.materialise(base, "flagged")
 
+    # Ground truths without facts and the answers that were not refused are split in one go.
+    parts = [_text(base.where(~F.coalesce("is_abstained", F.lit(False))), "answer", "generated_response")]
     if reference is None:
-        open_rows = base.where(F.coalesce(F.size("response_facts"), F.lit(0)) <= 0) if has_facts else base
-        truth = derive_facts(open_rows, "response", f"{store}/split", split_backend, examples, "row_id", parallel, commits)
-        base = rows.reassemble(base, truth.select("row_id", F.col("facts").alias("derived")))
-        base = clean.reuse_facts(base, F.coalesce("derived", fx.no_facts())).drop("derived")
-
-    answers = base.where(~F.coalesce("is_abstained", F.lit(False)))
-    found = derive_facts(
-        answers, "generated_response", f"{store}/split", split_backend, examples, "row_id", parallel, commits
-    ).select("row_id", F.col("facts").alias("gen_facts"), F.col("failed_calls").alias("split_failed"))
+        missing = base.where(F.coalesce(F.size("response_facts"), F.lit(0)) <= 0) if has_facts else base
+        parts.append(_text(missing, "truth", "response"))
+    split = derive_facts(
+        rows.union_all(parts), "text", f"{store}/split", split_backend, examples, ("row_id", "side"), parallel, commits
+    )
+    if split_backend is not None:
+        split = storage.materialise(split, "split")
+    found = split.where(F.col("side") == "answer").select(
+        "row_id", F.col("facts").alias("gen_facts"), F.col("failed_calls").alias("split_failed")
+    )
+    if reference is None:
+        truth = split.where(F.col("side") == "truth").select("row_id", F.col("facts").alias("derived"))
+        base = clean.reuse_facts(rows.reassemble(base, truth), F.coalesce("derived", fx.no_facts())).drop("derived")
     graded = (
         rows.reassemble(base, found)
         .withColumn("gen_facts", F.coalesce("gen_facts", fx.no_facts()))

@@ -14,9 +14,9 @@ from factgrade.operators import replies, retrieve, skew
 from factgrade.sources import storage
 
 
-def sentence_rows(df: DataFrame, text: str, key: str = "row_id") -> DataFrame:
-    """(key, sentence_no, sentence), numbered from 0."""
-    return df.select(key, F.posexplode(sentences(text)).alias("sentence_no", "sentence"))
+def sentence_rows(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """(keys, sentence_no, sentence), numbered from 0."""
+    return df.select(*keys, F.posexplode(sentences(text)).alias("sentence_no", "sentence"))
 
 
 def split_prompts(sentence_table: DataFrame, examples: DataFrame | None = None) -> DataFrame:
@@ -30,11 +30,12 @@ def split_prompts(sentence_table: DataFrame, examples: DataFrame | None = None)
     return replies.with_prompt_hash(asked)
 
 
-def collect_facts(fact_rows: DataFrame, key: str = "row_id") -> DataFrame:
-    """(key, facts) from (key, sentence_no, facts): the lists of a text's sentences, joined in order."""
+def collect_facts(fact_rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, facts, failed_calls): the fact lists of a text's sentences, joined in order."""
     ordered = F.sort_array(F.collect_list(F.struct("sentence_no", "facts")))
-    return fact_rows.groupBy(key).agg(ordered.alias("_o")).select(
-        key, F.flatten(F.transform("_o", lambda o: o["facts"])).alias("facts")
+    return fact_rows.groupBy(*keys).agg(
+        F.flatten(F.transform(ordered, lambda o: o["facts"])).alias("facts"),
+        F.sum("failed").cast("int").alias("failed_calls"),
     )
 
 
@@ -44,34 +45,30 @@ def derive_facts(
     store: str,
     make_backend: Callable | None,
     examples: DataFrame | None = None,
-    key: str = "row_id",
+    keys: tuple[str, ...] = ("row_id",),
     parallel: int | None = None,
     commits: int = 1,
 ) -> DataFrame:
-    """(key, facts, failed_calls) of a text column; texts without sentences are left out.
+    """(keys, facts, failed_calls) of a text column; texts without sentences may be left out.
 
     Without a backend every sentence is one fact and nothing leaves the row.
     """
+    keys = list(keys)
     if make_backend is None:
-        return df.select(key, fx.sentence_facts(text).alias("facts"), F.lit(0).alias("failed_calls"))
-    rows = storage.materialise(sentence_rows(df, text, key), "sentences")
+        return df.select(*keys, fx.sentence_facts(text).alias("facts"), F.lit(0).alias("failed_calls"))
+    rows = storage.materialise(sentence_rows(df, text, keys), "sentences")
     prompts = storage.materialise(split_prompts(rows, examples), "prompts")
     stored = replies.ask_pending(
-        replies.distinct_prompts(prompts), store, make_backend, parallel, commits=commits
+        prompts.select("prompt_hash", "messages"), store, make_backend, parallel, commits=commits
     )
-    answered = replies.join_replies(prompts.select("sentence", "prompt_hash"), stored)
-    per_sentence = answered.select(
+    asked = prompts.select("sentence", "prompt_hash")
+    small = skew.fits_broadcast(stored, asked)
+    per_sentence = replies.join_replies(asked, stored, small).select(
         "sentence",
         F.when(F.col("status") == "ok", fx.listed_facts("reply")).otherwise(fx.no_facts()).alias("facts"),
         (F.col("status") != "ok").cast("int").alias("failed"),
     )
-    listed = skew.lookup_join(rows, per_sentence, ["sentence"])
-    ordered = F.sort_array(F.collect_list(F.struct("sentence_no", "facts")))
-    return (
-        listed.groupBy(key)
-        .agg(ordered.alias("_o"), F.sum("failed").cast("int").alias("failed_calls"))
-        .select(key, F.flatten(F.transform("_o", lambda o: o["facts"])).alias("facts"), "failed_calls")
-    )
+    return collect_facts(skew.lookup_join(rows, per_sentence, ["sentence"], small=small), keys)
 
 
 def prepare(
