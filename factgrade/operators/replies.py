@@ -110,7 +110,8 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], REPLY_SCHEMA)
+        empty = F.lit(None).cast("string")
+        return spark.range(0).select(*[empty.alias(c) for c in ("prompt_hash", "reply", "status")])
 
 
 def append_replies(replies: DataFrame, path: str) -> None:

@@ -57,19 +57,22 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], fraction: float = SAMPLE_FRACTION) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], fraction: float = SAMPLE_FRACTION) -> DataFrame | None:
     """Keys that would fill more than ``HOT_FACTOR`` average partitions, with the pieces to cut them into.
 
-    At most ``partitions / HOT_FACTOR`` keys can qualify, so the result is small whatever the input.  It is
-    estimated on a sample: a key that is missed or found in error changes the layout, never the result.
+    At most ``partitions / HOT_FACTOR`` keys can qualify, so they are few whatever the input, and they are fixed
+    here: both sides of a join see the same list.  They are estimated on a sample; a key that is missed or found
+    in error changes the layout of a join, never its result.
     """
     parts = shuffle_partitions(df)
-    sampled = df.select(*keys).na.drop().sample(fraction, seed=7) if fraction < 1 else df.select(*keys).na.drop()
+    sampled = df.select(*keys).sample(fraction, seed=7) if fraction < 1 else df.select(*keys)
     counts = sampled.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).select("t").scalar()
-    return counts.where(
-        (F.col("_n") * parts > HOT_FACTOR * total) & (F.col("_n") >= MIN_SAMPLED)
-    ).select(*keys, F.ceil(F.col("_n") * parts / total).cast("int").alias("_pieces"))
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    pieces = F.ceil(F.col("_n") * parts / max(total, 1)).cast("int")
+    hot = counts.where((F.col("_n") * parts > HOT_FACTOR * total) & (F.col("_n") >= MIN_SAMPLED))
+    hot = hot.select(*keys, pieces.alias("_pieces"))
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def salted_join(
@@ -77,17 +80,21 @@ def salted_join(
 ) -> DataFrame:
     """``left`` (possibly skewed) joined to ``right``; hot keys are spread over their pieces.
 
-    The piece of a left row depends on its contents only, so a recomputed task puts it where it was.
-    The right rows of a hot key are repeated once per piece; all other rows are shuffled once.
+    The piece of a left row depends on its contents only, so a recomputed task puts it where it was.  The right
+    rows of a hot key are repeated once per piece, all other rows are shuffled once.  Rows with a null key match
+    nothing and are spread too.  Without hot keys this is an ordinary join.
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports left and inner joins")
-    hot = F.broadcast(hot_keys(left, keys, fraction))
+    hot = hot_keys(left, keys, fraction)
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
     others = [c for c in left.columns if c not in keys]
-    spread = F.pmod(F.xxhash64(*others), F.col("_pieces")) if others else F.lit(0)
-    salted_left = left.join(hot, keys, "left").withColumn(
-        "_piece", F.coalesce(spread.cast("int"), F.lit(0))
-    )
+    mixed = F.xxhash64(*others) if others else F.lit(0)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    pieces = F.when(no_key, shuffle_partitions(left)).otherwise(F.coalesce(F.col("_pieces"), F.lit(1)))
+    salted_left = left.join(hot, keys, "left").withColumn("_piece", F.pmod(mixed, pieces).cast("int"))
     salted_right = right.join(hot, keys, "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factgrade import fixed
@@ -11,9 +11,10 @@ from factgrade.functions.text import label_id
 from factgrade.operators import skew
 
 
-def label_table(spark) -> DataFrame:
+def label_table(spark: SparkSession) -> DataFrame:
     """The six classes of the refusal classifier."""
-    return spark.createDataFrame(list(fixed.LABEL_MEANINGS.items()), "label_id int, meaning string")
+    entries = [F.struct(F.lit(k).alias("label_id"), F.lit(v).alias("meaning")) for k, v in fixed.LABEL_MEANINGS.items()]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def flag_refusals(df: DataFrame, label: str = "label", score: str = "label_score") -> DataFrame:

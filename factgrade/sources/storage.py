@@ -66,7 +66,7 @@ def write_results(results: DataFrame, base: str, form: str = "parquet", when: da
         else []
     )
     text = report.render(report.summary(stored).first(), breakdown)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}_summary")
+    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(f"{path}_summary")
     return path
 
 
