@@ -7,10 +7,12 @@ import os
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "factgrade", memory: str = "16g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "factgrade", memory: str = "16g", checkpoints: str | None = None
+) -> SparkSession:
     """A session on one machine.  On a cluster, take these settings and leave the partitions to its size."""
     n = os.cpu_count() if cores == "*" else int(cores)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -22,5 +24,7 @@ def local_session(cores: int | str = "*", app: str = "factgrade", memory: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Text work is heavy per byte: small shuffles still use all cores.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        .getOrCreate()
     )
+    if checkpoints:
+        builder = builder.config("spark.checkpoint.dir", checkpoints)
+    return builder.getOrCreate()

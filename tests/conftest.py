@@ -11,8 +11,8 @@ TESTDATA = os.environ.get("FACTGRADE_TESTDATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests", memory="8g")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests", memory="8g", checkpoints=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
