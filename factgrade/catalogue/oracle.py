@@ -408,6 +408,7 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= {fixed.SUBSET
 FROM documents""",
     "csv_roundtrip": ROUNDTRIP,
     "json_roundtrip": ROUNDTRIP,
+    "folder_read": with_(PAIRS_RAW) + "SELECT row_id AS id, prompt, response, true AS named FROM pairs_raw",
     "results_written": with_(*ALL_RESULTS)
     + "SELECT doc_id, domain, model, is_abstained, round(score, 6) AS score FROM results",
     "partitioned_write": with_(*ALL_RESULTS)

@@ -510,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hot_prompt_join,
         stages.csv_roundtrip,
         stages.json_roundtrip,
+        stages.folder_read,
         stages.results_written,
         stages.partitioned_write,
         stages.reply_stage,

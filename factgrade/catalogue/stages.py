@@ -63,6 +63,15 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def folder_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Several CSV files of one folder as one table, with the file each row came from."""
+    df = t.pairs(spark, sf).select(F.col("row_id").alias("id"), "prompt", "response").repartition(4, "id")
+    path = storage.write_table(df, storage.shared_folder(spark, "folder"), "csv")
+    back = src.read_folder(spark, path, schema="id bigint, prompt string, response string")
+    named = F.startswith(src.source_id("source_file"), F.lit("part-"))
+    return back.select("id", "prompt", "response", named.alias("named"))
+
+
 def results_written(spark: SparkSession, sf: str) -> DataFrame:
     """Results under a time-stamped name, with their summary text."""
     path = storage.write_results(t.results(spark, sf), storage.shared_folder(spark, "results"))

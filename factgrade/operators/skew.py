@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
 HOT_FACTOR = 4
 SAMPLE_FRACTION = 0.01
 MIN_SAMPLED = 20
@@ -33,12 +34,18 @@ def measured_bytes(df: DataFrame) -> int:
             return F.lit(64)
         return F.coalesce(found, F.lit(64))
 
-    row = reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(64))
+    row = reduce(lambda a, b: a + b, [size(f) for f in df.schema.fields], F.lit(ROW_BYTES))
     return df.select(row.cast("bigint").alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
 
 
 def fits_broadcast(*tables: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    """Whether tables together stay under the limit."""
+    """Whether tables together stay under the limit.
+
+    Rows are counted first, which costs a stored table no more than its footers: one with too many rows is
+    never read for this.
+    """
+    if sum(df.count() for df in tables) * ROW_BYTES > limit:
+        return False
     total = 0
     for df in tables:
         total += measured_bytes(df)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factgrade.functions import facts as fx
@@ -75,6 +75,50 @@ def _text(df: DataFrame, side: str, column: str) -> DataFrame:
     return df.select("row_id", F.lit(side).alias("side"), F.col(column).alias("text"))
 
 
+def _not_refused() -> Column:
+    return ~F.coalesce(F.col("is_abstained"), F.lit(False))
+
+
+def _facts_in_row(base: DataFrame, truth_from_text: bool) -> DataFrame:
+    """Fact lists without a model: both come from the row itself, so nothing is shuffled."""
+    if truth_from_text:
+        base = clean.reuse_facts(base, fx.sentence_facts("response"))
+    gen = F.when(_not_refused(), fx.sentence_facts("generated_response")).otherwise(fx.no_facts())
+    return base.withColumn("gen_facts", gen).withColumn("split_failed", F.lit(0))
+
+
+def _facts_from_replies(
+    base: DataFrame,
+    truth_from_text: bool,
+    store: str,
+    backend: Callable,
+    examples: DataFrame | None,
+    parallel: int | None,
+    commits: int,
+) -> DataFrame:
+    """Fact lists from a splitting model.
+
+    Ground truths without facts and the answers that were not refused are split in one go.  Only keys, flags
+    and fact lists are joined here; the texts of the dataset stay where they are.
+    """
+    has_facts = "response_facts" in base.columns
+    parts = [_text(base.where(_not_refused()), "answer", "generated_response")]
+    if truth_from_text:
+        missing = base.where(F.coalesce(F.size("response_facts"), F.lit(0)) <= 0) if has_facts else base
+        parts.append(_text(missing, "truth", "response"))
+    split = derive_facts(rows.union_all(parts), "text", store, backend, examples, ("row_id", "side"), parallel, commits)
+    split = storage.materialise(split, "split")
+    slim = base.select("row_id", "is_abstained", *(["response_facts"] if has_facts else []))
+    found = split.where(F.col("side") == "answer").select(
+        "row_id", F.col("facts").alias("gen_facts"), F.col("failed_calls").alias("split_failed")
+    )
+    slim = rows.reassemble(slim, found)
+    if truth_from_text:
+        truth = split.where(F.col("side") == "truth").select("row_id", F.col("facts").alias("derived"))
+        slim = clean.reuse_facts(rows.reassemble(slim, truth), F.coalesce("derived", fx.no_facts())).drop("derived")
+    return slim.withColumn("gen_facts", F.coalesce("gen_facts", fx.no_facts()))
+
+
 def evaluate(
     df: DataFrame,
     reference: DataFrame | None = None,
@@ -99,7 +143,6 @@ def evaluate(
     base = with_row_id(clean.clean_evaluation(df))
     if reference is not None:
         base = stitch.stitch(base, clean.read_fact_column(reference, lines=True))
-    has_facts = "response_facts" in base.columns
     if make_classifier is not None:
         base = replies.classify(base, make_classifier)
         base = verify.flag_refusals(
@@ -109,44 +152,36 @@ def evaluate(
         base = base.withColumns({"is_abstained": F.lit(False), "abstention_type": F.lit(None).cast("string")})
     base = storage.materialise(base, "flagged")
 
-    # Ground truths without facts and the answers that were not refused are split in one go.
-    parts = [_text(base.where(~F.coalesce("is_abstained", F.lit(False))), "answer", "generated_response")]
-    if reference is None:
-        missing = base.where(F.coalesce(F.size("response_facts"), F.lit(0)) <= 0) if has_facts else base
-        parts.append(_text(missing, "truth", "response"))
-    split = derive_facts(
-        rows.union_all(parts), "text", f"{store}/split", split_backend, examples, ("row_id", "side"), parallel, commits
-    )
-    if split_backend is not None:
-        split = storage.materialise(split, "split")
-    found = split.where(F.col("side") == "answer").select(
-        "row_id", F.col("facts").alias("gen_facts"), F.col("failed_calls").alias("split_failed")
-    )
-    if reference is None:
-        truth = split.where(F.col("side") == "truth").select("row_id", F.col("facts").alias("derived"))
-        base = clean.reuse_facts(rows.reassemble(base, truth), F.coalesce("derived", fx.no_facts())).drop("derived")
-    graded = (
-        rows.reassemble(base, found)
-        .withColumn("gen_facts", F.coalesce("gen_facts", fx.no_facts()))
-        .withColumn("no_reference", F.col("response_facts").isNull())
-        .withColumn("gt_facts", F.coalesce("response_facts", fx.no_facts()))
+    texts = ["prompt", "domain", "generated_response", "abstention_type"]
+    domain = F.col("serviceDomain") if "serviceDomain" in base.columns else F.lit(None)
+    base = base.withColumn("domain", domain.cast("string"))
+    if split_backend is None:
+        # With a checking model rows are joined later, so their texts are left out until the end.
+        listed = _facts_in_row(base, reference is None)
+        listed = listed if check_backend is None else listed.drop(*texts)
+    else:
+        listed = _facts_from_replies(
+            base, reference is None, f"{store}/split", split_backend, examples, parallel, commits
+        )
+    graded = listed.withColumn("no_reference", F.col("response_facts").isNull()).withColumn(
+        "gt_facts", F.coalesce("response_facts", fx.no_facts())
     )
     if check_backend is None:
-        supported = F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))
-        scored = verify.score_rows(graded, supported).withColumn("check_failed", F.lit(0))
+        graded = graded.withColumn("check_failed", F.lit(0))
+        scored = verify.score_rows(graded, F.size(scoring.overlapping_claims("gen_facts", "gt_facts")))
     else:
-        graded = storage.materialise(graded, "claims")
+        graded = storage.materialise(
+            graded.select("row_id", "is_abstained", "gen_facts", "gt_facts", "no_reference", "split_failed"), "claims"
+        )
         check = check_in_one_call if one_call else check_claim_by_claim
-        outcome = check(
-            graded.where(~F.coalesce("is_abstained", F.lit(False))), f"{store}/check", check_backend, parallel, commits
-        ).withColumnRenamed("failed_calls", "check_failed")
-        joined = rows.reassemble(graded, outcome)
+        outcome = check(graded.where(_not_refused()), f"{store}/check", check_backend, parallel, commits)
+        joined = rows.reassemble(graded, outcome.withColumnRenamed("failed_calls", "check_failed"))
         scored = verify.score_rows(joined, F.col("supported"))
     failed_calls = F.coalesce("split_failed", F.lit(0)) + F.coalesce("check_failed", F.lit(0))
-    domain = F.col("serviceDomain").cast("string") if "serviceDomain" in scored.columns else F.lit(None).cast("string")
+    if "prompt" not in scored.columns:
+        scored = rows.reassemble(base.select("row_id", *texts), scored)
     return (
-        scored.withColumn("domain", domain)
-        .withColumn("failed_calls", failed_calls)
+        scored.withColumn("failed_calls", failed_calls)
         .withColumn(
             "status",
             F.when(F.col("is_abstained"), "refused")
