@@ -352,6 +352,10 @@ FROM (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN {WHOLE_DECISIONS} WHEN 1 THEN {
     CASE length(s) % 3 WHEN 0 THEN 'YES' WHEN 1 THEN 'no' ELSE 'Yes' END) AS d FROM documents))""",
     "refusals": with_(CLASSIFIED, FLAGGED)
     + "SELECT doc_id, label_id, round(label_score, 6) AS label_score, is_abstained, abstention_type FROM flagged",
+    "keyword_refusals": f"""SELECT conv_id, turn, f AS is_abstained, CASE WHEN f THEN {meaning('0')} END AS abstention_type
+FROM (SELECT conv_id, turn, regexp_matches(lower(CASE conv_id % 4 WHEN 0 THEN 'I''m sorry, but no. '
+    WHEN 1 THEN 'Was an aide. ' ELSE '' END || text), '\\b(?:{"|".join(p.replace("'", "''") for p in fixed.REFUSAL_PHRASES)})\\b') AS f
+  FROM conversations WHERE role = 'assistant')""",
     "reply_status": f"SELECT doc_id, {status('r')} AS status FROM (SELECT doc_id, {STATUS_REPLY} AS r FROM documents)",
     "prompt_dedupe": f"""SELECT doc_id, md5(text) AS prompt_hash, {lit(fixed.MOCK_REPLY)} AS reply, 'ok' AS status
 FROM documents""",

@@ -142,12 +142,12 @@ def _stitched(df: DataFrame) -> DataFrame:
 
 def stitch_facts(spark: SparkSession, sf: str) -> DataFrame:
     """One fact list per prompt: rows in = rows out."""
-    return _stitched(stitch.stitch(t.pairs(spark, sf), t.prepared(spark, sf)))
+    return _stitched(stitch.stitch(t.pairs(spark, sf), t.stored_prepared(spark, sf)))
 
 
 def stitch_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Answers repeated for every reference row of their prompt."""
-    return _stitched(stitch.stitch(t.pairs(spark, sf), t.prepared(spark, sf), keep_duplicates=True))
+    return _stitched(stitch.stitch(t.pairs(spark, sf), t.stored_prepared(spark, sf), keep_duplicates=True))
 
 
 def bm25_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,6 +269,14 @@ def _status_reply() -> Column:
     )
 
 
+def keyword_refusals(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers that refuse in words; the shared texts hold no such phrase, so some get one."""
+    said = t.table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    phrase = F.when(F.col("conv_id") % 4 == 0, "I'm sorry, but no. ").when(F.col("conv_id") % 4 == 1, "Was an aide. ")
+    df = said.select("conv_id", "turn", F.concat(F.coalesce(phrase, F.lit("")), "text").alias("generated_response"))
+    return verify.flag_by_keywords(df).select("conv_id", "turn", "is_abstained", "abstention_type")
+
+
 def reply_status(spark: SparkSession, sf: str) -> DataFrame:
     return t.table(spark, sf, "documents").select("doc_id", rx.reply_status(_status_reply()).alias("status"))
 
@@ -485,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         option_match,
         decisions,
         refusals,
+        keyword_refusals,
         reply_status,
         prompt_dedupe,
         pending,

@@ -182,8 +182,7 @@ def _outcome(df: DataFrame) -> DataFrame:
 
 def evaluate_offline(spark: SparkSession, sf: str) -> DataFrame:
     """Answers graded against prepared facts without a model."""
-    reference = storage.materialise(t.prepared(spark, sf), "reference")
-    return _outcome(ev.evaluate(t.pairs(spark, sf), reference, make_classifier=_length_classifier()))
+    return _outcome(ev.evaluate(t.pairs(spark, sf), t.stored_prepared(spark, sf), make_classifier=_length_classifier()))
 
 
 def _splitter():

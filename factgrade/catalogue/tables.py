@@ -10,6 +10,7 @@ from factgrade.functions import facts as fx
 from factgrade.functions import scoring
 from factgrade.functions.text import sentences
 from factgrade.operators import skew, verify
+from factgrade.sources import storage
 
 
 # Known schemas save the pass over the file footers.
@@ -70,6 +71,11 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_prepared(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as the table a preparation run leaves behind."""
+    return storage.materialise(prepared(spark, sf), "prepared")
+
+
 def personas(spark: SparkSession, sf: str) -> DataFrame:
     """Questions asked by described persons."""
 

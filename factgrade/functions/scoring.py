@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def looks_refused(text: Column | str) -> Column:
+    """Offline stand-in for the refusal classifier: a refusal phrase at a word boundary, case ignored."""
+    phrases = "|".join(re.escape(p) for p in fixed.REFUSAL_PHRASES)
+    return F.coalesce(F.lower(_column(text)).rlike(rf"\b(?:{phrases})\b"), F.lit(False))
+
+
 def overlapping_claims(claims: Column | str, references: Column | str, share: float = 0.5) -> Column:
     """Offline stand-in for the checking model: the claims whose words mostly occur in the reference facts.
 

@@ -28,6 +28,13 @@ def flag_refusals(df: DataFrame, label: str = "label", score: str = "label_score
     ).drop("meaning")
 
 
+def flag_by_keywords(df: DataFrame, text: str = "generated_response") -> DataFrame:
+    """Add is_abstained and abstention_type without a classifier."""
+    flag = scoring.looks_refused(text)
+    kind = F.when(flag, F.lit(fixed.LABEL_MEANINGS[0]))
+    return df.withColumns({"is_abstained": flag, "abstention_type": kind})
+
+
 def supported_per_row(claims: DataFrame, supported: str = "supported", key: str = "row_id") -> DataFrame:
     """Number of supported claims of each row, from one row per claim."""
     return claims.groupBy(key).agg(F.count_if(F.col(supported)).alias("supported_claims"))

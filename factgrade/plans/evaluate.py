@@ -126,6 +126,7 @@ def evaluate(
     split_backend: Callable | None = None,
     check_backend: Callable | None = None,
     make_classifier: Callable | None = None,
+    refusal_phrases: bool = False,
     examples: DataFrame | None = None,
     one_call: bool = True,
     parallel: int | None = None,
@@ -133,10 +134,13 @@ def evaluate(
 ) -> DataFrame:
     """Score every answer of a dataset.
 
+    ``store`` is the folder of finished replies; give each model its own.
+
     Order of work: clean, attach ground-truth facts, flag refusals, split the remaining answers into claims,
     check the claims, score.  Refused answers are filtered out before any prompt is built.  Each stage that
     calls a model is written before its rows are used again.  Without backends the offline stand-ins
-    (sentence = fact, word overlap = support) are used; their scores are not those of a model.
+    (sentence = fact, word overlap = support) are used; their scores are not those of a model.  Without a classifier nothing is
+    a refusal, unless ``refusal_phrases`` asks for the keyword check.
     """
     spark = df.sparkSession
     store = store or storage.shared_folder(spark, "replies")
@@ -148,6 +152,8 @@ def evaluate(
         base = verify.flag_refusals(
             base.withColumn("label", F.col("classified.label")).withColumn("label_score", F.col("classified.score"))
         ).drop("classified")
+    elif refusal_phrases:
+        base = verify.flag_by_keywords(base)
     else:
         base = base.withColumns({"is_abstained": F.lit(False), "abstention_type": F.lit(None).cast("string")})
     base = storage.materialise(base, "flagged")

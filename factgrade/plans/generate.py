@@ -11,6 +11,7 @@ from factgrade import fixed
 from factgrade.functions.prompts import answer_messages
 from factgrade.operators import clean, replies
 from factgrade.sources import examples as ex
+from factgrade.sources import storage
 
 
 def with_tasks(df: DataFrame, tasks: list[tuple[str, str]]) -> DataFrame:
@@ -25,6 +26,32 @@ def persona_prompts(df: DataFrame, few_shot: DataFrame | None = None, order: str
     return df.withColumn("messages", answer_messages(shown))
 
 
+def run_tasks(
+    df: DataFrame,
+    tasks: list[tuple[str, str]],
+    store: str,
+    backend_for: Callable[[str], Callable],
+    folder: str,
+    few_shot: DataFrame | None = None,
+    form: str = "parquet",
+    parallel: int | None = None,
+    commits: int = 1,
+) -> dict[tuple[str, str], str]:
+    """Answer the dataset once per (model, context) and write one table each; returns where they are.
+
+    Every model has its own part of the reply store, so a stopped run goes on with what is missing.
+    """
+    written = {}
+    for model, context in tasks:
+        if context not in ("zero", "few"):
+            raise ValueError(f"unknown context: {context}")
+        name = model.rsplit("/", 1)[-1]
+        shown = few_shot if context == "few" else None
+        answered = generate(df, f"{store}/{name}", backend_for(model), shown, parallel, commits)
+        written[model, context] = storage.write_generated(answered, f"{name}_{context}", folder, form)
+    return written
+
+
 def generate(
     df: DataFrame,
     store: str,

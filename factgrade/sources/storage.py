@@ -55,11 +55,11 @@ def stamped(base: str, when: datetime | None = None) -> str:
 
 def write_results(results: DataFrame, base: str, form: str = "parquet", when: datetime | None = None) -> str | None:
     """Results and their summary under a time-stamped name; nothing is written for an empty table."""
-    if results.isEmpty():
+    stored = materialise(results, "results")
+    if stored.isEmpty():
         return None
-    path = write_table(results, stamped(base, when), form)
+    path = write_table(stored, stamped(base, when), form)
     spark = results.sparkSession
-    stored = results if form != "parquet" else spark.read.parquet(path)
     breakdown = (
         [(r["abstention_type"], r["n_rows"]) for r in report.refusal_breakdown(stored).take(len(fixed.LABEL_MEANINGS))]
         if "abstention_type" in stored.columns

@@ -108,6 +108,11 @@ def test_reply_status(evaluate):
     assert got == ["temporary", "permanent", "missing", "missing", "ok", "temporary", "ok"]
 
 
+def test_keyword_refusals(evaluate):
+    got = evaluate(scoring.looks_refused("x"), ["I'm sorry, no", "We ask: as an AI?", "has an aide", "Hi cannot", None])
+    assert got == [True, True, False, False, False]
+
+
 def test_refusal_rule(evaluate):
     rows = [(5, 0.99), (3, 0.99), (1, 0.92), (1, 0.925), (0, 0.99)]
     assert evaluate(scoring.is_refusal("a", "b"), rows, "a int, b double") == [False, False, False, True, True]

@@ -47,6 +47,12 @@ def test_offline_run(spark, dataset):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_refusals_by_phrase(dataset):
+    got = by_row(evaluate.evaluate(dataset, refusal_phrases=True))
+    assert {i for i, r in got.items() if r["is_abstained"]} == {3}
+    assert got[3]["status"] == "refused"
+
+
 def test_prompts_without_reference_have_a_status(dataset):
     reference = prepare.prepare(dataset.where("row_id = 1"), store="unused")
     got = by_row(evaluate.evaluate(dataset, reference))
@@ -172,6 +178,24 @@ def test_generate_keeps_columns_and_hides_failures(spark, tmp_path):
     assert [r["response"] for r in got] == ["r0", "r1", "r2"]
 
 
+def test_tasks_write_one_table_each(spark, tmp_path):
+    schema = ", ".join(f"{c} string" for c in fixed.PERSONA_COLUMNS)
+    df = spark.createDataFrame([tuple(f"{c} {i}" for c in fixed.PERSONA_COLUMNS) for i in range(3)], schema)
+    solved = df.limit(1).withColumn("response", F.lit("solved"))
+
+    def backend_for(model):
+        return lambda: lambda batch: [f"{model}: {len(messages)}" for messages in batch]
+
+    tasks = [("host/a", "zero"), ("host/a", "few"), ("b", "zero")]
+    written = generate.run_tasks(df, tasks, str(tmp_path / "store"), backend_for, str(tmp_path / "out"), solved)
+    assert list(written) == tasks
+    assert written["host/a", "few"].startswith(f"{tmp_path}/out/a_few_generated_responses_")
+    replies_ = {k: {r["generated_response"] for r in spark.read.parquet(p).collect()} for k, p in written.items()}
+    assert replies_ == {tasks[0]: {"host/a: 2"}, tasks[1]: {"host/a: 4"}, tasks[2]: {"b: 2"}}
+    with pytest.raises(ValueError, match="unknown context"):
+        generate.run_tasks(df, [("b", "many")], "s", backend_for, "o")
+
+
 def test_stream_grades_each_file_once(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
