@@ -412,6 +412,11 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= {fixed.SUBSET
 FROM documents""",
     "csv_roundtrip": ROUNDTRIP,
     "json_roundtrip": ROUNDTRIP,
+    "json_arrays": with_(PAIRS_RAW)
+    + f"""SELECT row_id, prompt, response, response AS generated_response, {joined(sents('response'))} AS facts
+FROM pairs_raw""",
+    "few_shot_tables": f"""SELECT text AS sentence, {joined(sents('text'))} AS facts, len({sents('text')}) AS n_facts
+FROM benchmark""",
     "folder_read": with_(PAIRS_RAW) + "SELECT row_id AS id, prompt, response, true AS named FROM pairs_raw",
     "results_written": with_(*ALL_RESULTS)
     + "SELECT doc_id, domain, model, is_abstained, round(score, 6) AS score FROM results",

@@ -519,6 +519,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         hot_prompt_join,
         stages.csv_roundtrip,
         stages.json_roundtrip,
+        stages.json_arrays,
+        stages.few_shot_tables,
         stages.folder_read,
         stages.results_written,
         stages.partitioned_write,

@@ -5,7 +5,7 @@ Model functions here are deterministic stand-ins, so that results can be compare
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factgrade import fixed
@@ -17,7 +17,7 @@ from factgrade.operators import clean, replies, verify
 from factgrade.plans import evaluate as ev
 from factgrade.plans import generate as gen
 from factgrade.plans import prepare as prep
-from factgrade.sources import storage
+from factgrade.sources import examples, storage
 from factgrade.sources import tables as src
 from factgrade.streaming.folder import grade_folder
 
@@ -63,6 +63,31 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _text_files(df: DataFrame, key: str, value: Column, name: str, per_file: int = 5000) -> str:
+    """One text file per ``per_file`` rows or so; ``value`` aggregates the rows of a file to its text."""
+    files = 1 + df.count() // per_file
+    grouped = df.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("file")).agg(value.alias("value"))
+    path = storage.shared_folder(df.sparkSession, name)
+    grouped.write.partitionBy("file").text(path + ".json")
+    return path + ".json"
+
+
+def json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that each hold a JSON array of records, read as one table; lists stay lists."""
+    df = t.pairs(spark, sf).select("row_id", "prompt", "response", fx.sentence_facts("response").alias("response_facts"))
+    path = _text_files(df, "row_id", F.to_json(F.collect_list(F.struct(*df.columns))), "arrays")
+    back = clean.clean_evaluation(src.read_dataset(spark, path))
+    return back.select("row_id", "prompt", "response", "generated_response", _listed(back, "response_facts"))
+
+
+def few_shot_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the form {sentence: [facts]} read as the example table."""
+    df = t.examples(spark, sf)
+    pairs = F.map_from_entries(F.collect_list(F.struct("sentence", "facts")))
+    back = examples.read_demos(spark, _text_files(df, "example_id", F.to_json(pairs), "examples"))
+    return back.select("sentence", _listed(back, "facts"), _long(F.size("facts")).alias("n_facts"))
+
+
 def folder_read(spark: SparkSession, sf: str) -> DataFrame:
     """Several CSV files of one folder as one table, with the file each row came from."""
     df = t.pairs(spark, sf).select(F.col("row_id").alias("id"), "prompt", "response").repartition(4, "id")

@@ -11,10 +11,14 @@ from factgrade.operators.clean import require_columns
 
 
 def read_demos(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON object {sentence: [facts]} as (example_id, sentence, facts), numbered in file order."""
+    """A JSON object {sentence: [facts]}, or a folder of them, as (example_id, sentence, facts).
+
+    Ids rise in file order; those of a single file are 0, 1, 2 and so on.
+    """
     whole = spark.read.text(path, wholetext=True)
     pairs = F.from_json("value", "map<string,array<string>>")
-    return whole.select(F.posexplode(pairs).alias("example_id", "sentence", "facts"))
+    listed = whole.select(F.explode(pairs).alias("sentence", "facts"))
+    return listed.select(F.monotonically_increasing_id().alias("example_id"), "sentence", "facts")
 
 
 def read_few_shot(spark: SparkSession, path: str) -> DataFrame:

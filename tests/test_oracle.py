@@ -36,6 +36,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf, duck, name):
     df = QUERIES[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     columns = sorted(df.columns)
     result = duck.execute(ORACLE[name])
     names = [d[0] for d in result.description]
