@@ -246,7 +246,8 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
         .when(variant == 4, F.replace(whole, F.lit("decisions"), F.lit("verdicts")))
         .when(variant == 5, F.lit('{"decisions": null}'))
     )
-    return t.documents(spark, sf).select("doc_id", long(rx.count_yes(reply)).alias("n_yes"))
+    replied = t.documents(spark, sf).select("doc_id", reply.alias("reply"))
+    return replied.select("doc_id", long(rx.count_yes("reply")).alias("n_yes"))
 
 
 def refusals(spark: SparkSession, sf: str) -> DataFrame:

@@ -37,7 +37,12 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, form: str = "parquet", mode: str = "errorifexists", by: list[str] | None = None) -> str:
-    """Write as parquet, JSON Lines or CSV, optionally one sub-folder per value of ``by``."""
+    """Write as parquet, JSON Lines or CSV, optionally one sub-folder per value of ``by``.
+
+    For sub-folders the rows are rebalanced first: a rare value ends in one file, a frequent one in several.
+    """
+    if by:
+        df = df.hint("rebalance", *by)
     if form == "csv":
         writer = csv_ready(df).write.options(
             header=True, escape='"', quote='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
