@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate
+from factgrade.llm import decontaminate, pieces
 from factgrade.llm.common import table
 
 
@@ -24,7 +24,12 @@ def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pieces": op4_pieces,
     "op6_decontaminate": op6_decontaminate,
 }
 
