@@ -90,3 +90,14 @@ def _copy(schema: Any) -> Any:
     from pyspark.sql.types import StructType
 
     return StructType(list(schema.fields) if schema is not None else [])
+
+
+def span_text(spans: Column) -> Column:
+    """kind:start:end, joined by commas."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def of_kinds(spans: Column, kinds: tuple[str, ...]) -> Column:
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, pieces
-from factgrade.llm.common import table
+from factgrade.llm import decontaminate, pieces, pii, secrets
+from factgrade.llm.common import of_kinds, span_text, table
 
 
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,11 +24,30 @@ def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def digests(found: DataFrame, spans: str, kinds: tuple[str, ...], base: Column) -> DataFrame:
+    """Counts and digest of the base spans, and all spans as text."""
+    counts = [F.size(of_kinds(base, (k,))).cast("bigint").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col(spans)).alias("spans"))
+
+
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf, "documents"))
+    return digests(found, "pii", pii.KINDS, F.filter("pii", lambda s: s["base"]))
+
+
+def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf, "documents"))
+    kinds = secrets.KINDS[:3]
+    return digests(found, "secrets", kinds, of_kinds(F.col("secrets"), kinds))
+
+
 def op4_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_secrets": op2_secrets,
     "op4_pieces": op4_pieces,
     "op6_decontaminate": op6_decontaminate,
 }
