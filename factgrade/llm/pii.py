@@ -107,7 +107,7 @@ CUES = {
     "phone": re.compile(r"(?i)(?:phone|tel|call|mobile|cell|fax|telefon|m[óo]vil)\W*\Z"),
 }
 FEATURES = (
-    "bias", "mailbox", "at", "quad", "quad_high", "dots3", "digits16", "digits1619", "luhn", "fours", "plain", "plus", "parens", "nanp", "digits815",
+    "bias", "mailbox", "spelled", "at", "quad", "quad_high", "dots3", "digits16", "digits1619", "luhn", "fours", "plain", "plus", "parens", "nanp", "digits815",
     "digits_few", "digits_many", "letters", "mixed", "spaces", "tabs", "odd", "left_open", "right_open", "one_token", "short", "long", "date",
     *(f"cue_{k}" for k in KINDS),
 )
@@ -126,6 +126,7 @@ def span_features(text: str, start: int, end: int) -> list[int]:
     sizes = [len(g) for g in groups]
     checks = (
         ("mailbox", mail),
+        ("spelled", mail and "@" not in span),
         ("at", "@" in span),
         ("quad", quad and all(len(g) <= 3 and int(g) <= 255 for g in groups)),
         ("quad_high", quad and any(len(g) > 3 or int(g) > 255 for g in groups)),
