@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, pieces, pii, secrets
+from factgrade.llm import decontaminate, licenses, pieces, pii, secrets
 from factgrade.llm.common import of_kinds, span_text, table
 
 
@@ -45,11 +45,29 @@ def op4_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf, "documents"))
+    starts = F.transform("places", lambda p: p["start"])
+    base = F.transform("places", lambda p: p["label"])
+    shares = F.transform("matches", lambda m: m["containment"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.label_text(base).alias("base_labels"),
+        licenses.label_text(F.concat(base, F.transform("matches", lambda m: m["label"]))).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max(shares), F.lit(0.0))).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_pieces": op4_pieces,
     "op6_decontaminate": op6_decontaminate,
+    "op8_licenses": op8_licenses,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -70,4 +88,21 @@ t AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id:
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)""",
+    "op8_licenses": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce({WORDS_SQL}, []) AS w FROM documents),
+p AS (SELECT * FROM (VALUES {", ".join(f"({p.split()!r}, '{label}')" for p, label in licenses.PHRASES.items())}) AS v(phrase, label)),
+place AS (SELECT r, i - 1 AS start, label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d) JOIN p
+          ON list_slice(w, i, i + len(phrase) - 1) = phrase),
+base AS (SELECT r, count(*) AS n, min(start) AS a, max(start) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM place GROUP BY r),
+t AS (SELECT label, list_distinct(string_split(text, ' ')) AS tokens FROM (VALUES {", ".join(f"('{a}', '{b}')" for a, b in licenses.TEMPLATES)}) AS v(label, text)),
+b AS (SELECT r, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\n[ \t\r]*\n'))) AS text FROM d),
+m AS (SELECT r, label, len(list_intersect(list_distinct({WORDS_SQL}), tokens)) / len(tokens) AS c FROM b, t
+      WHERE len(list_intersect(list_distinct({WORDS_SQL}), tokens)) >= {licenses.THRESHOLD} * len(tokens) - 1e-9),
+best AS (SELECT r, max(c) AS c FROM m GROUP BY r),
+l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT r, label FROM m UNION ALL SELECT r, label FROM place) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
+       coalesce(base.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN l USING (r)""",
 }
