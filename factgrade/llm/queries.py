@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, licenses, pieces, pii, secrets
+from factgrade.llm import decontaminate, licenses, pieces, pii, secrets, warc
+from factgrade.sources.storage import shared_folder
 from factgrade.llm.common import of_kinds, span_text, table
 
 
@@ -62,12 +63,26 @@ def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc.write(table(spark, sf, "pages"), folder)
+    captures = warc.assemble(warc.read(spark, folder, payload=False))
+    return captures.select(
+        F.col("metadata.fields")["page-id"].cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("metadata.fields")["refers-to-page-id"].cast("bigint").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_pieces": op4_pieces,
     "op6_decontaminate": op6_decontaminate,
     "op8_licenses": op8_licenses,
+    "op9_warc": op9_warc,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -105,4 +120,10 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::B
        coalesce(base.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
        CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0)::DOUBLE END AS score
 FROM d LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN l USING (r)""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+o AS (SELECT *, CASE WHEN n >= 100 AND page_id IS NOT NULL THEN min(page_id) OVER (PARTITION BY html) END AS owner FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN owner < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner < page_id THEN owner END AS refers_to FROM o""",
 }
