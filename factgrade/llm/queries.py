@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, licenses, pieces, pii, secrets, warc
+from factgrade.llm import decontaminate, licenses, neardup, pieces, pii, secrets, warc
 from factgrade.sources.storage import shared_folder
 from factgrade.llm.common import of_kinds, span_text, table
 
@@ -76,6 +76,10 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
+    "op10_neardup": op10_neardup,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
