@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, licenses, neardup, pieces, pii, secrets, warc
+from factgrade.llm import decontaminate, licenses, neardup, pieces, pii, secrets, topk, warc
 from factgrade.sources.storage import shared_folder
 from factgrade.llm.common import of_kinds, span_text, table
 
 
+def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.find_hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op4_pieces": op4_pieces,
+    "op5_topk": op5_topk,
     "op6_decontaminate": op6_decontaminate,
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
@@ -131,4 +136,12 @@ o AS (SELECT *, CASE WHEN n >= 100 AND page_id IS NOT NULL THEN min(page_id) OVE
 SELECT page_id, n::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN owner < page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN owner < page_id THEN owner END AS refers_to FROM o""",
+    "op5_topk": """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(embedding) > 0
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
