@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, licenses, neardup, pieces, pii, secrets, topk, warc
+from factgrade.llm import decontaminate, language, licenses, neardup, pieces, pii, quality, secrets, topk, warc
 from factgrade.sources.storage import shared_folder
 from factgrade.llm.common import of_kinds, span_text, table
 
@@ -46,10 +46,18 @@ def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return digests(found, "secrets", kinds, of_kinds(F.col("secrets"), kinds))
 
 
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op4_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf, "documents"))
 
 
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.score_documents(table(spark, sf, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
     found = licenses.scan(table(spark, sf, "documents"))
     starts = F.transform("places", lambda p: p["start"])
@@ -87,9 +95,11 @@ def op10_neardup(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
+    "op3_quality": op3_quality,
     "op4_pieces": op4_pieces,
     "op5_topk": op5_topk,
     "op6_decontaminate": op6_decontaminate,
+    "op7_language": op7_language,
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
     "op10_neardup": op10_neardup,
