@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import Any
@@ -111,22 +112,21 @@ PIECE_ROWS = 64
 def counted_join(left: DataFrame, right: DataFrame, key: str, salt: list[Column], how: str = "left", piece: bool = False) -> DataFrame:
     """``left`` joined to ``right``, which has one row per key and in ``n`` how many rows of ``left`` have it.
 
-    Keys with more than ``HOT_SHARE`` of the rows are cut into pieces by the hash of ``salt``; they are at most
-    ``1 / HOT_SHARE``, so their list is broadcast.  The pieces depend on row contents only: a task that is run again
-    puts its rows where they were.  With ``piece`` the result keeps that column, so that a later
-    grouping by key, piece and salt needs no further shuffle.
+    Keys with more than ``HOT_SHARE`` of the rows, of which there are at most ``1 / HOT_SHARE``, are cut into pieces
+    by the hash of ``salt``: as many as the hottest needs.  The pieces depend on row contents only: a task that is
+    run again puts its rows where they were.  With ``piece`` the result keeps that column, so that a later grouping
+    by key, piece and salt needs no further shuffle.
     """
-    total = right.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    total = max(total, 1)
-    pieces = F.least(F.ceil(F.col("n") / (HOT_SHARE * total)), F.ceil(F.col("n") / PIECE_ROWS)).cast("int")
-    hot = right.where(F.col("n") > HOT_SHARE * total).select(key, F.greatest(pieces, F.lit(1)).alias("_pieces"))
-    rows = hot.collect()
-    if not rows:
-        whole = left.join(right.drop("n"), key, how)
-        return whole.withColumn("_piece", F.lit(0)) if piece else whole
-    hot = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
-    one = F.coalesce("_pieces", F.lit(1))
-    a = left.join(hot, key, "left").withColumn("_piece", F.pmod(F.xxhash64(*salt), one).cast("int")).drop("_pieces")
-    b = right.drop("n").join(hot, key, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), one - 1))).drop("_pieces")
-    joined = a.join(b, [key, "_piece"], how)
-    return joined if piece else joined.drop("_piece")
+    total = max(right.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 1)
+    hot = right.where((F.col("n") > HOT_SHARE * total) & (F.col("n") > PIECE_ROWS)).select(key, "n").collect()
+    if hot:
+        most = max(r["n"] for r in hot)
+        pieces = max(2, min(-(-most // PIECE_ROWS), math.ceil(most / (HOT_SHARE * total))))
+        is_hot = F.col(key).isin([r[key] for r in hot])
+        left = left.withColumn("_piece", F.when(is_hot, F.pmod(F.xxhash64(*salt), F.lit(pieces)).cast("int")).otherwise(0))
+        last = F.when(is_hot, pieces - 1).otherwise(0)
+        right = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+        joined = left.join(right.drop("n"), [key, "_piece"], how)
+        return joined if piece else joined.drop("_piece")
+    joined = left.join(right.drop("n"), key, how)
+    return joined.withColumn("_piece", F.lit(0)) if piece else joined
