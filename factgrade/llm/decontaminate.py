@@ -141,17 +141,16 @@ def cut(text: str | None, hits: list) -> str | None:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, share: int = SHARE) -> DataFrame:
     """Documents without contaminated ones (``remove="documents"``) or without hit spans (``"spans"``).
 
-    The columns stay as they are; null texts stay.  Columns of other names pass through.
+    All columns stay, whatever their names; null texts stay.
     """
-    columns = docs.columns
-    found = find_hits(docs, benchmark, window, keep=columns)
-    if remove == "documents":
-        return found.where(~is_contaminated(share)).select(*columns)
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
+    found = find_hits(docs.select(F.struct(*docs.columns).alias("_row"), "text"), benchmark, window, keep=["_row", "text"])
+    if remove == "documents":
+        return found.where(~is_contaminated(share)).select("_row.*")
 
     def make():
         return lambda texts, hits: [(cut(t, h),) for t, h in zip(texts, hits)]
 
-    others = [c for c in columns if c != "text"]
-    return map_rows(found, ["text", "hits"], make, "_text string", others).withColumnRenamed("_text", "text").select(*columns)
+    rows = map_rows(found, ["text", "hits"], make, "_text string", ["_row"])
+    return rows.select(F.col("_row").withField("text", F.col("_text")).alias("_row")).select("_row.*")

@@ -173,8 +173,11 @@ def decode(tokens: DataFrame, path: str | None = None, keep: list[str] | None =
     return map_rows(tokens, ["ids"], make, "text string", ["doc_id"] if keep is None else keep)
 
 
-def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Digests of ids and of the text decoded from them, in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Digests of ids and of the text decoded from them, in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    ``with_ids`` adds the ids themselves.
+    """
     from hashlib import sha256
 
     file = model_path(path)
@@ -187,15 +190,15 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
             for text in texts:
                 ids = table.encode(text)
                 names = table.text
-                rows.append(
-                    (
-                        len(ids),
-                        sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(),
-                        sha256(table.decode(ids).encode("utf-8", "surrogatepass")).hexdigest(),
-                    )
+                row = (
+                    len(ids),
+                    sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(),
+                    sha256(table.decode(ids).encode("utf-8", "surrogatepass")).hexdigest(),
                 )
+                rows.append((*row, ids) if with_ids else row)
             return rows
 
         return digests
 
-    return map_rows(docs, ["text"], make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", ["doc_id"])
+    added = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return map_rows(docs, ["text"], make, added, ["doc_id"])
