@@ -9,7 +9,9 @@ documents: a chunk's own vocabulary is joined to the counts, so that no task hol
 
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,7 +66,7 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        known: dict[bytes, int] = {}
+        known: dict[bytes, int] = defaultdict(itertools.count().__next__)
         counts = np.zeros(1024, dtype=np.int64)
         size = 0
 
@@ -83,7 +85,7 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 for k, text in enumerate(texts):
                     words = space_words(text)
                     words.append(END)
-                    numbers = np.array([known.setdefault(w, len(known)) for w in words], dtype=np.int32)
+                    numbers = np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
                     if not held[k]:
                         if len(known) > len(counts):
                             counts = np.concatenate([counts, np.zeros(max(len(counts), len(known)), dtype=np.int64)])
@@ -96,7 +98,8 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                             counts = np.concatenate([counts, np.zeros(len(known), dtype=np.int64)])
                         yield packed("texts", number, len(rows), doc_id=ids[first : k + 1], held_out=held[first : k + 1], ids=rows)
                         yield from vocabulary()
-                        number, known, counts, size, rows, first = number + 1, {}, np.zeros(1024, dtype=np.int64), 0, [], k + 1
+                        number, size, rows, first = number + 1, 0, [], k + 1
+                        known, counts = defaultdict(itertools.count().__next__), np.zeros(1024, dtype=np.int64)
                 if rows:
                     yield packed("texts", number, len(rows), doc_id=ids[first:], held_out=held[first:], ids=rows)
         if known:
@@ -106,7 +109,7 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     flat = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(run, schema)
     folder = shared_folder(docs.sparkSession, "chunks")
-    flat.write.partitionBy("kind").parquet(folder)
+    flat.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
 
     def stored(kind: str, *columns: str) -> DataFrame:
         return docs.sparkSession.read.schema(schema).parquet(folder).where(F.col("kind") == kind).select(*columns)
@@ -123,6 +126,17 @@ def context_of(token: bytes, rank: dict[bytes, int]) -> int:
     return HEAD + zlib.crc32(token[-3:]) % TAIL_BUCKETS if found is None else found
 
 
+class Contexts(dict):
+    """Contexts of tokens as they are asked for."""
+
+    def __init__(self, rank: dict[bytes, int]) -> None:
+        self.rank = rank
+
+    def __missing__(self, token: bytes) -> int:
+        found = self[token] = context_of(token, self.rank)
+        return found
+
+
 def feature_rows(before: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Rows of the weight table for each place: bias, token before, skip, and both."""
 
@@ -208,7 +222,7 @@ def count_events(docs: DataFrame, head: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = {t: k for k, t in enumerate(head)}
-        cache: dict[bytes, int] = {}
+        cache = Contexts(rank)
         keys: list[np.ndarray] = []
         size = 0
 
@@ -222,13 +236,7 @@ def count_events(docs: DataFrame, head: list[bytes]) -> DataFrame:
                 tokens.append(END)
                 if len(cache) > CACHE:
                     cache.clear()
-                found = []
-                for t in tokens:
-                    c = cache.get(t)
-                    if c is None:
-                        c = cache[t] = context_of(t, rank)
-                    found.append(c)
-                contexts = np.array(found, dtype=np.int64)
+                contexts = np.fromiter(map(cache.__getitem__, tokens), dtype=np.int64, count=len(tokens))
                 before, second = places(contexts, np.zeros(1, dtype=np.int64))
                 keys.append((before * CONTEXTS + second) * (HEAD + 1) + np.minimum(contexts, HEAD))
                 size += len(contexts)
