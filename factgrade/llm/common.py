@@ -83,6 +83,9 @@ def map_rows(
                     + [pa.array(list(m), arrow.field(n_keep + i).type) for i, m in enumerate(made)],
                     schema=arrow,
                 )
+        # Workers are used again: what this task cached and what Arrow holds for it goes.
+        del call
+        pa.default_memory_pool().release_unused()
 
     return df.select(*need).mapInArrow(run, schema)
 

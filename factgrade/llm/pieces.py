@@ -46,8 +46,6 @@ class Pieces:
             if len(piece) < 2 or self.merge(piece) == [piece]:
                 self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
         self.split = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if "\n" not in "".join(plain) else f"{MARK}*[^{MARK}]+|{MARK}+")
         control = [model.is_control(i) for i in range(len(model))]
         values = {i: v for v, i in self.bytes.items()}
@@ -71,12 +69,31 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def encoder(self) -> Encoder:
+        return Encoder(self)
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids; control ids stand for nothing, the space before the first piece goes."""
+        raw = self.raw
+        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
+        return text[1:] if text.startswith(" ") and self.names[next(i for i in ids if raw[i])].startswith(MARK) else text
+
+
+class Encoder:
+    """Encodes with the pieces of a model; its caches last as long as it, which is a task."""
+
+    def __init__(self, model: Pieces) -> None:
+        self.model = model
+        self.names, self.size, self.automaton, self.bytes = model.names, model.size, model.automaton, model.bytes
+        self.pairs: dict[int, bool] = {}
+        self.chunks: dict[str, tuple[int, ...]] = {}
+
     def compatible(self, a: int, b: int) -> bool:
         key = a << 32 | b
         found = self.pairs.get(key)
         if found is None:
             x, y = self.names[a], self.names[b]
-            found = self.merge(x + y) == [x, y]
+            found = self.model.merge(x + y) == [x, y]
             if len(self.pairs) >= CACHE:
                 self.pairs.clear()
             self.pairs[key] = found
@@ -114,7 +131,7 @@ class Pieces:
         ids: list[int] = []
         if text:
             get, chunks = self.chunks.get, self.chunks
-            for chunk in self.split.findall(MARK + text.replace(" ", MARK)):
+            for chunk in self.model.split.findall(MARK + text.replace(" ", MARK)):
                 found = get(chunk)
                 if found is None:
                     found = self.encode_chunk(chunk)
@@ -123,15 +140,9 @@ class Pieces:
                             chunks.clear()
                         found = chunks[chunk] = tuple(found)
                 ids += found
-        ids.append(self.end)
+        ids.append(self.model.end)
         return ids
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids; control ids stand for nothing, the space before the first piece goes."""
-        raw = self.raw
-        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") and self.names[next(i for i in ids if raw[i])].startswith(MARK) else text
-
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -156,8 +167,8 @@ def encode(docs: DataFrame, path: str | None = None, keep: list[str] | None = No
     file = model_path(path)
 
     def make():
-        table = pieces(file)
-        return lambda texts: [(table.encode(t),) for t in texts]
+        coder = pieces(file).encoder()
+        return lambda texts: [(coder.encode(t),) for t in texts]
 
     return map_rows(docs, ["text"], make, "ids array<int>", ["doc_id"] if keep is None else keep)
 
@@ -184,11 +195,12 @@ def round_trip(docs: DataFrame, path: str | None = None, with_ids: bool = False)
 
     def make():
         table = pieces(file)
+        coder = table.encoder()
 
         def digests(texts):
             rows = []
             for text in texts:
-                ids = table.encode(text)
+                ids = coder.encode(text)
                 names = table.text
                 row = (
                     len(ids),
