@@ -35,7 +35,7 @@ def one_of(*words_: str) -> str:
 
 
 PAIRS_RAW = """pairs_raw AS (
-  SELECT u.conv_id * 1000 + u.turn AS row_id, u.conv_id, u.turn,
+  SELECT u.conv_id * 1000000 + u.turn AS row_id, u.conv_id, u.turn,
          u.text AS prompt, a.text AS response, g.text AS generated_response
   FROM conversations u
   JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
@@ -417,7 +417,9 @@ FROM documents""",
 FROM pairs_raw""",
     "few_shot_tables": f"""SELECT text AS sentence, {joined(sents('text'))} AS facts, len({sents('text')}) AS n_facts
 FROM benchmark""",
-    "folder_read": with_(PAIRS_RAW) + "SELECT row_id AS id, prompt, response, true AS named FROM pairs_raw",
+    "folder_read": with_(PAIRS_RAW)
+    + """SELECT row_id AS id, prompt, response,
+  CASE WHEN row_id % 2 = 1 AND row_id % 7 <> 0 THEN round((row_id % 7)::DOUBLE / 10 + 0.25, 6) END AS score FROM pairs_raw""",
     "results_written": with_(*ALL_RESULTS)
     + "SELECT doc_id, domain, model, is_abstained, round(score, 6) AS score FROM results",
     "partitioned_write": with_(*ALL_RESULTS)

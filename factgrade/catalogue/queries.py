@@ -20,6 +20,7 @@ from factgrade.functions import replies as rx
 from factgrade.functions import scoring, text
 from factgrade.operators import clean, replies, report, retrieve, rows, skew, stitch, verify
 from factgrade.plans import generate as gen
+from factgrade.sources import storage
 from factgrade.sources.tables import with_source_id
 
 
@@ -291,7 +292,7 @@ def _document_prompts(spark: SparkSession, sf: str) -> DataFrame:
 def prompt_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     """Each prompt once, answered by the mock backend, the reply back on every row that asked."""
     asked = _document_prompts(spark, sf)
-    store = replies.mock_replies(replies.distinct_prompts(asked))
+    store = storage.materialise(replies.mock_replies(replies.distinct_prompts(asked)), "replies")
     answered = replies.join_replies(asked.select("doc_id", "prompt_hash"), store)
     return answered.select("doc_id", "prompt_hash", "reply", "status")
 
@@ -404,11 +405,9 @@ def domain_model_mean(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.domain_model_mean(t.results(spark, sf)))
 
 
-MODELS = [f"src{i}" for i in range(20)]
-
-
 def domain_model_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(report.domain_model_matrix(t.results(spark, sf), MODELS))
+    """One column per model that the results hold."""
+    return rounded(report.domain_model_matrix(t.results(spark, sf)))
 
 
 def boxplot(spark: SparkSession, sf: str) -> DataFrame:
@@ -447,26 +446,22 @@ def union_results(spark: SparkSession, sf: str) -> DataFrame:
 
 def outcome_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Refused, answered and failed rows of such a union."""
-    both = union_results(spark, sf)
-    parts = {"refused": clean.refused(both), "answered": clean.answered(both), "failed": clean.failed(both)}
-    counted = [
-        df.select("score").agg(F.count("*").alias("n_rows"), F.avg("score").alias("mean_score")).select(
-            F.lit(name).alias("outcome"), "n_rows", "mean_score"
-        )
-        for name, df in parts.items()
-    ]
-    return rounded(rows.union_all(counted))
+    both = clean.with_outcome(union_results(spark, sf))
+    return rounded(both.groupBy("outcome").agg(F.count("*").alias("n_rows"), F.avg("score").alias("mean_score")))
 
 
 def hot_prompt_join(spark: SparkSession, sf: str) -> DataFrame:
-    """Prompts of the documents' languages joined with hot keys spread out: a third of the rows share a key."""
+    """Prompts of the documents' languages joined with hot keys spread out: most rows share a key.
+
+    With a factor of 1 a key is hot as soon as it has more than an average partition's rows.
+    """
     asked = t.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("prompt_hash"))
     store = (
         t.table(spark, sf, "documents")
         .groupBy(F.col("lang").alias("prompt_hash"))
         .agg(F.concat(F.lit("reply "), F.max("doc_id").cast("string")).alias("reply"))
     )
-    return skew.salted_join(asked, store, ["prompt_hash"], fraction=1.0).select("doc_id", "prompt_hash", "reply")
+    return skew.salted_join(asked, store, ["prompt_hash"], fraction=1.0, factor=1).select("doc_id", "prompt_hash", "reply")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -12,7 +12,6 @@ from factgrade import fixed
 from factgrade.catalogue import tables as t
 from factgrade.functions import facts as fx
 from factgrade.functions import prompts as px
-from factgrade.functions import scoring
 from factgrade.operators import clean, replies, verify
 from factgrade.plans import evaluate as ev
 from factgrade.plans import generate as gen
@@ -89,12 +88,15 @@ def few_shot_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def folder_read(spark: SparkSession, sf: str) -> DataFrame:
-    """Several CSV files of one folder as one table, with the file each row came from."""
-    df = t.pairs(spark, sf).select(F.col("row_id").alias("id"), "prompt", "response").repartition(4, "id")
-    path = storage.write_table(df, storage.shared_folder(spark, "folder"), "csv")
-    back = src.read_folder(spark, path, schema="id bigint, prompt string, response string")
-    named = F.startswith(src.source_id("source_file"), F.lit("part-"))
-    return back.select("id", "prompt", "response", named.alias("named"))
+    """CSV files of one folder with different columns in different orders, numbers among words for "no value"."""
+    df = t.pairs(spark, sf).select(F.col("row_id").alias("id"), "prompt", "response")
+    score = F.when(F.col("id") % 7 == 0, "NA").otherwise((F.col("id") % 7 / 10).cast("string"))
+    path = storage.shared_folder(spark, "folder")
+    storage.write_table(df.where("id % 2 = 0"), path, "csv", mode="append")
+    other = df.where("id % 2 = 1").select("response", score.alias("score"), "id", "prompt")
+    storage.write_table(other, path, "csv", mode="append")
+    back = src.read_folder(spark, path)
+    return back.select("id", "prompt", "response", F.round(F.col("score") + 0.25, 6).alias("score"))
 
 
 def results_written(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,7 +153,7 @@ def _questions(spark: SparkSession, sf: str) -> DataFrame:
 def reply_stage(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct prompts through a model function that fails on some of them."""
     asked = _questions(spark, sf)
-    got = storage.materialise(replies.ask(replies.distinct_prompts(asked), _length_backend(), parallel=4, batch=1), "got")
+    got = storage.materialise(replies.ask(replies.distinct_prompts(asked), _length_backend(), parallel=4), "got")
     back = replies.join_replies(asked.select("conv_id", "turn", "prompt_hash"), got)
     return back.select("conv_id", "turn", "reply", "status")
 
@@ -161,7 +163,7 @@ def resume_replies(spark: SparkSession, sf: str) -> DataFrame:
     asked = storage.materialise(_questions(spark, sf), "asked")
     prompts = replies.distinct_prompts(asked)
     path = storage.shared_folder(spark, "replies")
-    replies.ask_pending(prompts, path, _length_backend(), parallel=4, batch=1, commits=2)
+    replies.ask_pending(prompts, path, _length_backend(), parallel=4, commits=2)
     store = replies.ask_pending(prompts, path, _length_backend(patient=True), parallel=4)
     attempts = store.groupBy("prompt_hash").agg(F.count("*").alias("attempts"))
     best = replies.best_replies(store).join(attempts, "prompt_hash")
@@ -268,21 +270,16 @@ def folder_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = "row_id bigint, prompt string, response string, generated_response string"
 
     def grade(batch: DataFrame) -> DataFrame:
-        listed = batch.select(
-            "row_id",
-            fx.sentence_facts("generated_response").alias("gen_facts"),
-            fx.sentence_facts("response").alias("gt_facts"),
-        )
-        checked = listed.withColumn("supported", _long(F.size(scoring.overlapping_claims("gen_facts", "gt_facts"))))
-        score = scoring.f1_at_k("supported", F.size("gen_facts"), F.size("gt_facts"))
-        return checked.select("row_id", "supported", F.round(score, 6).alias("score"))
+        done = ev.evaluate(batch)
+        return done.select("row_id", _long("supported_claims").alias("supported"), F.round("score", 6).alias("score"))
 
     def run() -> None:
         grade_folder(spark, f"{work}/in", schema, grade, f"{work}/out", f"{work}/state", files_per_batch=3)
 
     rows = t.pairs(spark, sf).select("row_id", "prompt", "response", "generated_response")
-    for half in (0, 1):
-        storage.write_table(rows.where(F.col("row_id") % 2 == half), f"{work}/in", "csv", mode="append")
+    swapped = rows.select("generated_response", F.lit(0.9).alias("confidence"), "response", "row_id", "prompt")
+    for half, df in enumerate((rows, swapped)):
+        storage.write_table(df.where(F.col("row_id") % 2 == half), f"{work}/in", "csv", mode="append")
         run()
     run()
     return spark.read.parquet(f"{work}/out").select("row_id", "supported", "score")

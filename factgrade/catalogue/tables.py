@@ -48,7 +48,7 @@ def pairs_raw(spark: SparkSession, sf: str) -> DataFrame:
         asked.join(later(1, "response"), on)
         .join(later(3, "generated_response"), on, "left")
         .select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
+            (F.col("conv_id") * 1000000 + F.col("turn")).alias("row_id"),
             "conv_id",
             "turn",
             "prompt",

@@ -19,19 +19,26 @@ def no_facts() -> Column:
 
 
 def _wrapped(raw: Column, element: str) -> Column:
-    """Parse ``[raw]``: text after the first JSON value makes it fail or adds elements."""
+    """Parse ``[raw]``: a second JSON value adds an element."""
     return F.from_json(F.concat(F.lit("["), raw, F.lit("]")), f"array<{element}>", STRICT)
 
 
+def _closed(raw: Column, kind: str) -> Column:
+    """True when ``raw`` is complete as the value of an object's field, so that nothing closes it early."""
+    return F.from_json(F.concat(F.lit('{"a":'), raw, F.lit(',"z":1}')), f"a {kind}, z int", STRICT)["z"] == 1
+
+
 def is_json(raw: Column | str) -> Column:
     """True when the whole text is one JSON value."""
-    return F.coalesce(F.size(_wrapped(_column(raw), "string")) == 1, F.lit(False))
+    raw = _column(raw)
+    return F.coalesce((F.size(_wrapped(raw, "string")) == 1) & _closed(raw, "string"), F.lit(False))
 
 
 def json_list(raw: Column | str) -> Column:
     """The list of strings a text holds, or null when it is not exactly one JSON list."""
-    parsed = _wrapped(_column(raw), "array<string>")
-    return F.when(F.size(parsed) == 1, F.element_at(parsed, 1))
+    raw = _column(raw)
+    parsed = _wrapped(raw, "array<string>")
+    return F.when((F.size(parsed) == 1) & _closed(raw, "array<string>"), F.element_at(parsed, 1))
 
 
 def parse_facts(raw: Column | str) -> Column:

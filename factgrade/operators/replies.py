@@ -6,6 +6,7 @@ stopped asks only what is still open, and a replan of a query never repeats a ca
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,15 +14,18 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factgrade import fixed
 from factgrade.functions.prompts import prompt_hash
 from factgrade.functions.replies import reply_status
-from factgrade.functions.text import head
 from factgrade.operators import skew
+from factgrade.sources import storage
 
 REPLY_SCHEMA = "prompt_hash string, reply string, status string"
 FINISHED = ["ok", "permanent"]
+#: Shares in which a run is committed unless told otherwise.
+COMMITS = 4
 
 Backend = Callable[[list[list[dict]]], list[str]]
 
@@ -31,10 +35,13 @@ def with_prompt_hash(df: DataFrame) -> DataFrame:
 
 
 def distinct_prompts(df: DataFrame) -> DataFrame:
-    """(prompt_hash, messages), each prompt once; repeats are dropped before the shuffle as well."""
+    """(prompt_hash, messages), each prompt once.
+
+    Repeats are dropped by their hash, before the shuffle as well; joins on the hash need no further one.
+    """
     if "prompt_hash" not in df.columns:
         df = with_prompt_hash(df)
-    return df.select("prompt_hash", "messages").distinct()
+    return df.select("prompt_hash", "messages").dropDuplicates(["prompt_hash"])
 
 
 def pending(prompts: DataFrame, store: DataFrame) -> DataFrame:
@@ -62,11 +69,31 @@ def ask(
     """Send prompts to a model and return (prompt_hash, reply, status).
 
     ``make_backend`` is called once per partition and returns a function from a list of message lists
-    to a list of replies.  A batch that raises becomes ``ERROR: ...`` replies; the job goes on.
+    to a list of replies; if it raises, the job fails.  When a batch raises or returns another number of replies,
+    its prompts are asked one by one: a prompt that raises alone becomes an ``ERROR: ...`` reply, one without
+    exactly one reply a temporary failure, and the others are not touched by it.
     ``parallel`` bounds the number of simultaneous callers.
     """
 
     prefix = fixed.FAILURE_PREFIX  # tasks get plain values, so executors need no copy of this package
+    unclear = f"{prefix} {fixed.TEMPORARY_FAILURES[0]}: not one reply for one prompt"
+
+    def one(backend: Backend, prompt: list[dict]) -> str:
+        try:
+            got = list(backend([prompt]))
+        except Exception as error:  # noqa: BLE001 - a failed call is data, not a failed job
+            return f"{prefix} {error}"
+        return unclear if len(got) != 1 else "" if got[0] is None else str(got[0])
+
+    def several(backend: Backend, prompts: list[list[dict]]) -> list[str]:
+        if len(prompts) > 1:
+            try:
+                got = list(backend(prompts))
+                if len(got) == len(prompts):
+                    return ["" if r is None else str(r) for r in got]
+            except Exception:  # noqa: BLE001 - which prompt failed shows when each is asked alone
+                pass
+        return [one(backend, p) for p in prompts]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = None
@@ -75,15 +102,8 @@ def ask(
             messages = rows.column("messages").to_pylist()
             replies: list[str] = []
             for start in range(0, len(messages), batch):
-                part = messages[start : start + batch]
-                try:
-                    backend = backend or make_backend()
-                    got = list(backend(part))
-                    if len(got) != len(part):
-                        raise ValueError(f"{len(part)} prompts but {len(got)} replies")
-                    replies.extend("" if r is None else str(r) for r in got)
-                except Exception as error:  # noqa: BLE001 - a failed call is data, not a failed job
-                    replies.extend([f"{prefix} {error}"] * len(part))
+                backend = backend or make_backend()
+                replies.extend(several(backend, messages[start : start + batch]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hashes, pa.string()), pa.array(replies, pa.string())], names=["prompt_hash", "reply"]
             )
@@ -99,6 +119,11 @@ def mock_replies(prompts: DataFrame, reply: str = fixed.MOCK_REPLY) -> DataFrame
     return prompts.select("prompt_hash", F.lit(reply).alias("reply"), F.lit("ok").alias("status"))
 
 
+def mock_yes() -> Callable[[], Backend]:
+    """The mock of claim-by-claim checking: every claim is supported."""
+    return mock_backend(fixed.MOCK_OPTION)
+
+
 def mock_backend(reply: str = fixed.MOCK_REPLY) -> Callable[[], Backend]:
     return lambda: lambda batch: [reply] * len(batch)
 
@@ -124,34 +149,65 @@ def ask_pending(
     make_backend: Callable[[], Backend],
     parallel: int | None = None,
     batch: int = 16,
-    commits: int = 1,
+    commits: int = COMMITS,
+    rounds: int = 1,
 ) -> DataFrame:
     """Ask what the store at ``path`` does not answer yet, add the replies, return the store.
 
     The work is committed in ``commits`` shares of the prompt space, so a stopped run loses at most the
-    share it was working on.
+    share it was working on.  What fails for the moment is asked again in up to ``rounds`` rounds; waiting between
+    calls is the backend's affair.
     """
     spark = prompts.sparkSession
-    for share in range(commits):
-        mine = prompts.where(F.pmod(F.xxhash64("prompt_hash"), F.lit(commits)) == share) if commits > 1 else prompts
-        append_replies(ask(pending(mine, read_store(spark, path)), make_backend, parallel, batch), path)
+    if commits > 1:
+        share = F.pmod(F.xxhash64("prompt_hash"), F.lit(commits)).cast("int")
+        folder = storage.shared_folder(spark, "prompts")
+        prompts.select("prompt_hash", "messages", share.alias("share")).write.partitionBy("share").parquet(folder)
+        schema = T.StructType([prompts.schema["prompt_hash"], prompts.schema["messages"], T.StructField("share", T.IntegerType())])
+        prompts = spark.read.schema(schema).parquet(folder)
+    for number in range(rounds):
+        if number and pending(prompts, read_store(spark, path)).isEmpty():
+            break
+        for share in range(commits):
+            mine = prompts.where(F.col("share") == share) if commits > 1 else prompts
+            append_replies(ask(pending(mine, read_store(spark, path)), make_backend, parallel, batch), path)
     return read_store(spark, path)
 
 
+WINDOW_OVERLAP = 256
+
+
 def classify(
     df: DataFrame,
     make_classifier: Callable[[], Callable[[list[str]], list[tuple[str, float]]]],
     text: str = "generated_response",
     batch: int = fixed.CLASSIFIER_BATCH,
 ) -> DataFrame:
-    """Add ``classified`` (label, score) to every row; the classifier is built once per task."""
+    """Add ``classified`` (label, score) to every row; the classifier is built once per task.
+
+    It sees every text whole: one longer than ``CLASSIFIER_CHARS`` goes in as overlapping windows.  A text is what its
+    first window is, unless some window is a refusal: then it is the refusing window with the highest score.
+    """
+    size, step = fixed.CLASSIFIER_CHARS, fixed.CLASSIFIER_CHARS - WINDOW_OVERLAP
+    passing, threshold = set(fixed.PASSING_LABELS), fixed.REFUSAL_THRESHOLD
+
+    def windows(value: str | None) -> list[str]:
+        value = value or ""
+        return [value[i : i + size] for i in range(0, max(1, len(value) - WINDOW_OVERLAP), step)]
+
+    def combined(found: list[tuple[str, float]]) -> tuple[str, float]:
+        refusing = [f for f in found if int(str(f[0]).rsplit("_", 1)[-1]) not in passing and f[1] >= threshold]
+        return max(refusing, key=lambda f: f[1]) if refusing else found[0]
 
     @F.pandas_udf("label string, score double")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         classifier = make_classifier()
         for series in texts:
-            values = series.tolist()
+            parts = [windows(v) for v in series]
+            values = [w for part in parts for w in part]
             found = [pair for i in range(0, len(values), batch) for pair in classifier(values[i : i + batch])]
-            yield pd.DataFrame(found, columns=["label", "score"])
+            ends = list(itertools.accumulate(map(len, parts)))
+            rows = [combined(found[end - len(part) : end]) for part, end in zip(parts, ends)]
+            yield pd.DataFrame(rows, columns=["label", "score"])
 
-    return df.withColumn("classified", run(head(text)))
+    return df.withColumn("classified", run(F.col(text)))

@@ -79,8 +79,8 @@ def summary(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
-def render(row, breakdown=()) -> str:
-    """The summary row as text; ``breakdown`` holds (type, count) pairs."""
+def render(row, breakdown: str = "") -> str:
+    """The summary row as text; ``breakdown`` holds the lines of ``breakdown_text``."""
 
     def number(value, form: str) -> str:
         return "n/a" if value is None else format(value, form)
@@ -89,7 +89,7 @@ def render(row, breakdown=()) -> str:
         "Evaluation summary",
         f"Rows: {row['total']}",
         f"Refused: {row['refused']} ({number(row['refusal_percent'], '.2f')}%)",
-        *[f"  {kind}: {count}" for kind, count in breakdown],
+        *([breakdown] if breakdown else []),
         f"Answered: {row['answered']}",
         f"Mean score, all rows: {number(row['mean_all'], '.4f')}",
         f"Score of answered rows: mean {number(row['mean_answered'], '.4f')}, median {number(row['median_score'], '.4f')}, "
@@ -112,6 +112,14 @@ def refusal_breakdown(results: DataFrame) -> DataFrame:
     )
 
 
+def breakdown_text(results: DataFrame) -> DataFrame:
+    """One row: a line for every type of refusal, the most frequent first."""
+    entry = F.struct((-F.col("n_rows")).alias("order"), "abstention_type", "n_rows")
+    listed = refusal_breakdown(results).agg(F.array_sort(F.collect_list(entry)).alias("kinds"))
+    line = F.transform("kinds", lambda k: F.concat(F.lit("  "), k["abstention_type"], F.lit(": "), k["n_rows"].cast("string")))
+    return listed.select(F.array_join(line, "\n").alias("text"))
+
+
 def derived_metrics(results: DataFrame, answer: str = "generated_response") -> DataFrame:
     """Add delta_k, char_count and claim_density."""
     return (

@@ -81,15 +81,18 @@ def term_weights(examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> Weights:
     corpus = corpus_stats(examples).first()
     idf = _idf_summary(examples, corpus["n_examples"])
     tf, avg_len = F.col("tf"), corpus["avg_len"] or 1.0
-    df = F.count("*").over(Window.partitionBy("term"))
+    postings = _postings(examples)
+    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
+    small = (corpus["weight_bytes"] or 0) <= skew.BROADCAST_LIMIT_BYTES
     norm = fixed.BM25_K1 * (1 - fixed.BM25_B + fixed.BM25_B * F.col("len") / avg_len)
     weight = _idf(corpus["n_examples"], idf["mean"], F.col("df")) * tf * (fixed.BM25_K1 + 1) / (tf + norm)
-    scored = _postings(examples).withColumn("df", df).select("term", "example_id", weight.alias("weight"))
+    counted = skew.lookup_join(postings, frequency, ["term"], "inner", small=small)
+    scored = counted.select("term", "example_id", weight.alias("weight"))
     padded = examples.select("example_id")
     if (idf["mean"] or 0.0) >= 0:
         padded = padded.orderBy(F.desc("example_id")).limit(n)
     pads = padded.select(F.lit(PAD).alias("term"), "example_id", F.lit(0.0).alias("weight"))
-    return Weights(scored.unionByName(pads), (corpus["weight_bytes"] or 0) <= skew.BROADCAST_LIMIT_BYTES)
+    return Weights(scored.unionByName(pads), small)
 
 
 def top_examples(

@@ -64,26 +64,33 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], fraction: float = SAMPLE_FRACTION) -> DataFrame | None:
-    """Keys that would fill more than ``HOT_FACTOR`` average partitions, with the pieces to cut them into.
+def hot_keys(
+    df: DataFrame, keys: list[str], fraction: float = SAMPLE_FRACTION, factor: float | None = None
+) -> DataFrame | None:
+    """Keys that would fill more than ``factor`` average partitions, with the pieces to cut them into.
 
-    At most ``partitions / HOT_FACTOR`` keys can qualify, so they are few whatever the input, and they are fixed
+    At most ``partitions / factor`` keys can qualify, so they are few whatever the input, and they are fixed
     here: both sides of a join see the same list.  They are estimated on a sample; a key that is missed or found
     in error changes the layout of a join, never its result.
     """
-    parts = shuffle_partitions(df)
+    parts, factor = shuffle_partitions(df), HOT_FACTOR if factor is None else factor
     sampled = df.select(*keys).sample(fraction, seed=7) if fraction < 1 else df.select(*keys)
     counts = sampled.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    pieces = F.ceil(F.col("_n") * parts / max(total, 1)).cast("int")
-    hot = counts.where((F.col("_n") * parts > HOT_FACTOR * total) & (F.col("_n") >= MIN_SAMPLED))
+    pieces = F.greatest(F.lit(2), F.ceil(F.col("_n") * parts / max(total, 1)).cast("int"))
+    hot = counts.where((F.col("_n") * parts > factor * total) & (F.col("_n") >= MIN_SAMPLED))
     hot = hot.select(*keys, pieces.alias("_pieces"))
     found = hot.collect()
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", fraction: float = SAMPLE_FRACTION
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    fraction: float = SAMPLE_FRACTION,
+    factor: float | None = None,
 ) -> DataFrame:
     """``left`` (possibly skewed) joined to ``right``; hot keys are spread over their pieces.
 
@@ -93,11 +100,12 @@ def salted_join(
     """
     if how not in ("left", "inner"):
         raise ValueError("salted_join supports left and inner joins")
-    hot = hot_keys(left, keys, fraction)
+    hot = hot_keys(left, keys, fraction, factor)
     if hot is None:
         return left.join(right, keys, how)
     hot = F.broadcast(hot)
-    others = [c for c in left.columns if c not in keys]
+    # Maps cannot be hashed.
+    others = [f.name for f in left.schema.fields if f.name not in keys and "map<" not in f.dataType.simpleString()]
     mixed = F.xxhash64(*others) if others else F.lit(0)
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     pieces = F.when(no_key, shuffle_partitions(left)).otherwise(F.coalesce(F.col("_pieces"), F.lit(1)))

@@ -36,7 +36,7 @@ RESULT_COLUMNS = [
 
 
 def check_in_one_call(
-    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = 1
+    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS
 ) -> DataFrame:
     """(row_id, supported, failed_calls): all claims of an answer in one prompt."""
     asked = replies.with_prompt_hash(
@@ -56,10 +56,10 @@ def check_in_one_call(
 
 
 def check_claim_by_claim(
-    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = 1
+    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS
 ) -> DataFrame:
     """(row_id, supported, failed_calls): one prompt per claim, answered with an option."""
-    claims = df.select("row_id", "gt_facts", F.explode("gen_facts").alias("claim"))
+    claims = df.where(F.size("gt_facts") > 0).select("row_id", "gt_facts", F.explode("gen_facts").alias("claim"))
     asked = replies.with_prompt_hash(claims.select("row_id", claim_messages("claim", "gt_facts").alias("messages")))
     asked = storage.materialise(asked, "claim-checks")
     stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits)
@@ -130,12 +130,15 @@ def evaluate(
     examples: DataFrame | None = None,
     one_call: bool = True,
     parallel: int | None = None,
-    commits: int = 1,
+    commits: int = replies.COMMITS,
 ) -> DataFrame:
     """Score every answer of a dataset.
 
     ``store`` is the folder of finished replies; give each model its own.
 
+    Rows of several files may be graded in one run: ``source_file`` and ``model`` stay on their rows where they are
+    given, and equal ``row_id``s of two files are told apart.
+
     Order of work: clean, attach ground-truth facts, flag refusals, split the remaining answers into claims,
     check the claims, score.  Refused answers are filtered out before any prompt is built.  Each stage that
     calls a model is written before its rows are used again.  Without backends the offline stand-ins
@@ -144,7 +147,7 @@ def evaluate(
     """
     spark = df.sparkSession
     store = store or storage.shared_folder(spark, "replies")
-    base = with_row_id(clean.clean_evaluation(df))
+    base = clean.clean_evaluation(df)
     if reference is not None:
         base = stitch.stitch(base, clean.read_fact_column(reference, lines=True))
     if make_classifier is not None:
@@ -156,9 +159,16 @@ def evaluate(
         base = verify.flag_by_keywords(base)
     else:
         base = base.withColumns({"is_abstained": F.lit(False), "abstention_type": F.lit(None).cast("string")})
+    given = [c for c in ("source_file", "model") if c in base.columns]
+    used = ["prompt", "response", "generated_response", "serviceDomain", "response_facts", "is_abstained", "abstention_type"]
+    # Ids of several files may be equal, so rows are numbered anew here; the given ids return at the end.
+    if "row_id" in base.columns:
+        base = base.withColumnRenamed("row_id", "given_id")
+        given.append("given_id")
+    base = with_row_id(base.select(*[c for c in used if c in base.columns], *given))
     base = storage.materialise(base, "flagged")
 
-    texts = ["prompt", "domain", "generated_response", "abstention_type"]
+    texts = ["prompt", "domain", "generated_response", "abstention_type", *given]
     domain = F.col("serviceDomain") if "serviceDomain" in base.columns else F.lit(None)
     base = base.withColumn("domain", domain.cast("string"))
     if split_backend is None:
@@ -186,6 +196,9 @@ def evaluate(
     failed_calls = F.coalesce("split_failed", F.lit(0)) + F.coalesce("check_failed", F.lit(0))
     if "prompt" not in scored.columns:
         scored = rows.reassemble(base.select("row_id", *texts), scored)
+    if "given_id" in given:
+        scored = scored.drop("row_id").withColumnRenamed("given_id", "row_id")
+        given.remove("given_id")
     return (
         scored.withColumn("failed_calls", failed_calls)
         .withColumn(
@@ -196,5 +209,5 @@ def evaluate(
             .otherwise("ok"),
         )
         .withColumn("error", F.when(F.col("no_reference"), F.lit("no reference facts for this prompt")))
-        .select(*RESULT_COLUMNS)
+        .select(*RESULT_COLUMNS, *given)
     )

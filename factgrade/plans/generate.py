@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,17 +36,18 @@ def run_tasks(
     few_shot: DataFrame | None = None,
     form: str = "parquet",
     parallel: int | None = None,
-    commits: int = 1,
+    commits: int = replies.COMMITS,
 ) -> dict[tuple[str, str], str]:
     """Answer the dataset once per (model, context) and write one table each; returns where they are.
 
-    Every model has its own part of the reply store, so a stopped run goes on with what is missing.
+    Every model has its own part of the reply store, under its full name with slashes escaped, so a stopped run goes
+    on with what is missing and models of different makers never share replies.
     """
     written = {}
     for model, context in tasks:
         if context not in ("zero", "few"):
             raise ValueError(f"unknown context: {context}")
-        name = model.rsplit("/", 1)[-1]
+        name = quote(model, safe="")
         shown = few_shot if context == "few" else None
         answered = generate(df, f"{store}/{name}", backend_for(model), shown, parallel, commits)
         written[model, context] = storage.write_generated(answered, f"{name}_{context}", folder, form)
@@ -58,7 +60,7 @@ def generate(
     make_backend: Callable,
     few_shot: DataFrame | None = None,
     parallel: int | None = None,
-    commits: int = 1,
+    commits: int = replies.COMMITS,
 ) -> DataFrame:
     """The dataset with ``generated_response`` and ``reply_status``; all columns stay.
 

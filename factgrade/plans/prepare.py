@@ -21,7 +21,7 @@ def sentence_rows(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
 
 def split_prompts(sentence_table: DataFrame, examples: DataFrame | None = None) -> DataFrame:
     """(sentence, messages, prompt_hash) for each distinct sentence."""
-    if examples is None:
+    if examples is None or examples.isEmpty():
         asked = sentence_table.select("sentence").distinct().withColumn("messages", split_messages("sentence"))
     else:
         asked = retrieve.with_examples(sentence_table, examples).select(
@@ -31,11 +31,14 @@ def split_prompts(sentence_table: DataFrame, examples: DataFrame | None = None)
 
 
 def collect_facts(fact_rows: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, facts, failed_calls): the fact lists of a text's sentences, joined in order."""
-    ordered = F.sort_array(F.collect_list(F.struct("sentence_no", "facts")))
+    """(keys, facts, failed_calls): the fact lists of a text's sentences, joined in order.
+
+    A sentence without an outcome counts as failed.
+    """
+    ordered = F.sort_array(F.collect_list(F.struct("sentence_no", F.coalesce("facts", fx.no_facts()).alias("facts"))))
     return fact_rows.groupBy(*keys).agg(
         F.flatten(F.transform(ordered, lambda o: o["facts"])).alias("facts"),
-        F.sum("failed").cast("int").alias("failed_calls"),
+        F.sum(F.coalesce("failed", F.lit(1))).cast("int").alias("failed_calls"),
     )
 
 
@@ -47,7 +50,7 @@ def derive_facts(
     examples: DataFrame | None = None,
     keys: tuple[str, ...] = ("row_id",),
     parallel: int | None = None,
-    commits: int = 1,
+    commits: int = replies.COMMITS,
 ) -> DataFrame:
     """(keys, facts, failed_calls) of a text column; texts without sentences may be left out.
 
@@ -77,7 +80,7 @@ def prepare(
     make_backend: Callable | None = None,
     examples: DataFrame | None = None,
     parallel: int | None = None,
-    commits: int = 1,
+    commits: int = replies.COMMITS,
 ) -> DataFrame:
     """All columns of the dataset plus response_facts and response_facts_count; needs a stable ``row_id``."""
     if make_backend is None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from datetime import datetime
@@ -17,9 +18,14 @@ from factgrade.operators import report
 def shared_folder(spark: SparkSession, name: str = "work") -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where the setting is absent, as in tests on one machine, a temporary folder takes its place.
+    Only where the setting is absent on one machine, as in tests, a temporary folder takes its place; on a cluster
+    that is an error, for each machine would write to its own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factgrade-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="factgrade-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -60,21 +66,34 @@ def stamped(base: str, when: datetime | None = None) -> str:
 
 def write_results(results: DataFrame, base: str, form: str = "parquet", when: datetime | None = None) -> str | None:
     """Results and their summary under a time-stamped name; nothing is written for an empty table."""
-    stored = materialise(results, "results")
+    spark = results.sparkSession
+    path = write_table(results, stamped(base, when), form)
+    stored = spark.read.schema(results.schema).format(form).load(path) if form != "csv" else materialise(results, "results")
     if stored.isEmpty():
+        remove(spark, path)
         return None
-    path = write_table(stored, stamped(base, when), form)
-    spark = results.sparkSession
-    breakdown = (
-        [(r["abstention_type"], r["n_rows"]) for r in report.refusal_breakdown(stored).take(len(fixed.LABEL_MEANINGS))]
-        if "abstention_type" in stored.columns
-        else []
-    )
+    breakdown = report.breakdown_text(stored).first()[0] if "abstention_type" in stored.columns else ""
     text = report.render(report.summary(stored).first(), breakdown)
     spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.text(f"{path}_summary")
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_prepared(df: DataFrame, input_path: str, form: str = "csv", mode: str = "errorifexists") -> str:
+    """The prepared table beside its input file, under its default name."""
+    return write_table(df, reference_path(input_path), form, mode)
+
+
+def write_by_model(results: DataFrame, base: str, when: datetime | None = None) -> str:
+    """Results of several models under one time-stamped name, a folder per model."""
+    return write_table(results, stamped(base, when), by=["model"])
+
+
 def write_generated(df: DataFrame, label: str, folder: str, form: str = "parquet", when: datetime | None = None) -> str:
     return write_table(df, stamped(f"{folder}/{label}_generated_responses", when), form)
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factgrade.operators.clean import null_words
-from factgrade.sources.tables import CSV_OPTIONS
+from factgrade.sources.tables import read_files
 
 
 def grade_folder(
@@ -24,24 +24,24 @@ def grade_folder(
 ) -> None:
     """Grade every CSV file that the checkpoint has not seen and return when all are done.
 
-    Each batch goes to its own sub-folder, which a repeated batch overwrites: a restart neither loses nor
+    Columns go by their names, whatever their order in a file.  Each batch goes to its own sub-folder, which a repeated batch overwrites: a restart neither loses nor
     doubles rows.
     """
     files = (
-        spark.readStream.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("pathGlobFilter", glob)
+        spark.readStream.option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
-        .withColumn("source_file", F.col("_metadata.file_name"))
+        .text(folder)
+        .select(F.col("_metadata.file_path").alias("path"))
     )
 
     def write(batch: DataFrame, number: int) -> None:
-        grade(batch).write.mode("overwrite").parquet(f"{output}/batch={number}")
+        # At most ``files_per_batch`` names; each file is then read by its own header.
+        paths = sorted(unquote(r["path"]) for r in batch.distinct().collect())
+        if paths:
+            grade(read_files(spark, paths, schema)).write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     query = (
-        null_words(files)
-        .writeStream.foreachBatch(write)
+        files.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as entry
 
-from factgrade.catalogue.oracle import ORACLE
-from factgrade.catalogue.queries import QUERIES
+from factgrade.catalogue import cases, oracle, queries
+
+QUERIES, ORACLE = queries.QUERIES | cases.QUERIES, oracle.ORACLE | cases.ORACLE
 
 
 @pytest.fixture(scope="session")

@@ -189,7 +189,7 @@ def test_tasks_write_one_table_each(spark, tmp_path):
     tasks = [("host/a", "zero"), ("host/a", "few"), ("b", "zero")]
     written = generate.run_tasks(df, tasks, str(tmp_path / "store"), backend_for, str(tmp_path / "out"), solved)
     assert list(written) == tasks
-    assert written["host/a", "few"].startswith(f"{tmp_path}/out/a_few_generated_responses_")
+    assert written["host/a", "few"].startswith(f"{tmp_path}/out/host%2Fa_few_generated_responses_")
     replies_ = {k: {r["generated_response"] for r in spark.read.parquet(p).collect()} for k, p in written.items()}
     assert replies_ == {tasks[0]: {"host/a: 2"}, tasks[1]: {"host/a: 4"}, tasks[2]: {"b: 2"}}
     with pytest.raises(ValueError, match="unknown context"):

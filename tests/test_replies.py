@@ -72,15 +72,55 @@ def test_run_and_resume(spark, asked, tmp_path):
 
 def test_wrong_number_of_replies_is_a_failure(spark, asked):
     got = replies.ask(replies.distinct_prompts(asked), lambda: lambda batch: ["x"] * (len(batch) + 1)).collect()
-    assert {r["status"] for r in got} == {"permanent"}
+    assert {r["status"] for r in got} == {"temporary"}
+
+
+def test_one_bad_prompt_leaves_its_batch_alone(spark, asked, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    got = replies.ask(replies.distinct_prompts(asked).coalesce(1), backend(log), batch=16).collect()
+    assert sorted(r["status"] for r in got) == ["missing", "ok", "ok", "permanent", "temporary"]
+
+
+def test_rounds_ask_again_what_failed_for_the_moment(spark, asked, tmp_path):
+    log = str(tmp_path)
+
+    def make():
+        def run(batch):
+            import os
+
+            for messages in batch:
+                content, seen = messages[-1]["content"], f"{log}/{messages[-1]['content']}"
+                if content == "down" and not os.path.exists(seen):
+                    if len(batch) == 1:
+                        open(seen, "w").close()
+                    raise RuntimeError("503 overloaded")
+            return ["fine"] * len(batch)
+
+        return run
+
+    prompts = replies.distinct_prompts(asked)
+    store = replies.ask_pending(prompts, str(tmp_path / "store"), make, rounds=3)
+    assert {r["status"] for r in replies.best_replies(store).collect()} == {"ok"}
+    assert store.count() == prompts.count() + 1
+
 
+def test_long_text_is_seen_whole(spark):
+    texts = ["a" * 9000 + " no way", "a" * 4090 + " no way", "b" * 9000]
+    df = spark.createDataFrame([(x,) for x in texts], "generated_response string").coalesce(1)
 
-def test_backend_that_cannot_start_is_a_failure(spark, asked):
+    def make():
+        return lambda found: [("LABEL_0", 0.99) if "no way" in x else ("LABEL_5", 0.9) for x in found]
+
+    assert [r["classified"]["label"] for r in replies.classify(df, make).collect()] == ["LABEL_0", "LABEL_0", "LABEL_5"]
+
+
+def test_backend_that_cannot_start_fails_the_job(spark, asked):
     def make():
         raise RuntimeError("timed out")
 
-    got = replies.ask(replies.distinct_prompts(asked), make).collect()
-    assert {r["status"] for r in got} == {"temporary"}
+    with pytest.raises(Exception, match="timed out"):
+        replies.ask(replies.distinct_prompts(asked), make).collect()
 
 
 def test_rows_without_reply_are_missing(spark, asked, tmp_path):
