@@ -247,7 +247,9 @@ def compare_blocks(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
             for k in range(batch.num_rows):
                 i, j, band = (batch.column(c)[k].as_py() for c in ("i", "j", "band"))
                 left = batch.column("left")[k].as_py()
-                found = links(left, left if i == j else batch.column("right")[k].as_py(), i == j, band)
+                right = left if i == j else batch.column("right")[k].as_py()
+                # No member may have been dealt to the other block.
+                found = links(left, right, i == j, band) if right else []
                 if found:
                     yield edge_batch(found)
 
@@ -255,7 +257,7 @@ def compare_blocks(pairs: DataFrame, percent: int, miss: float) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node of its component) for every node of the edges (a, b).
+    """node and root (the smallest node of its component) for every node of the edges (a, b) but the roots.
 
     Large-star and small-star steps in turn until nothing changes; each step is a grouped minimum and a join in
     which hot nodes are cut into pieces.

@@ -33,6 +33,7 @@ OPERATOR = re.compile(r":=|=>|[!<>=]=|[:=]")
 QUOTED = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`""")
 BARE = re.compile(r"""[^\s"'`,;(){}\[\]<>]+""")
 REFERENCE = re.compile(r"(?:\$\{|\{\{|\$)?\s*([A-Za-z_][A-Za-z0-9_.]*)\s*(?:\}\}|\})?\Z")
+TEMPLATE = re.compile(r"\$\{\s*([A-Za-z_][A-Za-z0-9_.]*)\s*\}|\{\{\s*([A-Za-z_][A-Za-z0-9_.]*)\s*\}\}")
 JOINED = re.compile(r"[ \t]*\+[ \t]*(?=[\"'`])")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 NAME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.-")
@@ -108,7 +109,10 @@ def pairs(text: str) -> list[tuple[str, list[tuple[int, int]], str | None]]:
             done = quoted.end()
             more = JOINED.match(text, done)
             quoted = QUOTED.match(text, more.end()) if more else None
-        if not literals:
+        template = TEMPLATE.match(text, right)
+        if template:
+            reference, done = template[template.lastindex], template.end()
+        elif not literals:
             bare = BARE.match(text, right)
             if not bare:
                 continue
