@@ -2,7 +2,7 @@
 
 import random
 
-import brute
+from llm import brute
 import pytest
 
 from factgrade.llm import pii, secrets
