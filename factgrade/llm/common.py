@@ -50,7 +50,8 @@ def space_words(text: str | None) -> list[bytes]:
 
 def remainder(key: Column | str, divisor: int) -> Column:
     """CRC-32 of the key as text, modulo the divisor; a null key counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("")).cast("string")) % divisor
+    key = F.col(key) if isinstance(key, str) else key
+    return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % divisor
 
 
 def map_rows(
@@ -59,10 +60,11 @@ def map_rows(
     """Columns computed by Python from the values of ``columns``, a batch of rows at a time.
 
     ``make`` is called once per task and returns a function from lists of values (one list per column) to one
-    tuple per row.  The columns of ``keep`` pass through untouched.
+    tuple per row; a column may be a field of a struct (``row.text``).  The columns of ``keep`` pass through untouched.
     """
     keep = [] if keep is None else keep
-    need = list(dict.fromkeys([*keep, *columns]))
+    paths = [c.partition(".")[::2] for c in columns]
+    need = list(dict.fromkeys([*keep, *[outer for outer, _ in paths]]))
     spark = df.sparkSession
     kept = df.select(*keep).schema if keep else None
     empty = spark.createDataFrame([], added).schema
@@ -75,7 +77,8 @@ def map_rows(
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                values = [part.column(need.index(c)).to_pylist() for c in columns]
+                whole = [(part.column(need.index(outer)), inner) for outer, inner in paths]
+                values = [(c.field(inner) if inner else c).to_pylist() for c, inner in whole]
                 rows = call(*values)
                 made = list(zip(*rows)) if rows else [()] * (len(arrow) - n_keep)
                 yield pa.RecordBatch.from_arrays(

@@ -74,7 +74,9 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+def find_hits(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None, text: str = "text"
+) -> DataFrame:
     """Words of documents inside occurrences of benchmark windows.
 
     Adds ``n_words``, ``hits`` (disjoint word ranges, end exclusive) and ``items`` (sorted ids of the items with
@@ -90,7 +92,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
     total = tests.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     slices = max(1, -(-total // SLICE_BYTES))
     out = docs.withColumns({"_words": F.lit(0).cast("bigint"), "_hits": F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"), "_items": F.expr("cast(array() as array<bigint>)")})
-    out = out.select(*[F.col(c) for c in dict.fromkeys([*keep, "text"])], "_words", "_hits", "_items")
+    with_text = list(dict.fromkeys([*keep, text.partition(".")[0]]))
+    out = out.select(*with_text, "_words", "_hits", "_items")
     for k in range(slices):
         share = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k) if slices > 1 else tests
         sent = docs.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in share.toLocalIterator()])
@@ -109,9 +112,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep:
 
             return scan
 
-        through = list(dict.fromkeys([*keep, "text"])) if k < slices - 1 else keep
+        through = with_text if k < slices - 1 else keep
         out = map_rows(
-            out, ["text", "_hits", "_items"], make,
+            out, [text, "_hits", "_items"], make,
             "_words bigint, _hits array<struct<start:bigint,end:bigint>>, _items array<bigint>", through,
         )
     return out.withColumnsRenamed({"_words": "n_words", "_hits": "hits", "_items": "items"})
@@ -145,12 +148,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    found = find_hits(docs.select(F.struct(*docs.columns).alias("_row"), "text"), benchmark, window, keep=["_row", "text"])
+    found = find_hits(docs.select(F.struct(*docs.columns).alias("_row")), benchmark, window, ["_row"], "_row.text")
     if remove == "documents":
         return found.where(~is_contaminated(share)).select("_row.*")
 
     def make():
         return lambda texts, hits: [(cut(t, h),) for t, h in zip(texts, hits)]
 
-    rows = map_rows(found, ["text", "hits"], make, "_text string", ["_row"])
+    rows = map_rows(found, ["_row.text", "hits"], make, "_text string", ["_row"])
     return rows.select(F.col("_row").withField("text", F.col("_text")).alias("_row")).select("_row.*")

@@ -411,5 +411,5 @@ def redact(docs: DataFrame, field: Field | None = None) -> DataFrame:
     def make():
         return lambda texts: [(clean(t),) for t in texts]
 
-    rows = map_rows(docs.select(F.struct(*docs.columns).alias("_row"), "text"), ["text"], make, "_clean string", ["_row"])
+    rows = map_rows(docs.select(F.struct(*docs.columns).alias("_row")), ["_row.text"], make, "_clean string", ["_row"])
     return rows.select(F.col("_row").withField("text", F.col("_clean")).alias("_row")).select("_row.*")

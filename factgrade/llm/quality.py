@@ -240,5 +240,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     stats = materialise(statistics(docs), "statistics")
     model = fit(stats, labels)
-    wide = map_rows(docs.select(F.struct(*columns).alias("_row"), "text"), ["text"], make, ", ".join(f"{s} double" for s in STATISTICS), ["_row"])
+    wide = map_rows(docs.select(F.struct(*columns).alias("_row")), ["_row.text"], make, ", ".join(f"{s} double" for s in STATISTICS), ["_row"])
     return wide.where(model.column() >= CUT).select("_row.*")
