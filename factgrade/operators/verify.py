@@ -68,8 +68,9 @@ def match_reference(
     answer is the one with the lowest item id that shares a fact with it.  Adds item_id, quoted (the answer's
     facts found in any reference) and gt_facts of the chosen reference.
 
-    A fact is first reduced to its lowest item, so a fact that many items share never multiplies rows; text
-    that matches nothing leaves the plan at the join.
+    A fact is first reduced to its lowest item, so a fact that many items share never multiplies rows.  References
+    that are too large to broadcast are met by a 128-bit hash of each sentence: the texts of answers are not
+    shuffled, and sentences that match nothing leave the plan at the join.
     """
     small = skew.fits_broadcast(references, limit=limit)
     lowest = (
@@ -79,7 +80,15 @@ def match_reference(
     )
     carried = [c for c in answers.columns if c not in ("doc_id", "gen_facts")]
     claims = answers.select("doc_id", *carried, F.explode_outer(F.array_distinct("gen_facts")).alias("fact"))
-    found = skew.lookup_join(claims, lowest, ["fact"], small=small)
+    if not small:
+        digest = F.unhex(F.md5("fact")).alias("digest")
+        hashed = answers.select("doc_id", F.explode(F.array_distinct("gen_facts")).alias("fact")).select("doc_id", digest)
+        hits = skew.salted_join(hashed, lowest.select(digest, "fact", "item_id"), ["digest"], "inner")
+        hits = hits.groupBy("doc_id").agg(F.min("item_id").alias("item_id"), F.collect_set("fact").alias("quoted"))
+        chosen = answers.select("doc_id", *carried).join(hits, "doc_id", "left")
+        chosen = chosen.withColumn("quoted", F.coalesce("quoted", F.array().cast("array<string>")))
+        return skew.lookup_join(chosen, references, ["item_id"], small=False)
+    found = skew.lookup_join(claims, lowest, ["fact"], small=True)
     quoted = F.collect_set(F.when(F.col("item_id").isNotNull(), F.col("fact")))
     chosen = found.groupBy("doc_id").agg(
         F.min("item_id").alias("item_id"), quoted.alias("quoted"), *[F.any_value(c).alias(c) for c in carried]

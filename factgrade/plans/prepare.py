@@ -87,7 +87,8 @@ def prepare(
         listed = df.withColumn("response_facts", fx.sentence_facts("response"))
     else:
         derived = derive_facts(df, "response", store, make_backend, examples, parallel=parallel, commits=commits)
-        listed = df.join(derived.select("row_id", F.col("facts").alias("response_facts")), "row_id", "left")
+        # Written once: whoever stitches the facts measures and reads the table more than once.
+        listed = storage.materialise(df.join(derived.select("row_id", F.col("facts").alias("response_facts")), "row_id", "left"), "prepared")
     return listed.withColumn("response_facts", F.coalesce("response_facts", fx.no_facts())).withColumn(
         "response_facts_count", F.size("response_facts")
     )
