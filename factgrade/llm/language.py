@@ -1,10 +1,12 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-Counts of all training tokens come first.  The most frequent tokens are words of the softmax, in classes of equal size;
-all others are one class, whose words share its probability by their counts.  Features of a place are hashed: a bias,
-the token before, the one before that (a skip), and both (an n-gram).  All training places are counted as events
-(features, word) and the weights follow gradients that tasks sum over the events.  Scoring works on chunks of
-documents: a chunk's own vocabulary is joined to the counts, so that no task holds the vocabulary of the corpus.
+Counts of all training tokens come first and rank them.  The most frequent tokens, the head, are words of a softmax in
+classes of equal size.  All others, the tail, are cut by falling count into buckets of about equal mass, and a tree of
+small softmaxes leads from the tail to its buckets and within a bucket to each word.  Features of a place are hashed:
+a bias, the token before, the one before that (a skip), and both (an n-gram).  Above the buckets, training places are
+counted as events (features, word) and weights follow gradients over these.  The places of a bucket meet in one task,
+which learns the bucket's weights, with whole tokens as context, and scores its words.  A chunk's own vocabulary is
+joined to the ranks, so that no task holds the vocabulary of the corpus.
 """
 
 from __future__ import annotations
@@ -38,7 +40,16 @@ WORDS_WIDTH = CLASSES * CLASS_WORDS
 COLUMNS = CLASSES + 1 + WORDS_WIDTH
 ROUNDS, RATE, SMOOTHING = 8, 0.5, 4.0
 SHARDS = 16
-CACHE = 400_000
+#: Children of a node of the trees over the tail's words.
+BRANCH = 16
+#: Training tokens in a bucket of tail words, whose weights are learned in one task.
+BUCKET_MASS = 1_000_000
+#: Rows of the weight table of each node above the buckets.
+NODE_ROWS = 4096
+TAIL_ROUNDS = 2
+STEP = 65_536
+#: Events with smaller keys are those of the head.
+HEAD_KEYS = CONTEXTS * CONTEXTS * (HEAD + 1)
 #: The end of a text; no word is empty.
 END = b""
 
@@ -126,17 +137,6 @@ def context_of(token: bytes, rank: dict[bytes, int]) -> int:
     return HEAD + zlib.crc32(token[-3:]) % TAIL_BUCKETS if found is None else found
 
 
-class Contexts(dict):
-    """Contexts of tokens as they are asked for."""
-
-    def __init__(self, rank: dict[bytes, int]) -> None:
-        self.rank = rank
-
-    def __missing__(self, token: bytes) -> int:
-        found = self[token] = context_of(token, self.rank)
-        return found
-
-
 def feature_rows(before: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Rows of the weight table for each place: bias, token before, skip, and both."""
 
@@ -208,45 +208,221 @@ class Weights:
         return seen, expected
 
 
-def places(contexts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def places(contexts: np.ndarray, starts: np.ndarray, none: int = START) -> tuple[np.ndarray, np.ndarray]:
     """The contexts before each token of texts laid end to end; ``starts`` are the first tokens of the texts."""
-    before = np.concatenate([[START], contexts[:-1]])
-    before[starts] = START
-    second = np.concatenate([[START], before[:-1]])
-    second[starts] = START
+    before = np.concatenate([[none], contexts[:-1]])
+    before[starts] = none
+    second = np.concatenate([[none], before[:-1]])
+    second[starts] = none
     return before, second
 
 
-def count_events(docs: DataFrame, head: list[bytes]) -> DataFrame:
-    """How often each (token before, one before that, word) stands in the training texts, over all of them."""
+# ---- the tail
+
+
+class Tail:
+    """Words beyond the head by falling count, cut into buckets of about equal mass, and the tree above the buckets.
+
+    ``starts`` are the codes at which buckets begin; the last code is that of all unseen words.  The number of
+    buckets follows the training tokens, and the number of nodes that of the buckets.
+    """
+
+    def __init__(self, starts: np.ndarray, masses: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts, self.sizes, self.depth = starts, sizes, 0
+        while BRANCH**self.depth < len(starts):
+            self.depth += 1
+        self.masses = np.zeros(BRANCH**self.depth)
+        self.masses[: len(masses)] = masses
+
+    def bucket(self, codes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, codes, "right") - 1
+
+    def choices(self, buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Node and child at each level from the root down."""
+        return tree_path(buckets, self.depth)
+
+    def bias(self, level: int) -> np.ndarray:
+        """For each node of a level the log of its children's masses."""
+        return log_mass(self.masses.reshape(BRANCH ** (level + 1), -1).sum(1).reshape(-1, BRANCH))
+
+
+def tree_path(leaves: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    first = 0
+    for level in range(depth):
+        above = leaves // BRANCH ** (depth - level)
+        yield first + above, leaves // BRANCH ** (depth - level - 1) % BRANCH
+        first += BRANCH**level
+
+
+def log_mass(mass: np.ndarray) -> np.ndarray:
+    return np.where(mass > 0, np.log(np.maximum(mass, 1e-9)), -1e4).astype(np.float32)
+
+
+def tail_rows(before: np.ndarray, second: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
+    """Rows of a weight table of ``size`` (a power of two) for token before, skip and both at a node."""
+    b, s, x = (v.astype(np.uint64) for v in (before, second, node))
+    kinds = (b, s + np.uint64(1 << 34), (b << np.uint64(32)) + s + np.uint64(1 << 63))
+    out = np.empty((3, len(node)), dtype=np.int32)
+    for k, kind in enumerate(kinds):
+        h = kind * np.uint64(0x9E3779B97F4A7C15) + x * np.uint64(0xC2B2AE3D27D4EB4F)
+        h ^= h >> np.uint64(29)
+        out[k] = ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) & (size - 1)
+    return out
+
+
+def choice_logs(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return log_softmax(table[rows[0]] + table[rows[1]] + table[rows[2]] + bias)
+
+
+def fit_choices(rows: np.ndarray, bias: np.ndarray, child: np.ndarray, n: np.ndarray, size: int, rounds: int) -> np.ndarray:
+    """Weights (feature row, child) after ``rounds`` gradients over all events; ``bias`` has a row for each event."""
+    table = np.zeros((size, BRANCH), dtype=np.float32)
+    seen = np.zeros(size * BRANCH)
+    for r in rows:
+        seen += np.bincount(r.astype(np.int64) * BRANCH + child, n, size * BRANCH)
+    seen = seen.reshape(size, BRANCH)
+    for _ in range(rounds):
+        expected = np.zeros((BRANCH, size))
+        for a in range(0, len(child), STEP):
+            part = rows[:, a : a + STEP]
+            p = np.ascontiguousarray((np.exp(choice_logs(table, part, bias[a : a + STEP])) * n[a : a + STEP, None]).T)
+            for r in part:
+                for k in range(BRANCH):
+                    expected[k] += np.bincount(r, p[k], size)
+        e = expected.T
+        table += (RATE * (seen - e) / (np.maximum(seen, e) + SMOOTHING)).astype(np.float32)
+    return table
+
+
+def table_size(events: int) -> int:
+    """Rows of a weight table, in proportion to the events."""
+    return 1 << max(6, (max(events, 1) // 4).bit_length())
+
+
+def bucket_logs(words: np.ndarray, before: np.ndarray, second: np.ndarray, trained: np.ndarray, size: int, rounds: int) -> np.ndarray:
+    """Log-probabilities of a bucket's words (numbers under ``size``) within it; learns from the places in ``trained``."""
+    depth = 0
+    while BRANCH**depth < size:
+        depth += 1
+    out = np.zeros(len(words))
+    mass = np.zeros(BRANCH**depth)
+    mass[:size] = np.bincount(words[trained], minlength=size) + 1
+    rows_wanted = table_size(int(trained.sum()))
+    for level in range(depth):
+        node, child = words // BRANCH ** (depth - level), words // BRANCH ** (depth - level - 1) % BRANCH
+        bias = log_mass(mass.reshape(BRANCH ** (level + 1), -1).sum(1).reshape(-1, BRANCH))
+        rows = tail_rows(before, second, node, rows_wanted)
+        mine = np.flatnonzero(trained)
+        table = fit_choices(rows[:, mine], bias[node[mine]], child[mine], np.ones(len(mine)), rows_wanted, rounds)
+        for a in range(0, len(words), STEP):
+            b = slice(a, a + STEP)
+            out[b] += choice_logs(table, rows[:, b], bias[node[b]])[np.arange(len(child[b])), child[b]]
+    return out
+
+
+def train_nodes(events: DataFrame, tail: Tail, rounds: int) -> dict[int, np.ndarray]:
+    """Weights of each node above the buckets, learned from its events in a task of its own."""
+    per_node = CONTEXTS**2 * BRANCH
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        key, n = pdf["key"].to_numpy(np.int64), pdf["n"].to_numpy(np.float64)
+        node = int(pdf["node"].iloc[0])
+        pair, child = np.divmod(key % per_node, BRANCH)
+        before, second = np.divmod(pair, CONTEXTS)
+        rows = tail_rows(before, second, np.zeros_like(before), NODE_ROWS)
+        table = fit_choices(rows, np.broadcast_to(tail_bias(node), (len(key), BRANCH)), child, n, NODE_ROWS, rounds)
+        return pd.DataFrame({"node": [node], "weights": [table.tobytes()]})
+
+    biases = np.concatenate([tail.bias(k) for k in range(tail.depth)]) if tail.depth else np.zeros((0, BRANCH), np.float32)
+
+    def tail_bias(node: int) -> np.ndarray:
+        return biases[node]
+
+    keyed = events.select(F.expr(f"(key - {HEAD_KEYS}L) div {per_node}L").alias("node"), (F.col("key") - HEAD_KEYS).alias("key"), "n")
+    found = keyed.groupBy("node").applyInPandas(fit, "node bigint, weights binary").collect()
+    return {r["node"]: np.frombuffer(r["weights"], np.float32).reshape(NODE_ROWS, BRANCH) for r in found}
+
+
+def node_logs(tail: Tail, nodes: dict[int, np.ndarray], buckets: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Log-probabilities of buckets given the tail."""
+    out = np.zeros(len(buckets))
+    rows = tail_rows(before, second, np.zeros_like(before), NODE_ROWS)
+    first = 0
+    for level, (node, child) in enumerate(tail.choices(buckets)):
+        bias = tail.bias(level)
+        order = np.argsort(node, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(node[order])) + 1) if len(order) else []:
+            k = int(node[at[0]])
+            own = bias[k - first][None]
+            logs = choice_logs(nodes[k], rows[:, at], own) if k in nodes else np.repeat(log_softmax(own), len(at), 0)
+            out[at] += logs[np.arange(len(at)), child[at]]
+        first += BRANCH**level
+    return out
+
+
+def ranked(counts: DataFrame) -> tuple[DataFrame, Tail, int]:
+    """Tokens with their ``code``, the rank by falling count; the tail's buckets; the number of distinct tokens."""
+    folder = shared_folder(counts.sparkSession, "ranked")
+    counts.orderBy(F.desc("c"), "token").withColumn("id", F.monotonically_increasing_id()).write.parquet(folder)
+    stored = counts.sparkSession.read.parquet(folder)
+    parts = stored.groupBy(F.shiftright("id", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
+    runs = stored.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).collect()
+    first = dict(zip([r["p"] for r in parts], itertools.accumulate([0, *[r["n"] for r in parts]])))
+    distinct = sum(r["n"] for r in parts)
+    offset = F.lit(0).cast("bigint")
+    if first:
+        offset = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for item in first.items() for x in item]), F.shiftright("id", 33))
+    coded = stored.select("token", "c", (offset + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("code"))
+    starts, masses, sizes, at = [], [], [], 0
+    begin, mass = min(HEAD, distinct), 0
+    for c, n in [*[(r["c"], r["n"]) for r in runs], (0, 1)]:
+        left, at = at + n - max(at, begin), at + n
+        while left > 0:
+            some = min(left, max(1, -(-(BUCKET_MASS - mass) // (c + 1))))
+            mass, left = mass + some * (c + 1), left - some
+            if mass >= BUCKET_MASS or c == 0:
+                end = at - left
+                starts, masses, sizes = [*starts, begin], [*masses, mass], [*sizes, end - begin]
+                begin, mass = end, 0
+    return coded, Tail(np.array(starts), np.array(masses, dtype=np.float64), np.array(sizes)), distinct
+
+
+# ---- events and weights of the head
+
+
+def count_events(coded: DataFrame, tail: Tail) -> DataFrame:
+    """How often each (token before, one before that, word) stands in the training texts, over all of them.
+
+    Keys under ``HEAD_KEYS`` are words of the head or the tail as a whole; the others are choices at the nodes above
+    the tail's buckets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = {t: k for k, t in enumerate(head)}
-        cache = Contexts(rank)
         keys: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(keys), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(n.astype(np.int64))], ["key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
         for batch in batches:
-            for text in batch.column(0):
-                tokens = space_words(text.as_py())
-                tokens.append(END)
-                if len(cache) > CACHE:
-                    cache.clear()
-                contexts = np.fromiter(map(cache.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+            for x, y in zip(batch.column(0), batch.column(1)):
+                codes, contexts = np.frombuffer(x.as_py(), np.int32), np.frombuffer(y.as_py(), np.int16).astype(np.int64)
                 before, second = places(contexts, np.zeros(1, dtype=np.int64))
-                keys.append((before * CONTEXTS + second) * (HEAD + 1) + np.minimum(contexts, HEAD))
-                size += len(contexts)
+                pair = before * CONTEXTS + second
+                keys.append(pair * (HEAD + 1) + np.minimum(contexts, HEAD))
+                at = np.flatnonzero(contexts >= HEAD)
+                for node, child in tail.choices(tail.bucket(codes[at])):
+                    keys.append(HEAD_KEYS + (node * CONTEXTS**2 + pair[at]) * BRANCH + child)
+                size += sum(map(len, keys[-1 - tail.depth :]))
                 if size > 4_000_000:
                     yield out()
                     keys, size = [], 0
         if keys:
             yield out()
 
-    return docs.where(~is_held_out()).select("text").mapInArrow(run, "key int, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    chosen = coded.where(~F.col("held_out")).select("codes", "contexts")
+    return chosen.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def summed_statistics(events: DataFrame, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -311,6 +487,88 @@ def train(events: DataFrame, head: list[bytes], rounds: int = ROUNDS) -> Weights
 # ---- scoring
 
 
+def encode(texts: DataFrame, words: DataFrame, coded: DataFrame, head: list[bytes], base_mass: float, unseen: int) -> DataFrame:
+    """Texts as codes and contexts of their tokens, with what the base model needs of them."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rank = {t: k for k, t in enumerate(head)}
+        right = right.sort_values("at")
+        c, code = right["c"].to_numpy(np.int64), right["code"].to_numpy(np.int32)
+        context = np.array([context_of(bytes(t), rank) for t in right["token"]], dtype=np.int16)
+        base = np.log10(c + 1.0) - np.log10(base_mass)
+        ids = [np.frombuffer(x, np.int32) for x in left["ids"]]
+        return pd.DataFrame(
+            {
+                "chunk": left["chunk"],
+                "row": np.arange(len(ids), dtype=np.int32),
+                "doc_id": left["doc_id"],
+                "held_out": left["held_out"],
+                "n_tokens": [len(x) for x in ids],
+                "n_known": [int((c[x] > 0).sum()) for x in ids],
+                "base_score": [float(base[x].sum()) for x in ids],
+                "codes": [code[x].tobytes() for x in ids],
+                "contexts": [context[x].tobytes() for x in ids],
+            }
+        )
+
+    known = words.join(coded, "token", "left")
+    known = known.select("chunk", "at", "token", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("code", F.lit(unseen)).alias("code"))
+    schema = "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, codes binary, contexts binary"
+    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(run, schema)
+
+
+def laid_out(batch: pa.RecordBatch, first: int, n: int) -> tuple[np.ndarray, ...]:
+    """Codes, contexts, sizes and starts of some texts laid end to end."""
+    codes = [np.frombuffer(x.as_py(), np.int32) for x in batch.column("codes").slice(first, n)]
+    contexts = [np.frombuffer(x.as_py(), np.int16) for x in batch.column("contexts").slice(first, n)]
+    sizes = np.array([len(x) for x in codes])
+    return np.concatenate(codes), np.concatenate(contexts).astype(np.int64), sizes, np.concatenate([[0], np.cumsum(sizes)[:-1]])
+
+
+def tail_sums(coded: DataFrame, tail: Tail, rounds: int) -> DataFrame:
+    """Sums of the log-probabilities of tail words within their buckets: chunk, and rows and sums as bytes.
+
+    All places of a bucket meet in one task, which learns the bucket's weights from those of training texts.
+    """
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                chunk = part.column("chunk").to_numpy()
+                for at in np.split(np.arange(part.num_rows), np.flatnonzero(np.diff(chunk)) + 1):
+                    codes, contexts, sizes, starts = laid_out(part, int(at[0]), len(at))
+                    before, second = places(codes.astype(np.int64) + 1, starts, 0)
+                    row = np.repeat(part.column("row").to_numpy()[at] * 2 + part.column("held_out").to_numpy(zero_copy_only=False)[at], sizes)
+                    there = np.flatnonzero(contexts >= HEAD)
+                    bucket = tail.bucket(codes[there])
+                    order = np.argsort(bucket, kind="stable")
+                    there, bucket = there[order], bucket[order]
+                    cuts = np.flatnonzero(np.diff(bucket)) + 1
+                    firsts = np.concatenate([[0], cuts])[: len(there)].astype(np.int64)
+                    packs = [[x.astype(np.int32).tobytes() for x in np.split(v[there], cuts)][: len(firsts)] for v in (row, codes, before, second)]
+                    arrays = [pa.array(bucket[firsts]), pa.array([int(chunk[at[0]])] * len(firsts), pa.int64()), *[pa.array(x, pa.binary()) for x in packs]]
+                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk", "rows", "codes", "before", "second"])
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["bucket"].iloc[0])
+        row, codes, before, second = (np.concatenate([np.frombuffer(x, np.int32) for x in pdf[k]]) for k in ("rows", "codes", "before", "second"))
+        size, start = int(tail.sizes[bucket]), int(tail.starts[bucket])
+        logs = bucket_logs(codes.astype(np.int64) - start, before, second, row % 2 == 0, size, rounds)
+        rows, sums, at = [], [], 0
+        for x in pdf["rows"]:
+            n = len(x) // 4
+            own, where = np.unique(row[at : at + n] // 2, return_inverse=True)
+            rows.append(own.astype(np.int32).tobytes())
+            sums.append(np.bincount(where, logs[at : at + n]).tobytes())
+            at += n
+        return pd.DataFrame({"chunk": pdf["chunk"], "rows": rows, "sums": sums})
+
+    packed = "bucket bigint, chunk bigint, rows binary, codes binary, before binary, second binary"
+    routed = coded.select("chunk", "row", "held_out", "codes", "contexts").mapInArrow(route, packed)
+    return routed.groupBy("bucket").applyInPandas(learn, "chunk bigint, rows binary, sums binary")
+
+
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document.
 
@@ -321,51 +579,43 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     texts, words = chunked(docs)
     counts = materialise(words.where("n > 0").groupBy("token").agg(F.sum("n").alias("c")), "counts")
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(HEAD).collect()
-    head = [bytes(r["token"]) for r in top]
-    events = materialise(count_events(docs, head), "events")
-    weights = train(events, head, rounds)
-    tail_mass = float(total - sum(r["c"] for r in top) + distinct - len(top) + 1)
-    base_mass = float(total + distinct + 1)
-    sent = docs.sparkSession.sparkContext.broadcast((weights.table, head))
-
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        model = Weights(*sent.value)
-        right = right.sort_values("at")
-        c = right["c"].to_numpy(np.int64)
-        context = np.array([context_of(bytes(t), model.rank) for t in right["token"]], dtype=np.int64)
-        base = np.log10(c + 1.0) - np.log10(base_mass)
-        tail = np.log(c + 1.0) - np.log(tail_mass)
-        rows = []
-        for _, at in left.groupby(np.cumsum(left["ids"].map(len).to_numpy()) // 2_000_000, sort=False):
-            ids = [np.frombuffer(x, np.int32) for x in at["ids"]]
-            sizes = np.array([len(x) for x in ids])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            flat = np.concatenate(ids)
-            contexts = context[flat]
-            before, second = places(contexts, starts)
-            target = np.minimum(contexts, HEAD)
-            log_p = np.empty(len(flat))
-            for a in range(0, len(flat), 65_536):
-                b = slice(a, a + 65_536)
-                log_p[b] = model.log_probability(feature_rows(before[b], second[b]), target[b])
-            log_p += np.where(target == HEAD, tail[flat], 0.0)
-            rows.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": at["doc_id"],
-                        "held_out": at["held_out"],
-                        "n_tokens": sizes,
-                        "n_known": np.add.reduceat((c[flat] > 0).astype(np.int64), starts),
-                        "train_tokens": total,
-                        "base_score": np.add.reduceat(base[flat], starts),
-                        "score": np.add.reduceat(log_p, starts) / np.log(10),
-                    }
-                )
-            )
-        return pd.concat(rows)
-
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    coded, tail, distinct = ranked(counts)
+    head = [bytes(r["token"]) for r in coded.where(F.col("code") < HEAD).orderBy("code").collect()]
+    table = materialise(encode(texts, words, coded, head, float(total + distinct + 1), distinct), "coded")
+    events = materialise(count_events(table, tail), "events")
+    weights = train(events.where(F.col("key") < HEAD_KEYS), head, rounds)
+    nodes = train_nodes(events.where(F.col("key") >= HEAD_KEYS), tail, min(rounds, TAIL_ROUNDS))
+    sent = docs.sparkSession.sparkContext.broadcast((weights.table, head, nodes))
+    plain = ["chunk", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, head, nodes = sent.value
+        model = Weights(weights, head)
+        for batch in batches:
+            sizes = batch.column("n_tokens").to_numpy()
+            for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(np.cumsum(sizes) // 500_000)) + 1):
+                codes, contexts, sizes, starts = laid_out(batch, int(at[0]), len(at))
+                before, second = places(contexts, starts)
+                target = np.minimum(contexts, HEAD)
+                log_p = np.empty(len(codes))
+                for a in range(0, len(codes), 65_536):
+                    b = slice(a, a + 65_536)
+                    log_p[b] = model.log_probability(feature_rows(before[b], second[b]), target[b])
+                    there = a + np.flatnonzero(target[b] == HEAD)
+                    log_p[there] += node_logs(tail, nodes, tail.bucket(codes[there]), before[there], second[there])
+                part = batch.slice(int(at[0]), len(at))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in plain], pa.array(np.add.reduceat(log_p, starts))], [*plain, "log_p"])
+
+    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left = left.sort_values("row")
+        log_p = left["log_p"].to_numpy(np.float64, copy=True)
+        for rows, sums in zip(right["rows"], right["sums"]):
+            log_p[np.frombuffer(rows, np.int32)] += np.frombuffer(sums, np.float64)
+        return left.assign(train_tokens=total, score=log_p / np.log(10)).drop(columns=["chunk", "row", "log_p"])
+
+    partial = "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, log_p double"
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    known = words.join(counts, "token", "left").select("chunk", "at", "token", F.coalesce("c", F.lit(0)).alias("c"))
-    return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(score, schema)
+    scored = table.mapInArrow(score, partial)
+    sums = tail_sums(table, tail, min(rounds, TAIL_ROUNDS))
+    return scored.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInPandas(add, schema)

@@ -183,3 +183,40 @@ def test_probabilities_add_up():
     targets = np.array([*range(20), language.HEAD])
     total = np.exp(model.log_probability(np.repeat(rows, len(targets), axis=1), targets)).sum()
     assert abs(total - 1) < 1e-5
+
+
+def test_tail_words_follow_their_context(spark, monkeypatch):
+    """Words beyond the head are told apart by the token before, in one bucket and in several."""
+    n, rng = 300, random.Random(7)
+    pairs = [(f"a{k}xyz", f"b{k}xyz") for k in range(n)]
+    ids = iter(range(10**6))
+    held, trained = [], []
+    for i in ids:
+        (held if zlib.crc32(str(i).encode()) % 7 == 2 else trained).append(i)
+        if len(held) >= 2 and len(trained) >= 60:
+            break
+    rows = [(i, " ".join(w for p in rng.sample(pairs, n) for w in p)) for i in trained[:60]]
+    right = " ".join(w for p in pairs[-20:] for w in p)
+    wrong = " ".join(w for k in range(n - 20, n) for w in (pairs[k][0], pairs[n - 20 + (k + 1 - n) % 20][1]))
+    docs = spark.createDataFrame([*rows, (held[0], right), (held[1], wrong)], "doc_id bigint, text string")
+    for mass in (language.BUCKET_MASS, 1500):
+        monkeypatch.setattr(language, "BUCKET_MASS", mass)
+        found = language.score_documents(docs).collect()
+        check_language(found, [*rows, (held[0], right), (held[1], wrong)])
+        score = {r["doc_id"]: r["score"] for r in found}
+        assert score[held[0]] > score[held[1]] + 3
+
+
+def test_tail_probabilities_add_up():
+    rng = np.random.default_rng(3)
+    size = 300
+    words = rng.integers(0, size, 5000)
+    before, second = rng.integers(0, 40, 5000), rng.integers(0, 40, 5000)
+    every = np.concatenate([words, np.arange(size)])
+    at = np.full(size, 7)
+    trained = np.arange(len(every)) < 5000
+    logs = language.bucket_logs(every, np.concatenate([before, at]), np.concatenate([second, at]), trained, size, 2)
+    assert abs(np.exp(logs[5000:]).sum() - 1) < 1e-4
+    tail = language.Tail(np.arange(20) * 10, np.arange(1, 21), np.full(20, 10))
+    nodes = {k: rng.normal(size=(language.NODE_ROWS, language.BRANCH)).astype(np.float32) for k in range(3)}
+    assert abs(np.exp(language.node_logs(tail, nodes, np.arange(20), np.full(20, 3), np.full(20, 4))).sum() - 1) < 1e-4
