@@ -33,7 +33,7 @@ def classify_long(spark: SparkSession, sf: str) -> DataFrame:
     def make():
         return lambda texts: [("LABEL_0", 0.99) if "I cannot help." in x else ("LABEL_5", 0.98) for x in texts]
 
-    late = F.concat(F.rpad("text", 5000, " x"), F.lit(" I cannot help."))
+    late = F.concat("text", F.repeat(F.lit(" x"), 2500), F.lit(" I cannot help."))
     df = t.table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, late).otherwise(F.col("text")).alias("generated_response"))
     found = replies.classify(df, make).select("doc_id", F.col("classified.label").alias("label"), F.col("classified.score").alias("label_score"))
     return verify.flag_refusals(found).select("doc_id", "label", "is_abstained")

@@ -63,17 +63,20 @@ def plan_captures(pages: DataFrame) -> DataFrame:
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "digest": F.sha2("payload", 256)})
+    owned = (F.octet_length("payload") >= REVISIT_BYTES) & F.col("page_id").isNotNull()
     counted = (
         pages.select("page_id", F.coalesce("html", F.lit("")).alias("payload"))
-        .where((F.octet_length("payload") >= REVISIT_BYTES) & F.col("page_id").isNotNull())
-        .select("page_id", F.sha2("payload", 256).alias("digest"))
+        .select(F.sha2("payload", 256).alias("digest"), F.when(owned, F.col("page_id")).alias("owner"))
         .groupBy("digest")
-        .agg(F.min("page_id").alias("owner"), F.count("*").alias("n"))
+        .agg(F.min("owner").alias("owner"), F.count("*").alias("n"))
     )
-    joined = counted_join(rows, counted, "digest", [F.col("page_id")], piece=True)
+    # Rows without an id are spread by their address; the piece then keeps their occurrences apart.
+    no_id = F.col("page_id").isNull()
+    joined = counted_join(rows, counted, "digest", [F.col("page_id"), F.when(no_id, F.col("url"))], piece=True)
     same = Window.partitionBy("digest", "_piece", "page_id").orderBy("url")
     owner = F.when(F.col("owner") < F.col("page_id"), F.col("owner"))
-    return joined.withColumns({"occurrence": F.row_number().over(same), "owner": owner})
+    apart = F.when(no_id, F.shiftleft(F.col("_piece").cast("bigint"), 32)).otherwise(0)
+    return joined.withColumns({"occurrence": F.row_number().over(same) + apart, "owner": owner})
 
 
 def write(pages: DataFrame, folder: str) -> None:

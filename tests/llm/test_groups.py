@@ -11,6 +11,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from factgrade.llm import neardup, pieces, pii, quality, topk, warc
 from factgrade.llm.queries import ORACLE, QUERIES
 from factgrade.sources.storage import shared_folder
@@ -190,3 +192,17 @@ def test_stages_keep_columns_and_edges(spark, sf, edges):
         assert docs.columns == edges.columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
     assert quality.STATISTICS and pii.KINDS and pieces.MARK and shared_folder
+
+
+def test_short_payloads_and_null_ids_are_cut(spark, tmp_path):
+    """Digests that have no owner are spread like those that have one, and captures keep ids of their own."""
+    long = "x" * 200
+    rows = [(i, f"u{i}", "short") for i in range(600)] + [(None, f"v{i}", long) for i in range(600)] + [(i, f"u{i}", long) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    plan = warc.plan_captures(pages)
+    pieces = {r["payload"]: r["n"] for r in plan.groupBy("payload").agg(F.countDistinct("_piece").alias("n")).collect()}
+    assert pieces["short"] > 1 and pieces[long] > 1
+    warc.write(pages, str(tmp_path / "warc"))
+    got = warc.assemble(warc.read(spark, str(tmp_path / "warc"))).collect()
+    assert len(got) == len({r["record_id"] for r in got}) == len(rows)
+    assert sum(r["type"] == "revisit" for r in got) == 4

@@ -146,3 +146,18 @@ def test_classifier_sees_bounded_text_in_batches(spark):
 
     got = [r["classified"] for r in replies.classify(df, make, batch=2).collect()]
     assert [(g["label"], g["score"]) for g in got] == [("LABEL_4", 4096.0), ("LABEL_0", 0.0), ("LABEL_2", 2.0)]
+
+
+def test_classify_long_reads_whole_documents(spark, sf, monkeypatch):
+    """The texts given to the classifier are the documents themselves, not prefixes of them."""
+    from pyspark.sql import functions as F
+
+    from factgrade.catalogue import cases
+
+    seen = []
+    classify = cases.replies.classify
+    monkeypatch.setattr(cases.replies, "classify", lambda df, make: seen.append(df) or classify(df, make))
+    cases.classify_long(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("length(text) > 5000 and doc_id % 3 = 0")
+    both = docs.join(seen[0], "doc_id")
+    assert both.count() > 0 and both.where(~F.col("generated_response").startswith(F.col("text"))).count() == 0
