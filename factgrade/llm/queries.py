@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.llm import decontaminate, language, licenses, neardup, pieces, pii, quality, secrets, topk, warc
+from factgrade.llm import collocations, decontaminate, filteraudit, language, licenses, neardup, pieces, pii, quality, secrets, sharding, topk, warc
 from factgrade.sources.storage import shared_folder
 from factgrade.llm.common import of_kinds, span_text, table
 
@@ -92,6 +92,25 @@ def op10_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.best_phrases(table(spark, sf, "documents"))
+
+
+def op12_filteraudit(spark: SparkSession, sf: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.failed_sets(table(spark, sf, "documents"), table(spark, sf, "labels")))
+
+
+def op13_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    dealt = sharding.shuffle(docs, 16)
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -103,12 +122,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
     "op10_neardup": op10_neardup,
+    "op11_collocations": op11_collocations,
+    "op12_filteraudit": op12_filteraudit,
+    "op13_sharding": op13_sharding,
 }
 
 WORDS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLE: dict[str, str] = {
+    "op12_filteraudit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+l AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t))::INT
+             + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS failed
+      FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, failed),
+x AS (SELECT unnest(range(5)) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT list_aggregate([('ABCDE')[i + 1] for i in o], 'string_agg', '') AS filter_order, step, o[step] AS filter,
+             1 << o[step]::INT AS bit, list_sum([(1 << i::INT) for i in list_slice(o, 1, step - 1)]) AS state
+      FROM o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (SELECT part, filter_order, step, filter, coalesce(state, 0)::INT AS state, bit,
+             sum(CASE WHEN failed & (coalesce(state, 0)::INT | bit::INT) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN failed & coalesce(state, 0)::INT = 0 AND failed & bit::INT <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN failed & coalesce(state, 0)::INT <> 0 AND failed & bit::INT <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN failed & coalesce(state, 0)::INT = 0 AND failed & bit::INT <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN failed & coalesce(state, 0)::INT = 0 AND failed & bit::INT <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM s, c GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM r""",
+    "op11_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+g AS (SELECT lang, k, list_slice(w, i, i + k - 1) AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+      FROM p, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT lang, k, g, f, unnest(range(1, k)) AS j FROM c),
+s AS (SELECT cut.lang, cut.g, cut.f AS a, j, x.f AS l, y.f AS r, 2000000 * cut.f // (x.f + y.f) AS score FROM cut
+      JOIN f x ON x.lang = cut.lang AND x.g = list_slice(cut.g, 1, j) JOIN f y ON y.lang = cut.lang AND y.g = list_slice(cut.g, j + 1, cut.k)),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, list_slice(g, i, i + m - 1) AS g, max(f) AS f
+           FROM (SELECT lang, g, f, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN inner_ i ON i.lang = b.lang AND i.g = b.g WHERE i.f IS NULL OR 100 * i.f < 80 * b.a),
+t AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM kept),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM q JOIN n USING (lang) WHERE rank <= 2000""",
     "op6_decontaminate": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORDS_SQL}, []) AS w FROM documents),
 b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
