@@ -5,10 +5,11 @@ for each prefix range, and sends these to the ranges.  A range unites what it ge
 frequent.  The phrases are read from the united automata, and the counts of their parts are looked up by composing an
 automaton of the parts asked for with the range that holds them.
 
-Sequences that can't be frequent never enter an automaton: a first pass adds up the occurrences of all words and word
-pairs in a table of 2^27 cells chosen by a hash.  A cell is at least as high as each count in it, so a pair in a low
-cell is rare, and with it every sequence that holds it.  The table has this size for any input; where it is too small
-it rules out less, and the automata get longer, but the counts are the same.
+Sequences that can't be frequent never enter an automaton: a first pass adds up the occurrences of all words, pairs
+and triples in a table of cells chosen by a hash.  A cell is at least as high as each count in it, so a triple in a low
+cell is rare, and with it every sequence that holds it.  There is a cell for every four bytes of text, but no more than
+2^30, of which one bit each is broadcast (128 MB); where that is too few the table rules out less and the automata get
+longer, but the counts are the same.
 """
 
 from __future__ import annotations
@@ -33,18 +34,19 @@ GAP = b"\xff"
 SEPARATORS = b".,;:!?\x0a\x0b\x0c\x0d"
 TO_PIECES = bytes.maketrans(UPPER.encode() + SEPARATORS, LOWER.encode() + GAP * len(SEPARATORS))
 #: Bytes of text that a task counts at a time; a single piece may be longer.
-CHUNK_BYTES = 6 * 2**20
-CELL_BITS, TABLE_RANGES = 27, 256
-RANGE_CELLS = 2**CELL_BITS // TABLE_RANGES
+CHUNK_BYTES = 8 * 2**20
+CELL_BYTES, LEAST_BITS, MOST_BITS = 4, 23, 30
+#: Cells that one range of the table holds.
+RANGE_CELLS = 2**19
 #: Automata that are united in one go.
 UNITED = 16
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
 class Chunk:
-    """The words of one language in some texts: ``vocabulary`` in byte order, ``codes`` of the running words.
+    """The words of one language in some texts: ``vocabulary``, and ``codes`` of the running words.
 
-    The last code stands for a gap; there is one before the first and after the last word.
+    Code 0 stands for a gap; there is one before the first and after the last word.
     """
 
     def __init__(self, lang: str, data: bytes) -> None:
@@ -52,24 +54,24 @@ class Chunk:
         tokens = (GAP + data + GAP).replace(GAP, b" " + GAP + b" ").split()
         encoded = pa.array(tokens, pa.binary()).dictionary_encode()
         del tokens
-        words = encoded.dictionary.to_pylist()
-        order = sorted(range(len(words)), key=words.__getitem__)
-        ranks = np.empty(len(words), np.int64)
-        ranks[order] = np.arange(len(words))
-        self.vocabulary = [words[i] for i in order]
-        self.codes = ranks[encoded.indices.to_numpy()]
-        self.gap = len(words) - 1
+        self.vocabulary = words = encoded.dictionary.to_pylist()
+        self.codes = encoded.indices.to_numpy().astype(np.int64)
         seed = xxhash.xxh64_intdigest(lang.encode())
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.vocabulary), np.uint64, len(words))
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
         self.word_keys = mixed(hashes)
         self.hashes = hashes
-        #: Where a word is followed by another one.
-        self.pairs = np.flatnonzero((self.codes[:-1] != self.gap) & (self.codes[1:] != self.gap))
+        #: Where a word is followed by another one, or by two.
+        follows = (self.codes[:-1] > 0) & (self.codes[1:] > 0)
+        self.pairs = np.flatnonzero(follows)
+        self.triples = np.flatnonzero(follows[:-1] & follows[1:])
         self.counts = np.bincount(self.codes, minlength=len(words))
-        self.counts[self.gap] = 0
+        self.counts[0] = 0
 
-    def pair_keys(self, at: np.ndarray) -> np.ndarray:
-        return pair_key(self.hashes[self.codes[at]], self.hashes[self.codes[at + 1]])
+    def sequence_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the pairs and of the triples; a triple's comes from those of its two pairs."""
+        at = np.zeros(len(self.codes), np.uint64)
+        at[self.pairs] = pair_key(self.hashes[self.codes[self.pairs]], self.hashes[self.codes[self.pairs + 1]])
+        return at[self.pairs], pair_key(at[self.triples], at[self.triples + 1])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -89,8 +91,14 @@ def prefix_key(lang: str, words: tuple[bytes, ...]) -> int:
     return int(mixed(hashes)[0] if len(words) == 1 else pair_key(hashes[:1], hashes[1:2])[0])
 
 
-def cells(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def cells(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def cell_bits(texts: DataFrame) -> int:
+    """How many bits number a cell, by the size of the texts."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
+    return min(max((size // CELL_BYTES).bit_length(), LEAST_BITS), MOST_BITS)
 
 
 def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -122,75 +130,87 @@ def rows_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def frequent_cells(texts: DataFrame, least: int) -> bytes:
-    """One bit for each cell: whether the words and pairs in it occur at least ``least`` times in all.
+    """One bit for each cell: whether what is in it occurs at least ``least`` times in all.
 
     Chunks send the occupied cells of a range as differences; the sums of a range take 4 MB wherever they are made.
-    The bits are 16 MB, which is also what the driver gets.
+    The driver gets the bits alone.
     """
     sent = pa.schema([("range", pa.int32()), ("cells", pa.binary())])
     told = pa.schema([("range", pa.int32()), ("bits", pa.binary())])
+    bits = cell_bits(texts)
+    ranges = 2**bits // RANGE_CELLS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             there = np.flatnonzero(chunk.counts)
-            pairs, pair_n = np.unique(cells(chunk.pair_keys(chunk.pairs)), return_counts=True)
-            words = cells(chunk.word_keys[there])
-            both = np.concatenate([pairs, words])
-            counts = np.concatenate([pair_n, chunk.counts[there]])
-            order = np.argsort(both, kind="stable")
-            both, counts = both[order], counts[order]
-            ends = np.searchsorted(both, np.arange(1, TABLE_RANGES + 1) * RANGE_CELLS)
+            pairs, triples = chunk.sequence_keys()
+            found, n = np.unique(np.concatenate([cells(k, bits) for k in (pairs, triples)]), return_counts=True)
+            places = np.concatenate([found, cells(chunk.word_keys[there], bits)])
+            order = np.argsort(places, kind="stable")
+            places, counts = places[order], np.concatenate([n, chunk.counts[there]])[order]
+            counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
+            ends = np.searchsorted(places, np.arange(1, ranges + 1) * RANGE_CELLS)
             rows, start = [], 0
             for r, end in enumerate(ends.tolist()):
                 if end > start:
-                    steps = np.diff(both[start:end], prepend=r * RANGE_CELLS).astype(np.uint32)
-                    n = np.minimum(counts[start:end], 2**32 - 1).astype(np.uint32)
-                    rows.append((r, zstandard.compress(steps.tobytes() + n.tobytes(), 1)))
+                    steps = np.diff(places[start:end], prepend=np.int32(r * RANGE_CELLS)).astype(np.uint32)
+                    rows.append((r, zstandard.compress(steps.tobytes() + counts[start:end].tobytes(), 1)))
                 start = end
             yield rows_of(rows, sent)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, sums = None, None
+        current, sums = None, np.zeros(RANGE_CELLS, np.int64)
+
+        def result() -> pa.RecordBatch:
+            return rows_of([(current, zstandard.compress(np.packbits(sums >= least).tobytes(), 1))], told)
+
         for batch in batches:
             for r, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if r != current:
                     if current is not None:
-                        yield rows_of([(current, zstandard.compress(np.packbits(sums >= least).tobytes(), 1))], told)
-                    current, sums = r, np.zeros(RANGE_CELLS, np.int64)
+                        yield result()
+                    current = r
+                    sums[:] = 0
                 steps, n = np.frombuffer(zstandard.decompress(data.as_py()), np.uint32).reshape(2, -1)
                 np.add.at(sums, np.cumsum(steps, dtype=np.int64), n)
         if current is not None:
-            yield rows_of([(current, zstandard.compress(np.packbits(sums >= least).tobytes(), 1))], told)
+            yield result()
 
     counted = texts.mapInArrow(count, "range int, cells binary")
     dealt = counted.repartition("range").sortWithinPartitions("range")
-    bits = np.zeros((TABLE_RANGES, RANGE_CELLS // 8), np.uint8)
-    for row in dealt.mapInArrow(add, "range int, bits binary").toLocalIterator():
-        bits[row["range"]] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
-    return bits.tobytes()
+    table = np.zeros((ranges, RANGE_CELLS // 8), np.uint8)
+    for row in dealt.mapInArrow(add, "range int, bits binary").collect():
+        table[row["range"]] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
+    return table.tobytes()
 
 
-def is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = cells(keys)
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+def is_set(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = cells(keys, (8 * len(table)).bit_length() - 1)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def sequences(chunk: Chunk, bits: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+def sequences(chunk: Chunk, table: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """(codes, counts): the distinct word sequences that may be frequent; unused places hold -1."""
     size = len(chunk.codes)
-    words = np.flatnonzero((chunk.counts > 0) & is_set(bits, chunk.word_keys))
+    words = np.flatnonzero((chunk.counts > 0) & is_set(table, chunk.word_keys))
     found = [np.full((len(words), longest), -1, np.int64)]
     found[0][:, 0] = words
     counts = [chunk.counts[words]]
-    joined = np.zeros(size, bool)
-    joined[chunk.pairs[is_set(bits, chunk.pair_keys(chunk.pairs))]] = True
-    begins, number, distinct = joined, chunk.codes, None
+    pairs, triples = chunk.sequence_keys()
+    in_pair, in_triple = np.zeros(size, bool), np.zeros(size, bool)
+    in_pair[chunk.pairs[is_set(table, pairs)]] = True
+    in_triple[chunk.triples[is_set(table, triples)]] = True
+    begins, number, distinct = in_pair, chunk.codes, None
     for n in range(2, longest + 1):
+        if n > 2:
+            # Every triple inside has to be frequent.
+            begins[: size - n + 3] &= in_triple[n - 3 :]
+            begins[size - n + 3 :] = False
         at = np.flatnonzero(begins)
         if not len(at):
             break
-        keys, place, total = np.unique(number[at] * (chunk.gap + 1) + chunk.codes[at + n - 1], return_inverse=True, return_counts=True)
-        head, last = np.divmod(keys, chunk.gap + 1)
+        keys, place, total = np.unique(number[at] * len(chunk.vocabulary) + chunk.codes[at + n - 1], return_inverse=True, return_counts=True)
+        head, last = np.divmod(keys, len(chunk.vocabulary))
         rows = np.full((len(keys), longest), -1, np.int64)
         rows[:, : n - 1] = head[:, None] if n == 2 else distinct[head, : n - 1]
         rows[:, n - 1] = last
@@ -199,22 +219,22 @@ def sequences(chunk: Chunk, bits: np.ndarray, longest: int) -> tuple[np.ndarray,
         number = np.full(size, -1, np.int64)
         number[at] = place
         distinct = rows
-        after = np.zeros(size, bool)
-        after[: size - n + 1] = joined[n - 1 :]
-        begins = begins & after
     return np.concatenate(found), np.concatenate(counts)
 
 
-def shard_automata(chunk: Chunk, bits: np.ndarray, longest: int, ranges: int) -> Iterator[tuple[int, bytes]]:
+def shard_automata(chunk: Chunk, table: np.ndarray, longest: int, ranges: int) -> Iterator[tuple[int, bytes]]:
     """(range, automaton) of a chunk, built from its sequences in sorted order."""
-    codes, counts = sequences(chunk, bits, longest)
+    codes, counts = sequences(chunk, table, longest)
     keys = chunk.word_keys[codes[:, 0]].copy()
     longer = np.flatnonzero(codes[:, 1] >= 0)
     keys[longer] = pair_key(chunk.hashes[codes[longer, 0]], chunk.hashes[codes[longer, 1]])
     dealt = (keys % np.uint64(ranges)).astype(np.int64)
-    order = np.lexsort([*codes.T[::-1], dealt])
-    ends = np.searchsorted(dealt[order], np.arange(ranges), side="right").tolist()
     vocabulary, start = chunk.vocabulary, 0
+    used = sorted(np.unique(codes[codes > 0]).tolist(), key=vocabulary.__getitem__)
+    rank = np.full(len(vocabulary) + 1, -1, np.int64)
+    rank[used] = np.arange(len(used))
+    order = np.lexsort([*rank[codes].T[::-1], dealt])
+    ends = np.searchsorted(dealt[order], np.arange(ranges), side="right").tolist()
     for r, end in enumerate(ends):
         if end > start:
             mine = order[start:end]
@@ -231,15 +251,15 @@ def count_automata(texts: DataFrame, least: int, longest: int) -> DataFrame:
     """
     spark = texts.sparkSession
     ranges = shuffle_partitions(texts)
-    table = spark.sparkContext.broadcast(frequent_cells(texts, least))
+    shared = spark.sparkContext.broadcast(frequent_cells(texts, least))
     schema = pa.schema([("lang", pa.string()), ("range", pa.int32()), ("automaton", pa.binary()), ("n", pa.int64())])
     columns = "lang string, range int, automaton binary, n bigint"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(table.value, np.uint8)
+        table = np.frombuffer(shared.value, np.uint8)
         for chunk in chunks(batches):
             rows = [(chunk.lang, -1, None, int(chunk.counts.sum()))]
-            rows += [(chunk.lang, r, data, None) for r, data in shard_automata(chunk, bits, longest, ranges)]
+            rows += [(chunk.lang, r, data, None) for r, data in shard_automata(chunk, table, longest, ranges)]
             yield rows_of(rows, schema)
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
