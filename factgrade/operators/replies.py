@@ -1,7 +1,7 @@
 """Model replies as a table.
 
-Equal prompts are asked once.  Finished replies live in an append-only store, so a run that was
-stopped asks only what is still open, and a replan of a query never repeats a call.
+Equal prompts are asked once.  Finished replies live in a store (``replystore``), so a run that was stopped asks
+only what is still open, and a replan of a query never repeats a call.
 """
 
 from __future__ import annotations
@@ -11,19 +11,17 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from factgrade import fixed
 from factgrade.functions.prompts import prompt_hash
 from factgrade.functions.replies import reply_status
-from factgrade.operators import skew
+from factgrade.operators import replystore, skew
+from factgrade.operators.replystore import FINISHED, best_replies, read_store
 from factgrade.sources import storage
 
-REPLY_SCHEMA = "prompt_hash string, reply string, status string"
-FINISHED = ["ok", "permanent"]
 #: Shares in which a run is committed unless told otherwise.
 COMMITS = 4
 
@@ -49,13 +47,6 @@ def pending(prompts: DataFrame, store: DataFrame) -> DataFrame:
     return prompts.join(store.where(F.col("status").isin(FINISHED)).select("prompt_hash"), "prompt_hash", "left_anti")
 
 
-def best_replies(store: DataFrame) -> DataFrame:
-    """One reply per prompt: a finished one if there is any."""
-    order = F.when(F.col("status") == "ok", 0).when(F.col("status") == "permanent", 1).otherwise(2)
-    kept = F.min(F.struct(order.alias("order"), "status", "reply"))
-    return store.groupBy("prompt_hash").agg(kept.alias("_r")).select("prompt_hash", "_r.reply", "_r.status")
-
-
 def join_replies(df: DataFrame, store: DataFrame, small: bool | None = None) -> DataFrame:
     """Give every row that asked a prompt its reply and status; a prompt may be asked by any share of the rows."""
     small = skew.fits_broadcast(store) if small is None else small
@@ -128,21 +119,6 @@ def mock_backend(reply: str = fixed.MOCK_REPLY) -> Callable[[], Backend]:
     return lambda: lambda batch: [reply] * len(batch)
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The reply store; empty when nothing was stored yet."""
-    try:
-        return spark.read.schema(REPLY_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = F.lit(None).cast("string")
-        return spark.range(0).select(*[empty.alias(c) for c in ("prompt_hash", "reply", "status")])
-
-
-def append_replies(replies: DataFrame, path: str) -> None:
-    replies.select("prompt_hash", "reply", "status").write.mode("append").parquet(path)
-
-
 def ask_pending(
     prompts: DataFrame,
     path: str,
@@ -154,23 +130,27 @@ def ask_pending(
 ) -> DataFrame:
     """Ask what the store at ``path`` does not answer yet, add the replies, return the store.
 
-    The work is committed in ``commits`` shares of the prompt space, so a stopped run loses at most the
-    share it was working on.  What fails for the moment is asked again in up to ``rounds`` rounds; waiting between
-    calls is the backend's affair.
+    The work is committed share by share of the prompt space, so a stopped run loses at most the share it was
+    working on; a new store has ``commits`` shares.  Of the store a share reads its own folder only, and the store's rows
+    are not shuffled.  What fails for the moment is asked again in up to ``rounds`` rounds; waiting between calls is
+    the backend's affair.  A store that has grown many files is compacted at the end.
     """
     spark = prompts.sparkSession
-    if commits > 1:
-        share = F.pmod(F.xxhash64("prompt_hash"), F.lit(commits)).cast("int")
-        folder = storage.shared_folder(spark, "prompts")
-        prompts.select("prompt_hash", "messages", share.alias("share")).write.partitionBy("share").parquet(folder)
-        schema = T.StructType([prompts.schema["prompt_hash"], prompts.schema["messages"], T.StructField("share", T.IntegerType())])
-        prompts = spark.read.schema(schema).parquet(folder)
+    before = replystore.current(spark, path)
+    layout = before or replystore.open_store(spark, path, commits)
+    if before is None:
+        replystore.adopt_plain_files(spark, layout)
+    folder = storage.shared_folder(spark, "prompts")
+    prompts.select("prompt_hash", "messages", layout.share_of().alias("share")).write.partitionBy("share").parquet(folder)
+    schema = T.StructType([prompts.schema["prompt_hash"], prompts.schema["messages"], T.StructField("share", T.IntegerType())])
+    prompts = spark.read.schema(schema).parquet(folder)
     for number in range(rounds):
         if number and pending(prompts, read_store(spark, path)).isEmpty():
             break
-        for share in range(commits):
-            mine = prompts.where(F.col("share") == share) if commits > 1 else prompts
-            append_replies(ask(pending(mine, read_store(spark, path)), make_backend, parallel, batch), path)
+        for share in range(layout.shares):
+            left = pending(prompts.where(F.col("share") == share), replystore.read_share(spark, layout, share))
+            replystore.append(layout, share, ask(left, make_backend, parallel, batch))
+    replystore.tidy(spark, layout)
     return read_store(spark, path)
 
 

@@ -12,7 +12,8 @@ from factgrade.functions import scoring
 from factgrade.functions.prompts import check_all_messages, claim_messages
 from factgrade.functions.replies import count_yes, match_option, says_yes
 from factgrade.operators import clean, replies, rows, stitch, verify
-from factgrade.plans.prepare import derive_facts
+from factgrade.operators.boundaries import Boundaries
+from factgrade.plans.prepare import derive_facts, with_facts
 from factgrade.sources import storage
 from factgrade.sources.tables import with_row_id
 
@@ -36,7 +37,7 @@ RESULT_COLUMNS = [
 
 
 def check_in_one_call(
-    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS
+    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS, rounds: int = 1
 ) -> DataFrame:
     """(row_id, supported, failed_calls): all claims of an answer in one prompt."""
     asked = replies.with_prompt_hash(
@@ -45,7 +46,7 @@ def check_in_one_call(
         )
     )
     asked = storage.materialise(asked, "checks")
-    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits)
+    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits, rounds=rounds)
     answered = replies.join_replies(asked.select("row_id", "prompt_hash"), stored)
     ok = F.col("status") == "ok"
     return answered.select(
@@ -56,13 +57,13 @@ def check_in_one_call(
 
 
 def check_claim_by_claim(
-    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS
+    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS, rounds: int = 1
 ) -> DataFrame:
     """(row_id, supported, failed_calls): one prompt per claim, answered with an option."""
     claims = df.where(F.size("gt_facts") > 0).select("row_id", "gt_facts", F.explode("gen_facts").alias("claim"))
     asked = replies.with_prompt_hash(claims.select("row_id", claim_messages("claim", "gt_facts").alias("messages")))
     asked = storage.materialise(asked, "claim-checks")
-    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits)
+    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits, rounds=rounds)
     answered = replies.join_replies(asked.select("row_id", "prompt_hash"), stored)
     ok = F.col("status") == "ok"
     return answered.groupBy("row_id").agg(
@@ -79,11 +80,13 @@ def _not_refused() -> Column:
     return ~F.coalesce(F.col("is_abstained"), F.lit(False))
 
 
-def _facts_in_row(base: DataFrame, truth_from_text: bool) -> DataFrame:
+def _facts_in_row(base: DataFrame, truth_from_text: bool, learned: Boundaries | None) -> DataFrame:
     """Fact lists without a model: both come from the row itself, so nothing is shuffled."""
     if truth_from_text:
-        base = clean.reuse_facts(base, fx.sentence_facts("response"))
-    gen = F.when(_not_refused(), fx.sentence_facts("generated_response")).otherwise(fx.no_facts())
+        base = with_facts(base, "response", learned, "_truth")
+        base = clean.reuse_facts(base, F.col("_truth")).drop("_truth")
+    base = with_facts(base, "generated_response", learned, "gen_facts")
+    gen = F.when(_not_refused(), F.col("gen_facts")).otherwise(fx.no_facts())
     return base.withColumn("gen_facts", gen).withColumn("split_failed", F.lit(0))
 
 
@@ -95,6 +98,8 @@ def _facts_from_replies(
     examples: DataFrame | None,
     parallel: int | None,
     commits: int,
+    rounds: int,
+    learned: Boundaries | None,
 ) -> DataFrame:
     """Fact lists from a splitting model.
 
@@ -106,7 +111,7 @@ def _facts_from_replies(
     if truth_from_text:
         missing = base.where(F.coalesce(F.size("response_facts"), F.lit(0)) <= 0) if has_facts else base
         parts.append(_text(missing, "truth", "response"))
-    split = derive_facts(rows.union_all(parts), "text", store, backend, examples, ("row_id", "side"), parallel, commits)
+    split = derive_facts(rows.union_all(parts), "text", store, backend, examples, ("row_id", "side"), parallel, commits, rounds, learned)
     split = storage.materialise(split, "split")
     slim = base.select("row_id", "is_abstained", *(["response_facts"] if has_facts else []))
     found = split.where(F.col("side") == "answer").select(
@@ -131,10 +136,14 @@ def evaluate(
     one_call: bool = True,
     parallel: int | None = None,
     commits: int = replies.COMMITS,
+    rounds: int = 1,
+    learned: Boundaries | None = None,
 ) -> DataFrame:
     """Score every answer of a dataset.
 
-    ``store`` is the folder of finished replies; give each model its own.
+    ``store`` is the folder of finished replies; give each model its own.  Calls that fail for the moment are made again
+    in up to ``rounds`` rounds.  ``learned`` are sentence boundaries from ``boundaries.learn``; without them every
+    period before white space ends a sentence.
 
     Rows of several files may be graded in one run: ``source_file`` and ``model`` stay on their rows where they are
     given, and equal ``row_id``s of two files are told apart.
@@ -173,11 +182,11 @@ def evaluate(
     base = base.withColumn("domain", domain.cast("string"))
     if split_backend is None:
         # With a checking model rows are joined later, so their texts are left out until the end.
-        listed = _facts_in_row(base, reference is None)
+        listed = _facts_in_row(base, reference is None, learned)
         listed = listed if check_backend is None else listed.drop(*texts)
     else:
         listed = _facts_from_replies(
-            base, reference is None, f"{store}/split", split_backend, examples, parallel, commits
+            base, reference is None, f"{store}/split", split_backend, examples, parallel, commits, rounds, learned
         )
     graded = listed.withColumn("no_reference", F.col("response_facts").isNull()).withColumn(
         "gt_facts", F.coalesce("response_facts", fx.no_facts())
@@ -190,7 +199,7 @@ def evaluate(
             graded.select("row_id", "is_abstained", "gen_facts", "gt_facts", "no_reference", "split_failed"), "claims"
         )
         check = check_in_one_call if one_call else check_claim_by_claim
-        outcome = check(graded.where(_not_refused()), f"{store}/check", check_backend, parallel, commits)
+        outcome = check(graded.where(_not_refused()), f"{store}/check", check_backend, parallel, commits, rounds)
         joined = rows.reassemble(graded, outcome.withColumnRenamed("failed_calls", "check_failed"))
         scored = verify.score_rows(joined, F.col("supported"))
     failed_calls = F.coalesce("split_failed", F.lit(0)) + F.coalesce("check_failed", F.lit(0))

@@ -37,6 +37,7 @@ def run_tasks(
     form: str = "parquet",
     parallel: int | None = None,
     commits: int = replies.COMMITS,
+    rounds: int = 1,
 ) -> dict[tuple[str, str], str]:
     """Answer the dataset once per (model, context) and write one table each; returns where they are.
 
@@ -49,7 +50,7 @@ def run_tasks(
             raise ValueError(f"unknown context: {context}")
         name = quote(model, safe="")
         shown = few_shot if context == "few" else None
-        answered = generate(df, f"{store}/{name}", backend_for(model), shown, parallel, commits)
+        answered = generate(df, f"{store}/{name}", backend_for(model), shown, parallel, commits, rounds)
         written[model, context] = storage.write_generated(answered, f"{name}_{context}", folder, form)
     return written
 
@@ -61,14 +62,16 @@ def generate(
     few_shot: DataFrame | None = None,
     parallel: int | None = None,
     commits: int = replies.COMMITS,
+    rounds: int = 1,
 ) -> DataFrame:
     """The dataset with ``generated_response`` and ``reply_status``; all columns stay.
 
-    Failed and unfinished replies are null answers, so they are never graded as text.
+    Failed and unfinished replies are null answers, so they are never graded as text.  Calls that fail for the moment
+    are made again in up to ``rounds`` rounds.
     """
     complete = clean.drop_incomplete(clean.require_columns(df, fixed.PERSONA_COLUMNS), fixed.PERSONA_COLUMNS)
     asked = replies.with_prompt_hash(persona_prompts(complete, few_shot))
-    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits)
+    stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits, rounds=rounds)
     answered = replies.join_replies(asked.drop("messages"), stored)
     return answered.withColumn("generated_response", F.when(F.col("status") == "ok", F.col("reply"))).withColumnRenamed(
         "status", "reply_status"

@@ -11,12 +11,21 @@ from factgrade.functions import facts as fx
 from factgrade.functions.prompts import split_messages
 from factgrade.functions.text import sentences
 from factgrade.operators import replies, retrieve, skew
+from factgrade.operators.boundaries import Boundaries, add_sentences
 from factgrade.sources import storage
 
 
-def sentence_rows(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """(keys, sentence_no, sentence), numbered from 0."""
-    return df.select(*keys, F.posexplode(sentences(text)).alias("sentence_no", "sentence"))
+def sentence_rows(df: DataFrame, text: str, keys: list[str], learned: Boundaries | None = None) -> DataFrame:
+    """(keys, sentence_no, sentence), numbered from 0; ``learned`` boundaries take the place of the fixed rule."""
+    if learned is None:
+        return df.select(*keys, F.posexplode(sentences(text)).alias("sentence_no", "sentence"))
+    split = add_sentences(df.select(*keys, text), learned, text, "_sentences")
+    return split.select(*keys, F.posexplode("_sentences").alias("sentence_no", "sentence"))
+
+
+def with_facts(df: DataFrame, text: str, learned: Boundaries | None, column: str) -> DataFrame:
+    """Offline stand-in for the splitting model, added as a column: every sentence is one fact."""
+    return df.withColumn(column, fx.sentence_facts(text)) if learned is None else add_sentences(df, learned, text, column)
 
 
 def split_prompts(sentence_table: DataFrame, examples: DataFrame | None = None) -> DataFrame:
@@ -51,6 +60,8 @@ def derive_facts(
     keys: tuple[str, ...] = ("row_id",),
     parallel: int | None = None,
     commits: int = replies.COMMITS,
+    rounds: int = 1,
+    learned: Boundaries | None = None,
 ) -> DataFrame:
     """(keys, facts, failed_calls) of a text column; texts without sentences may be left out.
 
@@ -58,11 +69,11 @@ def derive_facts(
     """
     keys = list(keys)
     if make_backend is None:
-        return df.select(*keys, fx.sentence_facts(text).alias("facts"), F.lit(0).alias("failed_calls"))
-    rows = storage.materialise(sentence_rows(df, text, keys), "sentences")
+        return with_facts(df, text, learned, "facts").select(*keys, "facts", F.lit(0).alias("failed_calls"))
+    rows = storage.materialise(sentence_rows(df, text, keys, learned), "sentences")
     prompts = storage.materialise(split_prompts(rows, examples), "prompts")
     stored = replies.ask_pending(
-        prompts.select("prompt_hash", "messages"), store, make_backend, parallel, commits=commits
+        prompts.select("prompt_hash", "messages"), store, make_backend, parallel, commits=commits, rounds=rounds
     )
     asked = prompts.select("sentence", "prompt_hash")
     small = skew.fits_broadcast(stored, asked)
@@ -81,12 +92,20 @@ def prepare(
     examples: DataFrame | None = None,
     parallel: int | None = None,
     commits: int = replies.COMMITS,
+    rounds: int = 1,
+    learned: Boundaries | None = None,
 ) -> DataFrame:
-    """All columns of the dataset plus response_facts and response_facts_count; needs a stable ``row_id``."""
+    """All columns of the dataset plus response_facts and response_facts_count; needs a stable ``row_id``.
+
+    Calls that fail for the moment are made again in up to ``rounds`` rounds.  ``learned`` are sentence boundaries from
+    ``boundaries.learn``, for texts with abbreviations.
+    """
     if make_backend is None:
-        listed = df.withColumn("response_facts", fx.sentence_facts("response"))
+        listed = with_facts(df, "response", learned, "response_facts")
     else:
-        derived = derive_facts(df, "response", store, make_backend, examples, parallel=parallel, commits=commits)
+        derived = derive_facts(
+            df, "response", store, make_backend, examples, parallel=parallel, commits=commits, rounds=rounds, learned=learned
+        )
         # Written once: whoever stitches the facts measures and reads the table more than once.
         listed = storage.materialise(df.join(derived.select("row_id", F.col("facts").alias("response_facts")), "row_id", "left"), "prepared")
     return listed.withColumn("response_facts", F.coalesce("response_facts", fx.no_facts())).withColumn(
