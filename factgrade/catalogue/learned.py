@@ -66,7 +66,7 @@ def compacted_store(spark: SparkSession, sf: str) -> DataFrame:
 def length_quartiles(spark: SparkSession, sf: str) -> DataFrame:
     """Exact quantiles of the documents' lengths per source, one of which holds a third of the rows."""
     docs = t.table(spark, sf, "documents")
-    found = quantiles.exact_quantiles(docs, "n_chars", [0.01, 0.25, 0.5, 0.75, 0.99], ["source"], buckets=16, few=8)
+    found = quantiles.exact_quantiles(docs, "n_chars", [0.01, 0.25, 0.5, 0.75, 0.99], ["source"], pivots=15, few=8)
     places = [F.round(F.col("quantiles")[i], 6).alias(f"q{i}") for i in range(5)]
     return found.select("source", "n", *places)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from factgrade.functions.text import strip
 from factgrade.operators import skew
-from factgrade.sources import storage
+from factgrade.sources import shared
 
 # Fixed values of the published method.
 ABBREVIATION_SCORE = 0.3
@@ -135,11 +135,11 @@ class Boundaries:
 
 def learn(texts: DataFrame, text: str = "text", listed_words: int = LISTED_WORDS) -> Boundaries:
     """Abbreviations and sentence starters of a corpus, from two aggregations over all of it."""
-    counts = storage.materialise(word_counts(texts, text), "words")
+    counts = shared.materialise(word_counts(texts, text), "words")
     scores = abbreviation_scores(counts)
-    short = storage.materialise(scores.where(F.col("score") >= ABBREVIATION_SCORE).select("word"), "abbreviations")
+    short = shared.materialise(scores.where(F.col("score") >= ABBREVIATION_SCORE).select("word"), "abbreviations")
     found = starter_scores(texts, counts, short, text)
-    starters = storage.materialise(found.where(F.col("score") >= STARTER_SCORE).select("word"), "starters")
+    starters = shared.materialise(found.where(F.col("score") >= STARTER_SCORE).select("word"), "starters")
     listed = None
     if short.count() + starters.count() <= listed_words:
         listed = tuple(sorted(r["word"] for r in table.collect()) for table in (short, starters))
@@ -205,7 +205,7 @@ def add_sentences(df: DataFrame, model: Boundaries, text: str = "text", column:
             return _once(F.struct(pieces.alias("pieces"), marks.alias("marks")), split)
 
         return df.withColumn(column, _once(_pieces(F.col(text)), marked))
-    numbered = storage.materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    numbered = shared.materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     pieces = numbered.select("_row", _pieces(F.col(text)).alias("p")).select("_row", "p", F.posexplode("p").alias("i", "piece"))
     places = pieces.where("i > 0").select("_row", "i", _last(F.get("p", F.col("i") - 1)).alias("before"), _first(F.col("piece")).alias("after"))
     places = places.withColumns({"_short": word_of(F.col("before")), "_starter": word_of(F.col("after"))})

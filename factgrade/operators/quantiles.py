@@ -1,9 +1,10 @@
 """Exact quantiles of columns with any number of distinct values.
 
-For every quantile of every group the two neighbouring order statistics are looked for at once.  A round counts the
-values of each search interval in buckets, partly in the tasks that read them, and goes on with the bucket that holds
-the wanted rank, from its lowest to its highest value.  Once few values are left they are put in order.  No task sees
-more of a group than that, and the intervals are a small table.
+For every quantile of every group the two neighbouring order statistics are looked for at once.  A round takes pivots
+for each search interval from a mergeable sketch of its values, counts exactly what lies at and between them, and goes
+on with the bucket that holds the wanted rank, from its lowest to its highest value.  However the values are spread, a
+bucket has little more than its share of the rows, or a single value.  Once few rows are left they are put in order.
+No task sees more of a group than that, and the intervals are a small table.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factgrade.operators import skew
-from factgrade.sources import storage
+from factgrade.sources import shared
 
-BUCKETS = 512
-#: Distinct values of an interval that are put in order instead of being cut further.
+PIVOTS = 63
+#: Rows of an interval that are put in order instead of being cut further.
 FEW = 4096
 
 
@@ -24,10 +25,10 @@ def group_key(by: list[str]) -> Column:
     return F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
 
 
-def _bucket(buckets: int) -> Column:
-    """Where a value lies between the ends of its interval; rises with the value, so buckets keep the order."""
-    place = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * buckets
-    return F.least(F.floor(place), F.lit(buckets - 1)).cast("int")
+def _bucket() -> Column:
+    """Even numbers between pivots, odd ones for the values that are pivots."""
+    below = F.size(F.filter("pivots", lambda p: p < F.col("v")))
+    return below + F.size(F.filter("pivots", lambda p: p <= F.col("v")))
 
 
 def exact_quantiles(
@@ -36,7 +37,7 @@ def exact_quantiles(
     probabilities: list[float],
     by: list[str] | None = None,
     count: str | None = None,
-    buckets: int = BUCKETS,
+    pivots: int = PIVOTS,
     few: int = FEW,
 ) -> DataFrame:
     """(by..., n, quantiles): an array in the order of ``probabilities``, linear between neighbouring values.
@@ -48,24 +49,28 @@ def exact_quantiles(
     amount = F.col(count).cast("bigint") if count else F.lit(1).cast("bigint")
     rows = df.select(group_key(by).alias("g"), F.col(value).cast("double").alias("v"), amount.alias("n"))
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")) & (F.col("n") > 0))
-    rows = storage.materialise(rows, "values")
+    rows = shared.materialise(rows, "values")
 
     place = F.array(*[F.lit(float(p)) for p in probabilities])
-    whole = rows.groupBy("g").agg(F.sum("n").alias("total"), F.min("v").alias("low"), F.max("v").alias("high"))
+    whole = rows.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
     ranks = F.array_distinct(F.flatten(F.transform(place, lambda p: F.array(F.floor(p * (F.col("total") - 1)), F.ceil(p * (F.col("total") - 1))))))
-    # ``before`` values lie below the interval; ``distinct`` is an upper bound for the values inside.
-    state = whole.select("g", F.explode(ranks).alias("rank"), F.lit(0).cast("bigint").alias("before"), F.col("total").alias("inside"), "low", "high")
-    state = storage.materialise(state, "intervals")
+    # Values that lie below the interval, by their counts, and rows inside.
+    state = whole.select("g", F.explode(ranks).alias("rank"), F.lit(0).cast("bigint").alias("before"), F.col("rows").alias("inside"), "low", "high")
+    state = shared.materialise(state, "intervals")
     open_ = (F.col("inside") > few) & (F.col("low") < F.col("high"))
+    shares = [(i + 1) / (pivots + 1) for i in range(pivots)]
     while not (left := state.where(open_)).isEmpty():
-        met = skew.lookup_join(rows, left, ["g"], "inner").where(F.col("v").between(F.col("low"), F.col("high")))
-        counted = met.groupBy("g", "rank", "before", _bucket(buckets).alias("bucket")).agg(
-            F.sum("n").alias("inside"), F.min("v").alias("low"), F.max("v").alias("high")
+        met = skew.lookup_join(rows, left.drop("inside"), ["g"], "inner").where(F.col("v").between(F.col("low"), F.col("high")))
+        sketch = F.array_distinct(F.percentile_approx("v", shares, 10 * (pivots + 1)))
+        cut = shared.materialise(met.groupBy("g", "rank", "before", "low", "high").agg(sketch.alias("pivots")), "pivots")
+        met = skew.lookup_join(rows, cut, ["g"], "inner").where(F.col("v").between(F.col("low"), F.col("high")))
+        counted = met.groupBy("g", "rank", "before", _bucket().alias("bucket")).agg(
+            F.sum("n").alias("n"), F.count("*").alias("inside"), F.min("v").alias("low"), F.max("v").alias("high")
         )
         earlier = Window.partitionBy("g", "rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        counted = counted.withColumn("before", F.col("before") + F.coalesce(F.sum("inside").over(earlier), F.lit(0)))
-        chosen = counted.where(F.col("rank").between(F.col("before"), F.col("before") + F.col("inside") - 1))
-        state = storage.materialise(state.where(~open_).unionByName(chosen.select(*state.columns)), "intervals")
+        counted = counted.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        chosen = counted.where(F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1))
+        state = shared.materialise(state.where(~open_).unionByName(chosen.select(*state.columns)), "intervals")
 
     found = state.where(F.col("low") == F.col("high")).select("g", "rank", F.col("low").alias("v"))
     rest = skew.lookup_join(rows, state.where(F.col("low") < F.col("high")), ["g"], "inner")

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgrade.sources import storage
+from factgrade.sources import shared
 
 REPLY_SCHEMA = "prompt_hash string, reply string, status string"
 FINISHED = ["ok", "permanent"]
@@ -134,20 +134,20 @@ def compact(spark: SparkSession, path: str, shares: int | None = None, buckets:
         raise FileNotFoundError(f"no reply store at {path}")
     new = Layout(path, old.version + 1, shares or old.shares, buckets or old.buckets)
     # What a run that was stopped here left behind is no part of any version.
-    storage.remove(spark, new.folder)
+    shared.remove(spark, new.folder)
     same = (new.shares, new.buckets) == (old.shares, old.buckets)
     if same:
         for share in range(old.shares):
             append(new, share, best_replies(read_share(spark, old, share)), dealt=True)
     else:
-        best = storage.materialise(best_replies(read_store(spark, path)).withColumn("share", new.share_of()), "best")
+        best = shared.materialise(best_replies(read_store(spark, path)).withColumn("share", new.share_of()), "best")
         for share in range(new.shares):
             append(new, share, best.where(F.col("share") == share))
     declare(spark, new)
     if not keep_old:
         for share in range(old.shares):
             spark.sql(f"DROP TABLE IF EXISTS {_table(spark, old, share)}")
-        storage.remove(spark, old.folder)
+        shared.remove(spark, old.folder)
     return new
 
 
