@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 
-from factgrade.catalogue import cases, oracle, queries
+from factgrade.catalogue import cases, learned, oracle, queries
 
-QUERIES, ORACLE = queries.QUERIES | cases.QUERIES, oracle.ORACLE | cases.ORACLE
+QUERIES = queries.QUERIES | cases.QUERIES | learned.QUERIES
+ORACLE = oracle.ORACLE | cases.ORACLE | learned.ORACLE
 
 
 @pytest.fixture(scope="session")
