@@ -44,18 +44,20 @@ def word_of(token: Column) -> Column:
     return F.regexp_replace(F.lower(token), EDGES, "")
 
 
-def _tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({TOKEN})"), 1)
-
-
 def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n_period, n_bare): how often each word has a period after it, and how often not."""
-    tokens = texts.select(F.explode(_tokens(F.col(text))).alias("token"))
-    words = tokens.select(word_of(F.col("token")).alias("word"), F.col("token").rlike(HAS_PERIOD).alias("period"))
+    """(word, n_period, n_bare): how often each word has a period after it, and how often not.
+
+    Tokens are counted as they stand; only distinct ones are looked at.
+    """
+    tokens = texts.select(F.explode(F.split(text, f"[{SPACE}]+")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    words = tokens.select(word_of(F.col("token")).alias("word"), F.col("token").rlike(HAS_PERIOD).alias("period"), "n")
     return (
         words.where(F.col("word") != "")
         .groupBy("word")
-        .agg(F.count_if("period").alias("n_period"), F.count_if(~F.col("period")).alias("n_bare"))
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("period"), F.col("n"))), F.lit(0)).alias("n_period"),
+            F.coalesce(F.sum(F.when(~F.col("period"), F.col("n"))), F.lit(0)).alias("n_bare"),
+        )
     )
 
 
@@ -100,8 +102,9 @@ def starter_scores(texts: DataFrame, counts: DataFrame, abbreviations: DataFrame
     pairs = pieces.select(
         F.explode(F.transform(numbers, lambda i: F.struct(_last(F.get("p", i - 1)).alias("a"), _first(F.get("p", i)).alias("b")))).alias("x")
     )
-    seen = pairs.select(word_of(F.col("x.a")).alias("before"), word_of(F.col("x.b")).alias("word"))
-    seen = seen.where(F.col("word") != "").groupBy("before", "word").agg(F.count("*").alias("k"))
+    pairs = pairs.groupBy("x.a", "x.b").agg(F.count("*").alias("n"))
+    seen = pairs.select(word_of(F.col("a")).alias("before"), word_of(F.col("b")).alias("word"), "n")
+    seen = seen.where(F.col("word") != "").groupBy("before", "word").agg(F.sum("n").alias("k"))
     known = abbreviations.select(F.col("word").alias("before"), F.lit(True).alias("known"))
     sure = skew.lookup_join(seen, known, ["before"]).where(F.col("known").isNull() & ~F.col("before").rlike(r"^\p{L}$"))
     after = sure.groupBy("word").agg(F.sum("k").alias("n_after"))
