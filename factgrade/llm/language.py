@@ -1,18 +1,17 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
 Counts of all training tokens come first and rank them.  The most frequent tokens, the head, are words of a softmax in
-classes of equal size.  All others, the tail, are cut by falling count into buckets of about equal mass, and a tree of
-small softmaxes leads from the tail to its buckets and within a bucket to each word.  Features of a place are hashed:
-a bias, the token before, the one before that (a skip), and both (an n-gram).  Above the buckets, training places are
-counted as events (features, word) and weights follow gradients over these.  The places of a bucket meet in one task,
-which learns the bucket's weights, with whole tokens as context, and scores its words.  A chunk's own vocabulary is
-joined to the ranks, so that no task holds the vocabulary of the corpus.
+classes of equal size.  All others, the tail, are reached from a further class through a tree that parts the words
+into two classes of equal mass again and again, with a softmax over the two at each node, down to classes of rare words.  Features of a place are
+hashed: a bias, the token before, the one before that (a skip), and both (an n-gram); in the tail they are whole tokens
+together with the node.  Weights of both parts follow gradients that are summed over tasks: the head's over counted
+events, the tail's over the training places, where they stand.  The weight tables are broadcast and texts are scored
+where they are.  A chunk's own vocabulary is joined to the ranks, so that no task holds the vocabulary of the corpus.
 """
 
 from __future__ import annotations
 
 import itertools
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factgrade.llm.common import materialise, remainder, space_words
-from factgrade.sources.storage import shared_folder
+from factgrade.sources.storage import remove, shared_folder
 
 FOLDS, HELD_OUT = 7, 2
 #: Tokens of a chunk; a longer document is a chunk by itself.
@@ -40,16 +39,14 @@ WORDS_WIDTH = CLASSES * CLASS_WORDS
 COLUMNS = CLASSES + 1 + WORDS_WIDTH
 ROUNDS, RATE, SMOOTHING = 8, 0.5, 4.0
 SHARDS = 16
-#: Children of a node of the trees over the tail's words.
-BRANCH = 16
-#: Training tokens in a bucket of tail words, whose weights are learned in one task.
-BUCKET_MASS = 1_000_000
-#: Rows of the weight table of each node above the buckets.
-NODE_ROWS = 4096
-TAIL_ROUNDS = 2
+#: Rows of the tail's weight table: one for so many training tokens, between these powers of two (16 MB at most).
+ROW_TOKENS, LEAST_ROWS, MOST_ROWS = 256, 16, 22
+TAIL_ROUNDS, TAIL_SMOOTHING = 2, 1.0
+#: Training tokens under which a class of tail words isn't parted further; in it each word has its share.
+CLASS_MASS = 64
+#: Places whose way through the tree is worked out at a time.
+TAIL_STEP = 100_000
 STEP = 65_536
-#: Events with smaller keys are those of the head.
-HEAD_KEYS = CONTEXTS * CONTEXTS * (HEAD + 1)
 #: The end of a text; no word is empty.
 END = b""
 
@@ -58,13 +55,25 @@ def is_held_out():
     return remainder("doc_id", FOLDS) == HELD_OUT
 
 
+def pressed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, first all lowest bytes, compressed; the first four bytes hold how many they are."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T)
+    return len(numbers).to_bytes(4, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def restored(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:4], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[4:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 # ---- counting
 
 
-def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def chunked(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """Documents as ids of their chunk's vocabulary, and the vocabularies with counts over training texts.
 
-    Both are written in one pass: (chunk, doc_id, held_out, ids) and (chunk, at, token, n).
+    Both are written to ``folder`` in one pass: (chunk, doc_id, held_out, ids) and (chunk, at, token, n).
     """
     schema = "kind string, chunk bigint, doc_id bigint, held_out boolean, ids binary, at int, token binary, n bigint"
     arrow = pa.schema(
@@ -102,7 +111,7 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                             counts = np.concatenate([counts, np.zeros(max(len(counts), len(known)), dtype=np.int64)])
                         there = np.bincount(numbers)
                         counts[: len(there)] += there
-                    rows.append(numbers.tobytes())
+                    rows.append(pressed(numbers))
                     size += len(words)
                     if size >= CHUNK_TOKENS:
                         if len(known) > len(counts):
@@ -119,7 +128,6 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield from vocabulary()
 
     flat = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(run, schema)
-    folder = shared_folder(docs.sparkSession, "chunks")
     flat.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
 
     def stored(kind: str, *columns: str) -> DataFrame:
@@ -131,10 +139,9 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 # ---- the model
 
 
-def context_of(token: bytes, rank: dict[bytes, int]) -> int:
+def contexts_of(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """Head tokens stand for themselves, others for a bucket of their last letters."""
-    found = rank.get(token)
-    return HEAD + zlib.crc32(token[-3:]) % TAIL_BUCKETS if found is None else found
+    return np.where(codes < HEAD, codes, HEAD + letters.astype(np.int64))
 
 
 def feature_rows(before: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -220,150 +227,150 @@ def places(contexts: np.ndarray, starts: np.ndarray, none: int = START) -> tuple
 # ---- the tail
 
 
-class Tail:
-    """Words beyond the head by falling count, cut into buckets of about equal mass, and the tree above the buckets.
-
-    ``starts`` are the codes at which buckets begin; the last code is that of all unseen words.  The number of
-    buckets follows the training tokens, and the number of nodes that of the buckets.
-    """
-
-    def __init__(self, starts: np.ndarray, masses: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts, self.sizes, self.depth = starts, sizes, 0
-        while BRANCH**self.depth < len(starts):
-            self.depth += 1
-        self.masses = np.zeros(BRANCH**self.depth)
-        self.masses[: len(masses)] = masses
-
-    def bucket(self, codes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.starts, codes, "right") - 1
-
-    def choices(self, buckets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Node and child at each level from the root down."""
-        return tree_path(buckets, self.depth)
-
-    def bias(self, level: int) -> np.ndarray:
-        """For each node of a level the log of its children's masses."""
-        return log_mass(self.masses.reshape(BRANCH ** (level + 1), -1).sum(1).reshape(-1, BRANCH))
-
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-def tree_path(leaves: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    first = 0
-    for level in range(depth):
-        above = leaves // BRANCH ** (depth - level)
-        yield first + above, leaves // BRANCH ** (depth - level - 1) % BRANCH
-        first += BRANCH**level
-
-
-def log_mass(mass: np.ndarray) -> np.ndarray:
-    return np.where(mass > 0, np.log(np.maximum(mass, 1e-9)), -1e4).astype(np.float32)
-
-
-def tail_rows(before: np.ndarray, second: np.ndarray, node: np.ndarray, size: int) -> np.ndarray:
-    """Rows of a weight table of ``size`` (a power of two) for token before, skip and both at a node."""
-    b, s, x = (v.astype(np.uint64) for v in (before, second, node))
-    kinds = (b, s + np.uint64(1 << 34), (b << np.uint64(32)) + s + np.uint64(1 << 63))
-    out = np.empty((3, len(node)), dtype=np.int32)
-    for k, kind in enumerate(kinds):
-        h = kind * np.uint64(0x9E3779B97F4A7C15) + x * np.uint64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> np.uint64(29)
-        out[k] = ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) & (size - 1)
-    return out
 
+class Tail:
+    """The tree over the words beyond the head, in order of falling count; the last code is that of all unseen words.
 
-def choice_logs(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    return log_softmax(table[rows[0]] + table[rows[1]] + table[rows[2]] + bias)
+    A node covers a range of codes and parts it into two classes of nearly equal mass, so that a word's depth follows
+    its frequency.  The masses come from ``runs``, how many words have each count: at most sqrt(2 N) rows for N
+    training tokens.  No node is stored anywhere, a task works out those on the way to its own words.
+    """
 
+    def __init__(self, runs: list[tuple[int, int]], begin: int) -> None:
+        counts, sizes = (np.array(x, dtype=np.int64) for x in zip(*runs, (0, 1)))
+        self.counts, self.ends = counts, np.cumsum(sizes)
+        sizes = np.minimum(sizes, np.maximum(self.ends - begin, 0))
+        each, sizes = counts[sizes > 0] + 1.0, sizes[sizes > 0]
+        self.begin, self.each = begin, each
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.mass = np.concatenate([[0.0], np.cumsum(sizes * each)])
+
+    def count(self, codes: np.ndarray) -> np.ndarray:
+        """How often words stand in the training texts."""
+        return self.counts[np.searchsorted(self.ends, codes, "right")]
+
+    def below(self, place: np.ndarray) -> np.ndarray:
+        """The mass of the words before a place."""
+        run = np.clip(np.searchsorted(self.first, place, "right") - 1, 0, len(self.each) - 1)
+        return self.mass[run] + (place - self.first[run]) * self.each[run]
+
+    def nearest(self, mass: np.ndarray) -> np.ndarray:
+        """The place with about so much mass before it."""
+        run = np.clip(np.searchsorted(self.mass, mass, "right") - 1, 0, len(self.each) - 1)
+        return np.rint(self.first[run] + (mass - self.mass[run]) / self.each[run]).astype(np.int64)
+
+    def walk(self, codes: np.ndarray, before: np.ndarray, second: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """From the root down: the places still on their way, their rows of a table of ``size``, their turn and its bias.
+
+        The features of a node are the token before, the skip and both; the bias is the logarithm of the masses' ratio.
+        At the end it yields the places' shares of their last classes.
+        """
+        place = codes.astype(np.int64) - self.begin
+        x, y = before.astype(np.uint64), second.astype(np.uint64)
+        features = [mixed(v).astype(np.uint32) for v in (x + np.uint64(1 << 40), y + np.uint64(2 << 40), mixed(x) + y)]
+        shift = np.uint32(33 - size.bit_length())
+        at, going = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
+        last = np.zeros(len(codes))
+        low, high = np.array([0]), self.first[-1:]
+        while len(at):
+            # Nodes that are reached here, a place's ``going`` is one of them.
+            light, heavy = self.below(low), self.below(high)
+            open_ = (high - low > 1) & (heavy - light > CLASS_MASS)
+            ends = np.flatnonzero(~open_[going])
+            if len(ends):
+                last[at[ends]] = (heavy - light)[going[ends]]
+                more = np.flatnonzero(open_[going])
+                at, going, place, features = at[more], going[more], place[more], [f[more] for f in features]
+                if not len(at):
+                    break
+            cut = np.minimum(np.maximum(self.nearest((light + heavy) / 2), low + 1), np.maximum(high - 1, low))
+            middle = self.below(cut)
+            bias = np.log(np.maximum(heavy - middle, 1e-9) / np.maximum(middle - light, 1e-9)).astype(np.float32)
+            node = mixed(mixed(low.astype(np.uint64)) + high.astype(np.uint64)).astype(np.uint32)[going]
+            right = place >= cut[going]
+            rows = [(((f ^ node) * np.uint32(0x9E3779B1)) >> shift).astype(np.int64) for f in features]
+            yield at, rows, right, bias[going]
+            child = 2 * going + right
+            used = np.zeros(2 * len(low), dtype=bool)
+            used[child] = True
+            going = (np.cumsum(used) - 1)[child]
+            low, high = np.stack([low, cut], 1).ravel()[used], np.stack([cut, high], 1).ravel()[used]
+        yield np.arange(len(codes)), last
+
+    def log_probability(self, table: np.ndarray, codes: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Natural log-probabilities of words given that they are of the tail."""
+        out = np.zeros(len(codes))
+        for a in range(0, len(codes), TAIL_STEP):
+            part, own = out[a : a + TAIL_STEP], codes[a : a + TAIL_STEP]
+            for at, *turn in self.walk(own, before[a : a + TAIL_STEP], second[a : a + TAIL_STEP], len(table)):
+                if len(turn) == 1:
+                    part += np.log((self.count(own) + 1) / turn[0])
+                    continue
+                rows, right, bias = turn
+                against = bias + table[rows[0]] + table[rows[1]] + table[rows[2]]
+                against[right] *= -1
+                part[at] -= np.maximum(against, 0) + np.log1p(np.exp(-np.abs(against)))
+        return out
 
-def fit_choices(rows: np.ndarray, bias: np.ndarray, child: np.ndarray, n: np.ndarray, size: int, rounds: int) -> np.ndarray:
-    """Weights (feature row, child) after ``rounds`` gradients over all events; ``bias`` has a row for each event."""
-    table = np.zeros((size, BRANCH), dtype=np.float32)
-    seen = np.zeros(size * BRANCH)
-    for r in rows:
-        seen += np.bincount(r.astype(np.int64) * BRANCH + child, n, size * BRANCH)
-    seen = seen.reshape(size, BRANCH)
+    def add_statistics(self, total: np.ndarray, table: np.ndarray, codes: np.ndarray, before: np.ndarray, second: np.ndarray) -> None:
+        """Adds the gradient and the curvature of the places to the two rows of ``total``."""
+        for a in range(0, len(codes), TAIL_STEP):
+            found: list[tuple[np.ndarray, ...]] = []
+            for _, *turn in self.walk(*(v[a : a + TAIL_STEP] for v in (codes, before, second)), len(table)):
+                if len(turn) > 1:
+                    rows, right, bias = turn
+                    p = 1 / (1 + np.exp(-(bias + table[rows[0]] + table[rows[1]] + table[rows[2]])))
+                    found += [(r, right - p, p * (1 - p)) for r in rows]
+            if found:
+                rows, gradient, curvature = (np.concatenate(x) for x in zip(*found))
+                total[0] += np.bincount(rows, gradient, len(table))
+                total[1] += np.bincount(rows, curvature, len(table))
+
+
+def table_size(tokens: int) -> int:
+    """Rows of the tail's weight table, in proportion to the training tokens as far as a broadcast allows."""
+    return 1 << min(MOST_ROWS, max(LEAST_ROWS, (tokens // ROW_TOKENS).bit_length()))
+
+
+def tail_places(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Code, token before and skip of the tail words in some texts, the latter two as whole tokens."""
+    for _, codes, _, starts in laid_out(batch):
+        before, second = places(codes.astype(np.int64) + 1, starts, 0)
+        there = np.flatnonzero(codes >= HEAD)
+        yield codes[there], before[there], second[there]
+
+
+def train_tail(coded: DataFrame, tail: Tail, tokens: int, rounds: int) -> np.ndarray:
+    """The tail's weights after ``rounds`` gradient updates, each summed over the training places of all tasks."""
+    table = np.zeros(table_size(tokens), dtype=np.float32)
+    chosen = coded.where(~F.col("held_out")).select("n_tokens", "codes", "letters")
     for _ in range(rounds):
-        expected = np.zeros((BRANCH, size))
-        for a in range(0, len(child), STEP):
-            part = rows[:, a : a + STEP]
-            p = np.ascontiguousarray((np.exp(choice_logs(table, part, bias[a : a + STEP])) * n[a : a + STEP, None]).T)
-            for r in part:
-                for k in range(BRANCH):
-                    expected[k] += np.bincount(r, p[k], size)
-        e = expected.T
-        table += (RATE * (seen - e) / (np.maximum(seen, e) + SMOOTHING)).astype(np.float32)
+        sent = coded.sparkSession.sparkContext.broadcast(table)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, len(sent.value)))
+            for batch in batches:
+                for some in tail_places(batch):
+                    tail.add_statistics(total, sent.value, *some)
+            if total[1].any():
+                yield shards(total)
+
+        total = summed(chosen.mapInArrow(run, "shard int, part binary"), (2, len(table)))
+        sent.unpersist()
+        gradient, curvature = total
+        table += (RATE * gradient / (curvature + np.abs(gradient) + TAIL_SMOOTHING)).astype(np.float32)
     return table
 
 
-def table_size(events: int) -> int:
-    """Rows of a weight table, in proportion to the events."""
-    return 1 << max(6, (max(events, 1) // 4).bit_length())
-
-
-def bucket_logs(words: np.ndarray, before: np.ndarray, second: np.ndarray, trained: np.ndarray, size: int, rounds: int) -> np.ndarray:
-    """Log-probabilities of a bucket's words (numbers under ``size``) within it; learns from the places in ``trained``."""
-    depth = 0
-    while BRANCH**depth < size:
-        depth += 1
-    out = np.zeros(len(words))
-    mass = np.zeros(BRANCH**depth)
-    mass[:size] = np.bincount(words[trained], minlength=size) + 1
-    rows_wanted = table_size(int(trained.sum()))
-    for level in range(depth):
-        node, child = words // BRANCH ** (depth - level), words // BRANCH ** (depth - level - 1) % BRANCH
-        bias = log_mass(mass.reshape(BRANCH ** (level + 1), -1).sum(1).reshape(-1, BRANCH))
-        rows = tail_rows(before, second, node, rows_wanted)
-        mine = np.flatnonzero(trained)
-        table = fit_choices(rows[:, mine], bias[node[mine]], child[mine], np.ones(len(mine)), rows_wanted, rounds)
-        for a in range(0, len(words), STEP):
-            b = slice(a, a + STEP)
-            out[b] += choice_logs(table, rows[:, b], bias[node[b]])[np.arange(len(child[b])), child[b]]
-    return out
-
-
-def train_nodes(events: DataFrame, tail: Tail, rounds: int) -> dict[int, np.ndarray]:
-    """Weights of each node above the buckets, learned from its events in a task of its own."""
-    per_node = CONTEXTS**2 * BRANCH
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, n = pdf["key"].to_numpy(np.int64), pdf["n"].to_numpy(np.float64)
-        node = int(pdf["node"].iloc[0])
-        pair, child = np.divmod(key % per_node, BRANCH)
-        before, second = np.divmod(pair, CONTEXTS)
-        rows = tail_rows(before, second, np.zeros_like(before), NODE_ROWS)
-        table = fit_choices(rows, np.broadcast_to(tail_bias(node), (len(key), BRANCH)), child, n, NODE_ROWS, rounds)
-        return pd.DataFrame({"node": [node], "weights": [table.tobytes()]})
-
-    biases = np.concatenate([tail.bias(k) for k in range(tail.depth)]) if tail.depth else np.zeros((0, BRANCH), np.float32)
-
-    def tail_bias(node: int) -> np.ndarray:
-        return biases[node]
-
-    keyed = events.select(F.expr(f"(key - {HEAD_KEYS}L) div {per_node}L").alias("node"), (F.col("key") - HEAD_KEYS).alias("key"), "n")
-    found = keyed.groupBy("node").applyInPandas(fit, "node bigint, weights binary").collect()
-    return {r["node"]: np.frombuffer(r["weights"], np.float32).reshape(NODE_ROWS, BRANCH) for r in found}
-
-
-def node_logs(tail: Tail, nodes: dict[int, np.ndarray], buckets: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Log-probabilities of buckets given the tail."""
-    out = np.zeros(len(buckets))
-    rows = tail_rows(before, second, np.zeros_like(before), NODE_ROWS)
-    first = 0
-    for level, (node, child) in enumerate(tail.choices(buckets)):
-        bias = tail.bias(level)
-        order = np.argsort(node, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(node[order])) + 1) if len(order) else []:
-            k = int(node[at[0]])
-            own = bias[k - first][None]
-            logs = choice_logs(nodes[k], rows[:, at], own) if k in nodes else np.repeat(log_softmax(own), len(at), 0)
-            out[at] += logs[np.arange(len(at)), child[at]]
-        first += BRANCH**level
-    return out
-
-
-def ranked(counts: DataFrame) -> tuple[DataFrame, Tail, int]:
-    """Tokens with their ``code``, the rank by falling count; the tail's buckets; the number of distinct tokens."""
-    folder = shared_folder(counts.sparkSession, "ranked")
-    counts.orderBy(F.desc("c"), "token").withColumn("id", F.monotonically_increasing_id()).write.parquet(folder)
+def ranked(counts: DataFrame, folder: str) -> tuple[DataFrame, Tail, int, int]:
+    """Tokens with their ``code``, the rank by falling count; the tail's tree; how many distinct tokens, and tokens, there are."""
+    counts.orderBy(F.desc("c"), "token").withColumn("id", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(folder)
     stored = counts.sparkSession.read.parquet(folder)
     parts = stored.groupBy(F.shiftright("id", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
     runs = stored.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).collect()
@@ -372,30 +379,15 @@ def ranked(counts: DataFrame) -> tuple[DataFrame, Tail, int]:
     offset = F.lit(0).cast("bigint")
     if first:
         offset = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for item in first.items() for x in item]), F.shiftright("id", 33))
-    coded = stored.select("token", "c", (offset + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("code"))
-    starts, masses, sizes, at = [], [], [], 0
-    begin, mass = min(HEAD, distinct), 0
-    for c, n in [*[(r["c"], r["n"]) for r in runs], (0, 1)]:
-        left, at = at + n - max(at, begin), at + n
-        while left > 0:
-            some = min(left, max(1, -(-(BUCKET_MASS - mass) // (c + 1))))
-            mass, left = mass + some * (c + 1), left - some
-            if mass >= BUCKET_MASS or c == 0:
-                end = at - left
-                starts, masses, sizes = [*starts, begin], [*masses, mass], [*sizes, end - begin]
-                begin, mass = end, 0
-    return coded, Tail(np.array(starts), np.array(masses, dtype=np.float64), np.array(sizes)), distinct
+    coded = stored.select("token", (offset + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).cast("int").alias("code"))
+    return coded, Tail([(r["c"], r["n"]) for r in runs], min(HEAD, distinct)), distinct, sum(r["c"] * r["n"] for r in runs)
 
 
 # ---- events and weights of the head
 
 
-def count_events(coded: DataFrame, tail: Tail) -> DataFrame:
-    """How often each (token before, one before that, word) stands in the training texts, over all of them.
-
-    Keys under ``HEAD_KEYS`` are words of the head or the tail as a whole; the others are choices at the nodes above
-    the tail's buckets.
-    """
+def count_events(coded: DataFrame) -> DataFrame:
+    """How often each (token before, one before that, word of the head or tail as a whole) stands in the training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[np.ndarray] = []
@@ -406,25 +398,38 @@ def count_events(coded: DataFrame, tail: Tail) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
         for batch in batches:
-            for x, y in zip(batch.column(0), batch.column(1)):
-                codes, contexts = np.frombuffer(x.as_py(), np.int32), np.frombuffer(y.as_py(), np.int16).astype(np.int64)
-                before, second = places(contexts, np.zeros(1, dtype=np.int64))
-                pair = before * CONTEXTS + second
-                keys.append(pair * (HEAD + 1) + np.minimum(contexts, HEAD))
-                at = np.flatnonzero(contexts >= HEAD)
-                for node, child in tail.choices(tail.bucket(codes[at])):
-                    keys.append(HEAD_KEYS + (node * CONTEXTS**2 + pair[at]) * BRANCH + child)
-                size += sum(map(len, keys[-1 - tail.depth :]))
+            for _, codes, contexts, starts in laid_out(batch):
+                before, second = places(contexts, starts)
+                keys.append((before * CONTEXTS + second) * (HEAD + 1) + np.minimum(contexts, HEAD))
+                size += len(contexts)
                 if size > 4_000_000:
                     yield out()
                     keys, size = [], 0
         if keys:
             yield out()
 
-    chosen = coded.where(~F.col("held_out")).select("codes", "contexts")
+    chosen = coded.where(~F.col("held_out")).select("n_tokens", "codes", "letters")
     return chosen.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def shards(total: np.ndarray) -> pa.RecordBatch:
+    parts = np.array_split(total.astype(np.float32).ravel(), SHARDS)
+    return pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["shard", "part"])
+
+
+def summed(partial: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of the tasks' ``shards``; each of them is summed by itself."""
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(p, np.float32).astype(np.float64) for p in pdf["part"])
+        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "part": [total.astype(np.float32).tobytes()]})
+
+    rows = partial.groupBy("shard").applyInPandas(add, "shard int, part binary").collect()
+    if not rows:
+        return np.zeros(shape)
+    return np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(rows, key=lambda r: r["shard"])]).astype(np.float64).reshape(shape)
+
+
 def summed_statistics(events: DataFrame, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Observed and expected counts over all events: tasks sum theirs, then each of ``SHARDS`` parts is summed."""
     shape = weights.table.shape
@@ -445,19 +450,11 @@ def summed_statistics(events: DataFrame, weights: Weights) -> tuple[np.ndarray,
                 total[0] += seen
                 total[1] += expected
         if some:
-            parts = np.array_split(total.astype(np.float32).ravel(), SHARDS)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SHARDS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["shard", "part"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(p, np.float32).astype(np.float64) for p in pdf["part"])
-        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "part": [total.tobytes()]})
+            yield shards(total)
 
-    partial = events.mapInArrow(run, "shard int, part binary")
-    rows = partial.groupBy("shard").applyInPandas(add, "shard int, part binary").collect()
+    out = summed(events.mapInArrow(run, "shard int, part binary"), (2, *shape))
     sent.unpersist()
-    if not rows:
-        return np.zeros(shape), np.zeros(shape)
-    return tuple(np.concatenate([np.frombuffer(r["part"]) for r in sorted(rows, key=lambda r: r["shard"])]).reshape(2, *shape))
+    return out[0], out[1]
 
 
 def train(events: DataFrame, head: list[bytes], rounds: int = ROUNDS) -> Weights:
@@ -487,86 +484,43 @@ def train(events: DataFrame, head: list[bytes], rounds: int = ROUNDS) -> Weights
 # ---- scoring
 
 
-def encode(texts: DataFrame, words: DataFrame, coded: DataFrame, head: list[bytes], base_mass: float, unseen: int) -> DataFrame:
-    """Texts as codes and contexts of their tokens, with what the base model needs of them."""
+def encode(texts: DataFrame, words: DataFrame, coded: DataFrame, tail: Tail, base_mass: float, unseen: int) -> DataFrame:
+    """Texts as codes of their tokens and buckets of their last letters, with what the base model needs of them."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rank = {t: k for k, t in enumerate(head)}
-        right = right.sort_values("at")
-        c, code = right["c"].to_numpy(np.int64), right["code"].to_numpy(np.int32)
-        context = np.array([context_of(bytes(t), rank) for t in right["token"]], dtype=np.int16)
+        value = np.empty(len(right), dtype=np.int64)
+        value[right["at"].to_numpy()] = right["value"].to_numpy()
+        code, letters = (value // TAIL_BUCKETS).astype(np.int32), (value % TAIL_BUCKETS).astype(np.uint8)
+        letters[code < HEAD] = 0
+        c = tail.count(code)
         base = np.log10(c + 1.0) - np.log10(base_mass)
-        ids = [np.frombuffer(x, np.int32) for x in left["ids"]]
-        return pd.DataFrame(
-            {
-                "chunk": left["chunk"],
-                "row": np.arange(len(ids), dtype=np.int32),
-                "doc_id": left["doc_id"],
-                "held_out": left["held_out"],
-                "n_tokens": [len(x) for x in ids],
-                "n_known": [int((c[x] > 0).sum()) for x in ids],
-                "base_score": [float(base[x].sum()) for x in ids],
-                "codes": [code[x].tobytes() for x in ids],
-                "contexts": [context[x].tobytes() for x in ids],
-            }
-        )
-
+        rows = []
+        for x in left["ids"]:
+            x = restored(x, np.int32)
+            rows.append((len(x), int((c[x] > 0).sum()), float(base[x].sum()), pressed(code[x]), pressed(letters[x])))
+        found = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "codes", "letters"])
+        found.insert(0, "doc_id", left["doc_id"].to_numpy())
+        found.insert(1, "held_out", left["held_out"].to_numpy())
+        return found
+
+    letters = F.crc32(F.substring("token", -3, 3)) % TAIL_BUCKETS
     known = words.join(coded, "token", "left")
-    known = known.select("chunk", "at", "token", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("code", F.lit(unseen)).alias("code"))
-    schema = "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, codes binary, contexts binary"
+    known = known.select("chunk", "at", (F.coalesce("code", F.lit(unseen)).cast("bigint") * TAIL_BUCKETS + letters).alias("value"))
+    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, codes binary, letters binary"
     return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(run, schema)
 
 
-def laid_out(batch: pa.RecordBatch, first: int, n: int) -> tuple[np.ndarray, ...]:
-    """Codes, contexts, sizes and starts of some texts laid end to end."""
-    codes = [np.frombuffer(x.as_py(), np.int32) for x in batch.column("codes").slice(first, n)]
-    contexts = [np.frombuffer(x.as_py(), np.int16) for x in batch.column("contexts").slice(first, n)]
-    sizes = np.array([len(x) for x in codes])
-    return np.concatenate(codes), np.concatenate(contexts).astype(np.int64), sizes, np.concatenate([[0], np.cumsum(sizes)[:-1]])
-
-
-def tail_sums(coded: DataFrame, tail: Tail, rounds: int) -> DataFrame:
-    """Sums of the log-probabilities of tail words within their buckets: chunk, and rows and sums as bytes.
-
-    All places of a bucket meet in one task, which learns the bucket's weights from those of training texts.
-    """
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                chunk = part.column("chunk").to_numpy()
-                for at in np.split(np.arange(part.num_rows), np.flatnonzero(np.diff(chunk)) + 1):
-                    codes, contexts, sizes, starts = laid_out(part, int(at[0]), len(at))
-                    before, second = places(codes.astype(np.int64) + 1, starts, 0)
-                    row = np.repeat(part.column("row").to_numpy()[at] * 2 + part.column("held_out").to_numpy(zero_copy_only=False)[at], sizes)
-                    there = np.flatnonzero(contexts >= HEAD)
-                    bucket = tail.bucket(codes[there])
-                    order = np.argsort(bucket, kind="stable")
-                    there, bucket = there[order], bucket[order]
-                    cuts = np.flatnonzero(np.diff(bucket)) + 1
-                    firsts = np.concatenate([[0], cuts])[: len(there)].astype(np.int64)
-                    packs = [[x.astype(np.int32).tobytes() for x in np.split(v[there], cuts)][: len(firsts)] for v in (row, codes, before, second)]
-                    arrays = [pa.array(bucket[firsts]), pa.array([int(chunk[at[0]])] * len(firsts), pa.int64()), *[pa.array(x, pa.binary()) for x in packs]]
-                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk", "rows", "codes", "before", "second"])
-
-    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        bucket = int(pdf["bucket"].iloc[0])
-        row, codes, before, second = (np.concatenate([np.frombuffer(x, np.int32) for x in pdf[k]]) for k in ("rows", "codes", "before", "second"))
-        size, start = int(tail.sizes[bucket]), int(tail.starts[bucket])
-        logs = bucket_logs(codes.astype(np.int64) - start, before, second, row % 2 == 0, size, rounds)
-        rows, sums, at = [], [], 0
-        for x in pdf["rows"]:
-            n = len(x) // 4
-            own, where = np.unique(row[at : at + n] // 2, return_inverse=True)
-            rows.append(own.astype(np.int32).tobytes())
-            sums.append(np.bincount(where, logs[at : at + n]).tobytes())
-            at += n
-        return pd.DataFrame({"chunk": pdf["chunk"], "rows": rows, "sums": sums})
-
-    packed = "bucket bigint, chunk bigint, rows binary, codes binary, before binary, second binary"
-    routed = coded.select("chunk", "row", "held_out", "codes", "contexts").mapInArrow(route, packed)
-    return routed.groupBy("bucket").applyInPandas(learn, "chunk bigint, rows binary, sums binary")
+def laid_out(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some texts at a time, laid end to end: which rows, their codes and contexts, and where texts start."""
+    done = batch.column("n_tokens").to_numpy().cumsum()
+    for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(done // TAIL_STEP)) + 1):
+        if len(at):
+            rows = slice(int(at[0]), int(at[-1]) + 1)
+            codes = [restored(x.as_py(), np.int32) for x in batch.column("codes")[rows]]
+            letters = [restored(x.as_py(), np.uint8) for x in batch.column("letters")[rows]]
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in codes])[:-1]]).astype(np.int64)
+            codes = np.concatenate(codes)
+            yield rows, codes, contexts_of(codes, np.concatenate(letters)), starts
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -577,45 +531,39 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     fold, and an unseen token counts once.  Null and empty texts are their end only; repeated rows get a row each and
     count each; a null doc_id is trained on.  An empty table gives an empty one.
     """
-    texts, words = chunked(docs)
-    counts = materialise(words.where("n > 0").groupBy("token").agg(F.sum("n").alias("c")), "counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    coded, tail, distinct = ranked(counts)
+    spark = docs.sparkSession
+    chunks, ranks, stored = (shared_folder(spark, name) for name in ("chunks", "ranked", "coded"))
+    texts, words = chunked(docs, chunks)
+    coded, tail, distinct, total = ranked(words.where("n > 0").groupBy("token").agg(F.sum("n").alias("c")), ranks)
     head = [bytes(r["token"]) for r in coded.where(F.col("code") < HEAD).orderBy("code").collect()]
-    table = materialise(encode(texts, words, coded, head, float(total + distinct + 1), distinct), "coded")
-    events = materialise(count_events(table, tail), "events")
-    weights = train(events.where(F.col("key") < HEAD_KEYS), head, rounds)
-    nodes = train_nodes(events.where(F.col("key") >= HEAD_KEYS), tail, min(rounds, TAIL_ROUNDS))
-    sent = docs.sparkSession.sparkContext.broadcast((weights.table, head, nodes))
-    plain = ["chunk", "row", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+    table = encode(texts, words, coded, tail, float(total + distinct + 1), distinct)
+    table.write.option("compression", "zstd").parquet(stored)
+    table = spark.read.schema(table.schema).parquet(stored)
+    # Nothing after this reads the chunks or the ranks.
+    for folder in (chunks, ranks):
+        remove(spark, folder)
+    weights = train(materialise(count_events(table), "events"), head, rounds)
+    sent = spark.sparkContext.broadcast((weights.table, head, train_tail(table, tail, total, min(rounds, TAIL_ROUNDS))))
+    plain = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, head, nodes = sent.value
+        weights, head, tail_table = sent.value
         model = Weights(weights, head)
         for batch in batches:
-            sizes = batch.column("n_tokens").to_numpy()
-            for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(np.cumsum(sizes) // 500_000)) + 1):
-                codes, contexts, sizes, starts = laid_out(batch, int(at[0]), len(at))
+            for rows, codes, contexts, starts in laid_out(batch):
                 before, second = places(contexts, starts)
                 target = np.minimum(contexts, HEAD)
                 log_p = np.empty(len(codes))
-                for a in range(0, len(codes), 65_536):
-                    b = slice(a, a + 65_536)
+                for a in range(0, len(codes), STEP):
+                    b = slice(a, a + STEP)
                     log_p[b] = model.log_probability(feature_rows(before[b], second[b]), target[b])
-                    there = a + np.flatnonzero(target[b] == HEAD)
-                    log_p[there] += node_logs(tail, nodes, tail.bucket(codes[there]), before[there], second[there])
-                part = batch.slice(int(at[0]), len(at))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in plain], pa.array(np.add.reduceat(log_p, starts))], [*plain, "log_p"])
-
-    def add(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("row")
-        log_p = left["log_p"].to_numpy(np.float64, copy=True)
-        for rows, sums in zip(right["rows"], right["sums"]):
-            log_p[np.frombuffer(rows, np.int32)] += np.frombuffer(sums, np.float64)
-        return left.assign(train_tokens=total, score=log_p / np.log(10)).drop(columns=["chunk", "row", "log_p"])
-
-    partial = "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, log_p double"
+                there = np.flatnonzero(codes >= HEAD)
+                before, second = places(codes.astype(np.int64) + 1, starts, 0)
+                log_p[there] += tail.log_probability(tail_table, codes[there], before[there], second[there])
+                part = batch.slice(rows.start, len(starts))
+                trained = pa.array(np.full(len(starts), total, dtype=np.int64))
+                columns = [*[part.column(c) for c in plain[:4]], trained, part.column("base_score"), pa.array(np.add.reduceat(log_p, starts) / np.log(10))]
+                yield pa.RecordBatch.from_arrays(columns, [*plain[:4], "train_tokens", "base_score", "score"])
+
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    scored = table.mapInArrow(score, partial)
-    sums = tail_sums(table, tail, min(rounds, TAIL_ROUNDS))
-    return scored.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInPandas(add, schema)
+    return table.select(*plain, "codes", "letters").mapInArrow(score, schema)

@@ -185,8 +185,8 @@ def test_probabilities_add_up():
     assert abs(total - 1) < 1e-5
 
 
-def test_tail_words_follow_their_context(spark, monkeypatch):
-    """Words beyond the head are told apart by the token before, in one bucket and in several."""
+def test_tail_words_follow_their_context(spark):
+    """Words beyond the head are told apart by the token before."""
     n, rng = 300, random.Random(7)
     pairs = [(f"a{k}xyz", f"b{k}xyz") for k in range(n)]
     ids = iter(range(10**6))
@@ -199,24 +199,42 @@ def test_tail_words_follow_their_context(spark, monkeypatch):
     right = " ".join(w for p in pairs[-20:] for w in p)
     wrong = " ".join(w for k in range(n - 20, n) for w in (pairs[k][0], pairs[n - 20 + (k + 1 - n) % 20][1]))
     docs = spark.createDataFrame([*rows, (held[0], right), (held[1], wrong)], "doc_id bigint, text string")
-    for mass in (language.BUCKET_MASS, 1500):
-        monkeypatch.setattr(language, "BUCKET_MASS", mass)
-        found = language.score_documents(docs).collect()
-        check_language(found, [*rows, (held[0], right), (held[1], wrong)])
-        score = {r["doc_id"]: r["score"] for r in found}
-        assert score[held[0]] > score[held[1]] + 3
+    found = language.score_documents(docs).collect()
+    check_language(found, [*rows, (held[0], right), (held[1], wrong)])
+    score = {r["doc_id"]: r["score"] for r in found}
+    assert score[held[0]] > score[held[1]] + 3
 
 
 def test_tail_probabilities_add_up():
-    rng = np.random.default_rng(3)
-    size = 300
-    words = rng.integers(0, size, 5000)
-    before, second = rng.integers(0, 40, 5000), rng.integers(0, 40, 5000)
-    every = np.concatenate([words, np.arange(size)])
-    at = np.full(size, 7)
-    trained = np.arange(len(every)) < 5000
-    logs = language.bucket_logs(every, np.concatenate([before, at]), np.concatenate([second, at]), trained, size, 2)
-    assert abs(np.exp(logs[5000:]).sum() - 1) < 1e-4
-    tail = language.Tail(np.arange(20) * 10, np.arange(1, 21), np.full(20, 10))
-    nodes = {k: rng.normal(size=(language.NODE_ROWS, language.BRANCH)).astype(np.float32) for k in range(3)}
-    assert abs(np.exp(language.node_logs(tail, nodes, np.arange(20), np.full(20, 3), np.full(20, 4))).sum() - 1) < 1e-4
+    """Over all words of the tail, whatever the weights; without weights they are the shares of the masses."""
+    runs = [(900, 250), (500, 3), (40, 5), (7, 30), (2, 100), (1, 400)]
+    tail = language.Tail(runs, 255)
+    codes = np.arange(255, 255 + 533 + 1)
+    before, second = np.full(len(codes), 3), np.full(len(codes), 4)
+    share = np.exp(tail.log_probability(np.zeros(64, np.float32), codes, before, second))
+    counts = [c for c, n in runs for _ in range(n)][255:] + [0]
+    assert np.allclose(share, (np.array(counts) + 1) / (sum(counts) + len(counts)), rtol=1e-4)
+    table = np.random.default_rng(3).normal(size=1 << 12).astype(np.float32)
+    assert abs(np.exp(tail.log_probability(table, codes, before, second)).sum() - 1) < 1e-4
+    only = language.Tail([], 0)
+    assert only.log_probability(table, np.zeros(2, np.int64), np.zeros(2, np.int64), np.zeros(2, np.int64)).tolist() == [0, 0]
+
+
+def test_tail_gradient_against_differences(monkeypatch):
+    """The summed gradient is the slope of the log-likelihood, in one step or several."""
+    rng = np.random.default_rng(5)
+    tail = language.Tail([(30, 4), (3, 20), (1, 50)], 2)
+    codes, before, second = rng.integers(2, 75, 400), rng.integers(0, 9, 400), rng.integers(0, 9, 400)
+    table = rng.normal(size=256).astype(np.float32)
+    total = np.zeros((2, 256))
+    tail.add_statistics(total, table, codes, before, second)
+    for row in (0, 17, 101, 255):
+        up, down = table.copy(), table.copy()
+        up[row] += 0.01
+        down[row] -= 0.01
+        slope = (tail.log_probability(up, codes, before, second).sum() - tail.log_probability(down, codes, before, second).sum()) / 0.02
+        assert abs(slope - total[0, row]) < 0.05 * max(1, abs(slope))
+    monkeypatch.setattr(language, "TAIL_STEP", 37)
+    parts = np.zeros((2, 256))
+    tail.add_statistics(parts, table, codes, before, second)
+    assert np.allclose(parts, total, atol=1e-3)
