@@ -98,9 +98,10 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
     floor = np.full(len(query_ids), -np.inf)
     for a in range(0, len(ids), SLICE):
         part = Slice(ids[a : a + SLICE], vectors[a : a + SLICE])
+        own_rows = int(np.unique(part.ids, return_counts=True)[1].max(initial=1))
         for b in range(0, len(query_ids), QUERY_SLICE):
-            # One more than k, for the query itself may be among them.
-            for row, rows, scores in part.possible(queries[b : b + QUERY_SLICE], floor[b : b + QUERY_SLICE], k + 1):
+            # As many more than k as rows of the query's own id may be among them.
+            for row, rows, scores in part.possible(queries[b : b + QUERY_SLICE], floor[b : b + QUERY_SLICE], k + own_rows):
                 q = b + row
                 there = part.ids[rows]
                 own = there != query_ids[q]
@@ -118,9 +119,9 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
 
 
 def packed(vectors: DataFrame, count: int, block: int) -> DataFrame:
-    """Vectors dealt into blocks of about ``block`` by the hash of their id: dim, block, ids and values as bytes."""
+    """Vectors dealt into blocks of about ``block`` by the hash of id and values: dim, block, ids and values as bytes."""
     blocks = max(1, -(-count // block))
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         values = np.array(pdf["vector"].tolist(), dtype=np.int64)
@@ -135,14 +136,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     """Each query's ``k`` highest inner products with the other vectors: query_id, rank from 1, vec_id, score.
 
     Components become floor(scale * x).  Vectors that are null or empty or hold a null or non-finite component, or
-    have no id, take no part; vectors of another length than the query's are no candidates.  Rows with equal ids count
-    once, with the smallest vector.  A query has fewer results if there are fewer candidates, and an empty table
+    have no id, take no part; vectors of another length than the query's are no candidates.  Every row counts:
+    of repeated ids each row is a candidate for queries of other ids, and each is a query whose results are ranked
+    together under the id.  A query has fewer results if there are fewer candidates, and an empty table
     gives an empty one.  Scores beyond a long are cut to its range.
 
     Every query block meets every index block in a task of its own; only the best k of each come back.
     """
     clean = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    clean = clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    # Equal rows have equal scores: of each no more than k can be among the best, as candidates or as queries.
+    clean = clean.groupBy("vec_id", "embedding").agg(F.count("*").alias("n"))
+    clean = clean.withColumn("n", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)))))
     clean = clean.select("vec_id", quantised(F.col("embedding"), scale).alias("vector"), F.size("embedding").alias("dim"))
     total, asked = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     index = packed(clean, total, INDEX_BLOCK)
