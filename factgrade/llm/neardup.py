@@ -302,6 +302,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS)
     takes no part: its component is null and it is kept.  Repeated rows get a row each; rows with equal ids and
     different texts are searched as different texts.  An empty table gives an empty one.
     """
+    return classified(docs, percent, miss).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def classified(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """The rows of ``near_duplicates`` with the ``key`` of the row's word sequence, null without words."""
     rows = materialise(features(docs), "features")
     grouped = rows.where("key is not null and doc_id is not null").groupBy("key")
     classes = materialise(
@@ -352,7 +357,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS)
     labelled = counted_join(labelled, found, "root", [F.col("key")], "inner").select("key", "component_id", F.col("copies").alias("n"))
     out = counted_join(rows.select("doc_id", "key", "n_shingles"), materialise(labelled, "components"), "key", [F.col("doc_id")])
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def with_both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
@@ -366,8 +371,26 @@ def with_both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFra
 def deduplicate(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents of ``docs`` that ``near_duplicates`` keeps, all columns as they are.
 
-    Rows with a null id stay; repeated rows of a document that stays, stay.
+    Rows with a null id stay.  Of rows with equal ids those go whose own words ``near_duplicates`` doesn't keep, and
+    one stays of those with the same words.
     """
-    found = near_duplicates(docs, percent)
-    dropped = materialise(found.where(~F.col("kept")).select("doc_id").distinct(), "dropped")
-    return docs.join(F.broadcast(dropped) if fits_broadcast(dropped) else dropped, "doc_id", "left_anti").select(*docs.columns)
+    found = materialise(classified(docs, percent).where("doc_id is not null").select("doc_id", "key", "kept"), "found")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("dropped"))
+    ids = materialise(ids.where("n > 1 or dropped > 0"), "decided")
+    named = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"))
+    single = without(named, ids.select(F.col("doc_id").alias("id"))).select("row.*")
+    # Rows of repeated ids are told apart by their words.
+    several = only(named, ids.where("n > 1 and dropped < n").select(F.col("doc_id").alias("id")), "id")
+    several = map_rows(several, ["row.text"], sequence_keys, "key binary", ["row", "id"]).dropDuplicates(["id", "key"])
+    bad = found.where(~F.col("kept")).select(F.col("doc_id").alias("id"), F.col("key").alias("bad")).distinct()
+    several = several.join(bad, (several["id"] == bad["id"]) & several["key"].eqNullSafe(bad["bad"]), "left_anti")
+    return single.unionByName(several.select("row.*")).select(*docs.columns)
+
+
+def without(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``id`` isn't listed; the list is broadcast only when it is measured to be small."""
+    return df.join(F.broadcast(keys) if fits_broadcast(keys) else keys, "id", "left_anti")
+
+
+def sequence_keys():
+    return lambda texts: [(sequence_key(words) if (words := space_words(text)) else None,) for text in texts]

@@ -50,7 +50,7 @@ def test_top_k_against_brute_force(spark, monkeypatch, slice_, few):
     rng = np.random.default_rng(2)
     vectors = {i: (rng.normal(size=8) * rng.exponential()).astype(np.float32).tolist() for i in range(400)}
     vectors |= {i: [1.0] * 8 for i in range(400, 500)} | {i: [0.5] * 3 for i in range(500, 504)}
-    bad = [(600, None), (620, [1.0, None]), (640, [float("nan")] * 8), (660, [float("inf")] * 8), (680, []), (None, [1.0] * 8), (400, [1.0] * 8)]
+    bad = [(600, None), (620, [1.0, None]), (640, [float("nan")] * 8), (660, [float("inf")] * 8), (680, []), (None, [1.0] * 8)]
     df = spark.createDataFrame([*vectors.items(), *bad], "vec_id bigint, embedding array<float>")
     from pyspark.sql import functions as F
 
@@ -61,6 +61,37 @@ def test_top_k_against_brute_force(spark, monkeypatch, slice_, few):
     assert topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_keeps_every_row_of_repeated_ids(spark, monkeypatch):
+    """Against all pairs: rows of one id differ, are equal, or are the query's own."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(topk, "SLICE", 16)
+    monkeypatch.setattr(topk, "FEW", 2)
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 1.0]), (0, [3.0, 3.0]), (0, [3.0, 3.0]), (1, [0.5, 0.5]), (1, [2.0, 2.0]), *[(2, [1.5, 1.5])] * 30]
+    rows += [(int(i), rng.normal(size=2).astype(np.float32).tolist()) for i in rng.integers(0, 40, 200)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    ints = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    for k in (3, 20):
+        want = []
+        for q in {i for i, _ in rows if i % 20 == 0}:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for i, v in ints if i == q for j, w in ints if j != q)
+            want += [(q, n + 1, j, -s) for n, (s, j) in enumerate(scores[:k])]
+        got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=k).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_deduplicate_by_row(spark):
+    """Texts of a repeated id are judged one by one, equal rows are one, and columns of any name stay."""
+    a, b, c = (" ".join(f"{x}{n}" for n in range(30)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (4, ""), (4, b.upper()), (None, a), (None, a)]
+    docs = spark.createDataFrame([(*r, "k", "r") for r in rows], "doc_id bigint, text string, key string, id string")
+    got = neardup.deduplicate(docs)
+    assert got.columns == docs.columns
+    left = sorted(((r["doc_id"] or 0, r["text"]) for r in got.collect()))
+    assert left == sorted([(1, a), (2, b), (3, c), (4, ""), (0, a), (0, a)])
+
+
 def test_top_k_of_huge_values(spark):
     from pyspark.sql import functions as F
 
