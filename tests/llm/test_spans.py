@@ -1,6 +1,7 @@
 """Personal data and secrets."""
 
 import random
+import time
 
 from llm import brute
 import pytest
@@ -71,17 +72,99 @@ def test_likelihood_grows_with_training(texts):
         ("client_secret: ${KEY}\nKEY=Zx81_kkQpLm00", "Zx81_kkQpLm00"),
         ("a = b\nb = c\nc = 'Zx81kkQpLm00aa'\nauthToken => a", "Zx81kkQpLm00aa"),
         ('private_key := "aa" + "bbCC1234xx"', "bbCC1234xx"),
+        ("Authorization: Bearer Zx81kkQpLm00aa", "Zx81kkQpLm00aa"),
+        ("<db:password type='x'> Zx81kkQpLm00aa </db:password>", "Zx81kkQpLm00aa"),
+        ("run --db-password Zx81kkQpLm00aa now", "Zx81kkQpLm00aa"),
+        ('conn.set_password("Zx81kkQpLm00aa")', "Zx81kkQpLm00aa"),
+        ("k = 'Zx81kkQpLm00aa'\nset_password(k)", "Zx81kkQpLm00aa"),
+        ('pwd = """Zx81kkQpLm00aa"""', "Zx81kkQpLm00aa"),
+        ("signing_key: |\n  AAAA1111bbbb\n  Zx81kkQpLm00aa\nother: x", "Zx81kkQpLm00aa"),
+        ('pwd = os.getenv("X", "Zx81kkQpLm00aa")', "Zx81kkQpLm00aa"),
+        ('X = "Zx81kkQpLm00aa"\npwd = os.getenv("X")', "Zx81kkQpLm00aa"),
+        ('base = "aaBB1122cc"\nsuffix = "Zx81kkQpLm00aa"\npwd = base + suffix', "Zx81kkQpLm00aa"),
+        ("b='Zx81kkQpLm00aa'\nc='yyQ1kkQpLm'\npwd=b+c", "Zx81kkQpLm00aa"),
+        ("open postgres://user:Zx81kkQpLm00aa@host/db", "Zx81kkQpLm00aa"),
+        ("a=b=Zx81kkQpLm00aa==\npwd=a", "Zx81kkQpLm00aa=="),
     ],
 )
 def test_constants_flow_into_sensitive_names(text, literal):
     assert literal in [text[s["start"] : s["end"]] for s in secrets.spans(text) if s["kind"] == "literal"]
 
 
-@pytest.mark.parametrize("text", ['password = "changeme"', "color = 'Zx81kkQpLm00aa'", "if token == x:", "see http://token", "a = b\nb = a\nsecret = a"])
+HARMLESS = [
+    'pwd = os.getenv("DB_PASSWORD_FOR")', 'pwd = headers["X-Auth-Token"]', 'get_token("Zx81kkQpLm00aa")', "Note: basic understanding",
+    "<title>Zx81kkQpLm00aa</title>", "run --color Zx81kkQpLm00aa", "title: |\n  Zx81kkQpLm00aa\n", "see https://host:8080/token", "--password",
+]
+
+
+@pytest.mark.parametrize("text", ['password = "changeme"', "color = 'Zx81kkQpLm00aa'", "if token == x:", "see http://token", "a = b\nb = a\nsecret = a", *HARMLESS])
 def test_other_assignments_are_left(text):
     assert [s for s in secrets.spans(text) if s["kind"] == "literal"] == []
 
 
+FORMS = [
+    "Authorization: Bearer {}", "<secret>{}</secret>", "deploy --api-key {} --fast", 'vault.store_secret("{}")', "pwd = '''{}'''",
+    "passphrase: |\n    {}\n", 'jwt = env("J", "{}")', "mongodb://me:{}@db.host/x", "K1 = '{}'\nK2 = K1\naccess_key = K2",
+]
+
+
+def test_planted_forms_over_the_table(texts):
+    """Secrets put into texts of the table are found, each as itself, and nothing else is added to these texts."""
+    rng = random.Random(8)
+    letters = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    planted = added = hits = 0
+    for k, text in enumerate(t for t in texts.values() if t):
+        before = sum(s["kind"] == "literal" for s in secrets.spans(text))
+        value = "".join(rng.choice(letters) for _ in range(20))
+        whole = text + "\n" + FORMS[k % len(FORMS)].format(value) + "\n"
+        found = [whole[s["start"] : s["end"]] for s in secrets.spans(whole) if s["kind"] == "literal"]
+        planted, added, hits = planted + 1, added + len(found) - before, hits + (value in found)
+    assert hits == planted and added == planted
+
+
+def reached_literals(definitions, uses):
+    """Which literals reach a use, by plain search: each name is a literal's or a sum of other names."""
+    found, todo, seen = set(), list(uses), set()
+    while todo:
+        name = todo.pop()
+        if name not in seen:
+            seen.add(name)
+            for value in definitions.get(name, []):
+                found |= {value} if isinstance(value, str) else set()
+                todo += value if isinstance(value, list) else []
+    return found
+
+
+def test_flow_against_plain_search():
+    rng = random.Random(4)
+    for _ in range(300):
+        names = [f"n{i}" for i in range(12)]
+        definitions, lines = {}, []
+        for name in names:
+            for _ in range(rng.choice((1, 1, 2))):
+                if rng.random() < 0.5:
+                    value = "Q7z" + "".join(rng.choice("abcdefghkmXYZW23456789") for _ in range(14))
+                    lines.append(f'{name} = "{value}"')
+                else:
+                    value = rng.sample([n for n in names if n != name], rng.choice((1, 2)))
+                    lines.append(f"{name} = {' + '.join(value)}")
+                definitions.setdefault(name, []).append(value)
+        uses = rng.sample(names, 2)
+        lines += [f"db_secret = {u}" for u in uses]
+        rng.shuffle(lines)
+        text = "\n".join(lines)
+        assert {text[a:b] for a, b, _, _ in secrets.flowing_literals(text)} == reached_literals(definitions, uses)
+
+
+def test_long_texts_take_time_in_proportion():
+    n = 250_000
+    chain = "".join(f"k{i} = k{i + 1}\n" for i in range(n // 2)) + f"k{n // 2} = 'Zx81kkQpLm00aa'\n" + "secret = k0\n" * 10_000
+    for text in ("password = 'Zx81kkQpLm00aa'\n" * (n // 4), chain, "x=" * n, 'pwd="""' * n, "pwd(a," * n):
+        start = time.perf_counter()
+        secrets.spans(text)
+        assert time.perf_counter() - start < 30
+
+
 def test_edges(edges, empty, field):
     assert pii.find_pii(edges).count() == edges.count() and secrets.find_secrets(edges).count() == edges.count()
     assert pii.find_pii(empty).count() == 0 and secrets.find_secrets(empty).count() == 0
