@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from factgrade.llm import collocations, decontaminate, filteraudit, language, licenses, neardup, pieces, pii, quality, secrets, sharding, topk, warc
 from factgrade.sources.storage import shared_folder
-from factgrade.llm.common import of_kinds, span_text, table
+from factgrade.llm.common import materialise, of_kinds, span_text, table
 
 
 def op5_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +78,7 @@ def op8_licenses(spark: SparkSession, sf: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     warc.write(table(spark, sf, "pages"), folder)
-    captures = warc.assemble(warc.read(spark, folder, payload=False))
+    captures = warc.assemble(materialise(warc.read(spark, folder, payload=False), "records"))
     return captures.select(
         F.col("metadata.fields")["page-id"].cast("bigint").alias("page_id"),
         "payload_bytes",

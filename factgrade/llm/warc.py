@@ -29,6 +29,8 @@ RECORD = (
     "content_type string, fields map<string,string>, payload_bytes bigint, payload_digest string, payload binary"
 )
 
+NESTED = ("requests", "metadata_records", "request", "metadata")
+
 
 def urn(*parts: Column | str) -> Column:
     """A record id made from the given values."""
@@ -130,14 +132,15 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def fields(found: Iterator[bytes]) -> dict[str, str]:
-    """Lines of ``name: value`` up to the first empty one."""
-    out = {}
+    """Lines of ``name: value`` up to the first empty one; several records that one is concurrent to are all kept."""
+    out: dict[str, str] = {}
     for line in found:
         line = line.rstrip(b"\r\n")
         if not line:
             break
         name, _, value = line.partition(b":")
-        out[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        key, text = name.decode("utf-8", "replace").strip().lower(), value.decode("utf-8", "replace").strip()
+        out[key] = f"{out[key]} {text}" if key == "warc-concurrent-to" and key in out else text
     return out
 
 
@@ -188,15 +191,37 @@ def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: the response or revisit with the request and metadata concurrent to it.
+    """One nested row per capture: the response or revisit with the requests and metadata concurrent to it.
 
-    A capture without request or metadata has null there; records that are concurrent to nothing known are left out.
+    Either side may name the other, and ``concurrent_to`` may hold several ids, parted by blanks.  ``requests`` and
+    ``metadata_records`` are in order of their ids, empty where there are none; ``request`` and ``metadata`` are the first
+    of them or null.  Records that are concurrent to no known capture are left out; a capture that stands twice gives
+    two rows, a record that stands twice is listed twice; null ids meet nothing.  All records that are concurrent to
+    one capture are in its row.  Other columns stay, but for any of the four names.  ``records`` is read several times: give it as a written table.
     """
-    captures = records.where(F.col("type").isin("response", "revisit")).drop("concurrent_to", "fields", "content_type")
-
-    def beside(kind: str) -> DataFrame:
-        return records.where((F.col("type") == kind) & F.col("concurrent_to").isNotNull()).select(
-            F.col("concurrent_to").alias("record_id"), F.struct(F.col("record_id"), F.col("date"), F.col("fields")).alias(kind)
-        )
-
-    return captures.join(beside("request"), "record_id", "left").join(beside("metadata"), "record_id", "left")
+    others = F.array_distinct(F.split(F.trim("concurrent_to"), r"\s+"))
+    is_capture = F.col("type").isin("response", "revisit")
+    captures = records.where(is_capture).drop("concurrent_to", "fields", "content_type", *NESTED)
+    beside = records.where(F.col("type").isin("request", "metadata")).select(
+        "type", "record_id", others.alias("names"), F.struct("record_id", "date", "fields").alias("found")
+    )
+    forward = beside.select("type", F.explode("names").alias("capture"), "found")
+    named = records.where(is_capture & F.col("concurrent_to").isNotNull() & F.col("record_id").isNotNull())
+    named = named.select(F.col("record_id").alias("capture"), F.explode(others).alias("record_id")).distinct()
+    # Pairs in which both name each other come from the first way.
+    both = F.coalesce(F.array_contains("names", F.col("capture")), F.lit(False))
+    backward = beside.join(named, "record_id").where(~both).select("type", "capture", "found")
+
+    def listed(kind: str) -> Column:
+        def order(a: Column, b: Column) -> Column:
+            x, y = (F.coalesce(v["record_id"], F.lit("")) for v in (a, b))
+            return F.when(x < y, -1).when(x > y, 1).otherwise(0)
+
+        return F.array_sort(F.collect_list(F.when(F.col("type") == kind, F.col("found"))), order)
+
+    linked = forward.unionByName(backward).groupBy(F.col("capture").alias("record_id"))
+    linked = linked.agg(listed("request").alias("requests"), listed("metadata").alias("metadata_records"))
+    none = F.array().cast(linked.schema["requests"].dataType)
+    out = captures.join(linked, "record_id", "left")
+    out = out.withColumns({c: F.coalesce(c, none) for c in NESTED[:2]})
+    return out.withColumns({"request": F.get("requests", F.lit(0)), "metadata": F.get("metadata_records", F.lit(0))})

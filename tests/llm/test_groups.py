@@ -129,6 +129,24 @@ def test_archives(spark, tmp_path):
                 assert len(block) == int(headers["content-length"])
 
 
+def test_captures_and_what_is_concurrent_to_them(spark):
+    """Links of either side, several ids, both sides naming each other, repeats, unknown and null ids: a row per capture."""
+    rows = [
+        ("response", "a", None), ("request", "q1", "a"), ("request", "q2", "a"), ("metadata", "m1", "a"),
+        ("response", "b", "q3 m2"), ("request", "q3", None), ("metadata", "m2", "b"),
+        ("revisit", "c", None), ("metadata", "m3", "a  c"), ("request", "q4", "nowhere"), ("request", None, "c"),
+        ("response", "d", None), ("response", "d", None), ("request", "q5", "d"), ("response", None, "q1"), ("warcinfo", "w", "a"),
+    ]
+    schema = warc.RECORD + ", requests string, url_note string"
+    records = spark.createDataFrame([(t, i, "now", "u", c, None, "x", {"k": i or ""}, 1, "0", None, "e", "n") for t, i, c in rows], schema)
+    got = warc.assemble(records).collect()
+    found = sorted((r["record_id"] or "", [x["record_id"] for x in r["requests"]], [x["record_id"] for x in r["metadata_records"]]) for r in got)
+    assert got[0]["url_note"] == "n" and found == [("", [], []), ("a", ["q1", "q2"], ["m1", "m3"]), ("b", ["q3"], ["m2"]), ("c", [None], ["m3"]), ("d", ["q5"], []), ("d", ["q5"], [])]
+    first = {r["record_id"]: (r["request"], r["metadata"]) for r in got}
+    assert first["a"][0]["fields"] == {"k": "q1"} and first["d"][1] is None and first[None] == (None, None)
+    assert warc.fields(iter([b"WARC-Concurrent-To: <x>\r\n", b"warc-concurrent-to: <y>\r\n", b"\r\n"])) == {"warc-concurrent-to": "<x> <y>"}
+
+
 def test_no_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     warc.write(pages, str(tmp_path / "none"))
