@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from factgrade import fixed
 from factgrade.catalogue import stages
 from factgrade.catalogue import tables as t
-from factgrade.catalogue.oracle import PAIRS, PAIRS_RAW, f1, joined, sents, summary, with_
+from factgrade.catalogue.oracle import ORACLE as PLAIN, PAIRS, PAIRS_RAW, f1, joined, sents, summary, with_
+from factgrade.functions import budget
 from factgrade.functions import facts as fx
 from factgrade.operators import replies, report, verify
 from factgrade.plans import evaluate as ev
@@ -20,6 +21,7 @@ from factgrade.plans.report import read_results, report_tables
 from factgrade.sources import examples, storage
 from factgrade.sources import tables as src
 
+PIECE_TOKENS = 120
 WHEN = datetime(2020, 1, 2, 3, 4, 5)
 
 
@@ -122,10 +124,36 @@ def fact_edges(spark: SparkSession, sf: str) -> DataFrame:
     return t.table(spark, sf, "benchmark").select("item_id", long(F.size(fx.parse_facts(raw))).alias("n_facts"))
 
 
+def claim_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the sentences of each document are cut so that a prompt holds 120 tokens of them."""
+    listed = t.documents(spark, sf).select("doc_id", fx.sentence_facts("text").alias("claims"))
+    places = budget.cut_places(budget.line_tokens("claims"), PIECE_TOKENS)
+    cut = listed.select("doc_id", F.posexplode(places).alias("piece", "place"))
+    return cut.select(
+        "doc_id", long("piece").alias("piece"), long("place.start").alias("first_claim"), long("place.n").alias("n_claims"), "place.tokens"
+    )
+
+
+def evaluate_in_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """The run with replies when no prompt may hold more than 200 tokens or two claims: counts are those of whole prompts."""
+    df = ev.evaluate(
+        t.pairs(spark, sf),
+        split_backend=stages._splitter(),
+        check_backend=stages._judge(),
+        make_classifier=stages._length_classifier(),
+        examples=t.examples(spark, sf),
+        parallel=4,
+        prompt_tokens=200,
+        most_claims=2,
+    )
+    return stages._outcome(df)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         classify_long, breakdown_lines, two_files, two_models, report_from_files, prepared_written, no_examples, mock_check, few_shot_file, fact_edges,
+        claim_pieces, evaluate_in_pieces,
     )
 }
 
@@ -136,6 +164,13 @@ _YES = r"""CASE WHEN len(gt_facts) = 0 THEN 0 ELSE len(list_filter(gen_facts,
     lambda c: length(regexp_replace(c, '[\s\x0b]+', ' ', 'g')) % 2 = 0)) END"""
 
 ORACLE = {
+    "claim_pieces": f"""WITH RECURSIVE d AS (SELECT doc_id, unnest({sents('text')}) AS claim, generate_subscripts({sents('text')}, 1) AS i FROM documents),
+s AS (SELECT doc_id, i, sum((octet_length(encode(claim)) + len(i::VARCHAR) + 3 + 3) // 4) OVER (PARTITION BY doc_id ORDER BY i) AS total FROM d),
+p AS (SELECT doc_id, list(total::BIGINT ORDER BY i) AS totals FROM s GROUP BY doc_id),
+r AS (SELECT doc_id, totals, 0 AS piece, 0 AS a, greatest(1, len([x for x in totals if x <= {PIECE_TOKENS}])) AS b FROM p
+  UNION ALL SELECT doc_id, totals, piece + 1, b, greatest(b + 1, len([x for x in totals if x <= totals[b] + {PIECE_TOKENS}])) FROM r WHERE b < len(totals))
+SELECT doc_id, piece::BIGINT AS piece, a::BIGINT AS first_claim, (b - a)::BIGINT AS n_claims, totals[b] - coalesce(totals[a], 0) AS tokens FROM r""",
+    "evaluate_in_pieces": PLAIN["evaluate_with_replies"],
     "classify_long": """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'LABEL_0' ELSE 'LABEL_5' END AS label, doc_id % 3 = 0 AS is_abstained
 FROM documents""",
     "breakdown_lines": """SELECT string_agg('  ' || source || ': ' || n, chr(10) ORDER BY n DESC, source) AS text

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factgrade.functions import facts as fx
-from factgrade.functions import scoring
+from factgrade.functions import budget, scoring
 from factgrade.functions.prompts import check_all_messages, claim_messages
 from factgrade.functions.replies import count_yes, match_option, says_yes
 from factgrade.operators import clean, replies, rows, stitch, verify
@@ -37,23 +38,45 @@ RESULT_COLUMNS = [
 
 
 def check_in_one_call(
-    df: DataFrame, store: str, make_backend: Callable, parallel: int | None = None, commits: int = replies.COMMITS, rounds: int = 1
+    df: DataFrame,
+    store: str,
+    make_backend: Callable,
+    parallel: int | None = None,
+    commits: int = replies.COMMITS,
+    rounds: int = 1,
+    prompt_tokens: int | None = None,
+    most_claims: int | None = None,
 ) -> DataFrame:
-    """(row_id, supported, failed_calls): all claims of an answer in one prompt."""
-    asked = replies.with_prompt_hash(
-        df.where((F.size("gen_facts") > 0) & (F.size("gt_facts") > 0)).select(
-            "row_id", check_all_messages("gen_facts", "gt_facts").alias("messages")
-        )
-    )
+    """(row_id, supported, failed_calls): the claims of an answer in as few prompts as fit.
+
+    Without limits that is one prompt.  With ``prompt_tokens`` the claims are cut into consecutive pieces, each in a
+    prompt of at most so many estimated tokens together with all reference facts, and of at most ``most_claims``
+    claims (the reply grows with them); supported claims and failed calls are summed over the pieces.  Where the
+    references leave no room, each claim has a prompt of its own.
+    """
+    claims = df.where((F.size("gen_facts") > 0) & (F.size("gt_facts") > 0))
+    cut = prompt_tokens is not None or most_claims is not None
+    if cut:
+        room = F.lit(2**62)
+        if prompt_tokens is not None:
+            frame = F.octet_length(check_all_messages(fx.no_facts(), "gt_facts")[0]["content"])
+            room = F.lit(prompt_tokens) - budget.token_estimate(frame)
+        places = budget.cut_places(budget.line_tokens("gen_facts"), room, most_claims)
+        claims = claims.select("row_id", "gen_facts", "gt_facts", F.explode(places).alias("place"))
+        claims = claims.withColumn("gen_facts", budget.piece_of("gen_facts", F.col("place")))
+    asked = replies.with_prompt_hash(claims.select("row_id", check_all_messages("gen_facts", "gt_facts").alias("messages")))
     asked = storage.materialise(asked, "checks")
     stored = replies.ask_pending(replies.distinct_prompts(asked), store, make_backend, parallel, commits=commits, rounds=rounds)
     answered = replies.join_replies(asked.select("row_id", "prompt_hash"), stored)
     ok = F.col("status") == "ok"
-    return answered.select(
+    counted = answered.select(
         "row_id",
         F.when(ok, count_yes("reply")).otherwise(0).alias("supported"),
         (~ok).cast("int").alias("failed_calls"),
     )
+    if not cut:
+        return counted
+    return counted.groupBy("row_id").agg(*[F.sum(c).cast("int").alias(c) for c in ("supported", "failed_calls")])
 
 
 def check_claim_by_claim(
@@ -138,12 +161,15 @@ def evaluate(
     commits: int = replies.COMMITS,
     rounds: int = 1,
     learned: Boundaries | None = None,
+    prompt_tokens: int | None = None,
+    most_claims: int | None = None,
 ) -> DataFrame:
     """Score every answer of a dataset.
 
     ``store`` is the folder of finished replies; give each model its own.  Calls that fail for the moment are made again
     in up to ``rounds`` rounds.  ``learned`` are sentence boundaries from ``boundaries.learn``; without them every
-    period before white space ends a sentence.
+    period before white space ends a sentence.  ``prompt_tokens`` and ``most_claims`` bound the prompts that check the
+    claims of an answer in one call; longer lists are cut.
 
     Rows of several files may be graded in one run: ``source_file`` and ``model`` stay on their rows where they are
     given, and equal ``row_id``s of two files are told apart.
@@ -198,7 +224,8 @@ def evaluate(
         graded = storage.materialise(
             graded.select("row_id", "is_abstained", "gen_facts", "gt_facts", "no_reference", "split_failed"), "claims"
         )
-        check = check_in_one_call if one_call else check_claim_by_claim
+        in_one = partial(check_in_one_call, prompt_tokens=prompt_tokens, most_claims=most_claims)
+        check = in_one if one_call else check_claim_by_claim
         outcome = check(graded.where(_not_refused()), f"{store}/check", check_backend, parallel, commits, rounds)
         joined = rows.reassemble(graded, outcome.withColumnRenamed("failed_calls", "check_failed"))
         scored = verify.score_rows(joined, F.col("supported"))
