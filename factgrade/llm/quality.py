@@ -208,14 +208,17 @@ def is_held_out() -> Column:
     return remainder("doc_id", FOLDS) == HELD_OUT
 
 
-def fit(stats: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Rules:
-    """Rules fitted on at most ``rows`` labelled documents outside the held-out fold, taken by the hash of their id."""
+def labelled(labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id and quality of at most ``rows`` labels outside the held-out fold, those whose ids have the smallest hashes."""
     known = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", "quality").where(~is_held_out())
-    total = known.count()
-    if total > rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * rows / total))
-    taken = stats.join(known, "doc_id").select("quality", *STATISTICS).limit(rows).toPandas()
-    taken = taken.sort_values(["quality", *STATISTICS])
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
+
+
+def fit(stats: DataFrame, known: DataFrame, rows: int = TRAIN_ROWS) -> Rules:
+    """Rules fitted on the statistics of ``known`` labelled documents; of repeated ones at most ``rows`` in all, by the same order."""
+    found = stats.join(F.broadcast(known), "doc_id")
+    taken = found.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *STATISTICS).limit(rows)
+    taken = taken.select("quality", *STATISTICS).toPandas().sort_values(["quality", *STATISTICS])
     return fit_rules(taken[list(STATISTICS)].to_numpy(np.float64), taken["quality"].to_numpy(np.float64))
 
 
@@ -226,19 +229,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     get a row each; a null doc_id is scored and counts as held out.  Without labels every score is 0.5.
     """
     stats = materialise(statistics(docs), "statistics")
-    model = fit(stats, labels, rows)
+    model = fit(stats, labelled(labels, rows), rows)
     scored = stats.select("doc_id", is_held_out().alias("held_out"), model.column().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, all columns as they are."""
+    """The documents that the classifier accepts, all columns as they are.
+
+    Statistics are worked out once for every text, and before that for the labelled ones that the rules are learned from.
+    """
     columns = docs.columns
 
     def make():
         return lambda texts: [statistics_of(t) for t in texts]
 
-    stats = materialise(statistics(docs), "statistics")
-    model = fit(stats, labels)
+    known = labelled(labels)
+    model = fit(statistics(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id").distinct()), "doc_id")), known)
     wide = map_rows(docs.select(F.struct(*columns).alias("_row")), ["_row.text"], make, ", ".join(f"{s} double" for s in STATISTICS), ["_row"])
     return wide.where(model.column() >= CUT).select("_row.*")
