@@ -25,16 +25,14 @@ def _prose(spark: SparkSession, sf: str) -> DataFrame:
 
 def word_periods(spark: SparkSession, sf: str) -> DataFrame:
     """How often each word has a period, and how much that speaks for an abbreviation."""
-    found = boundaries.abbreviation_scores(boundaries.word_counts(_prose(spark, sf)))
+    counts = storage.materialise(boundaries.word_counts(_prose(spark, sf)), "words")
+    found = boundaries.abbreviation_scores(counts)
     return found.select("word", "n_period", "n_bare", F.round("score", 6).alias("score"))
 
 
 def sentence_starters(spark: SparkSession, sf: str) -> DataFrame:
     """Words after sure sentence ends."""
-    texts = _prose(spark, sf)
-    counts = boundaries.word_counts(texts)
-    short = boundaries.abbreviation_scores(counts).where(F.col("score") >= boundaries.ABBREVIATION_SCORE)
-    found = boundaries.starter_scores(texts, counts, short)
+    _, found = boundaries.scored_words(_prose(spark, sf))
     return found.select("word", "n_after", "n", F.round("score", 4).alias("score"))
 
 

@@ -84,7 +84,8 @@ def _pieces(text: Column) -> Column:
 
 
 def _last(piece: Column) -> Column:
-    return F.regexp_extract(piece, f"({TOKEN})$", 1)
+    # From the end: a search from the start would try every token of the piece.
+    return F.regexp_extract(piece, rf"(?s)\A(?:.*[{SPACE}])?({TOKEN})\z", 1)
 
 
 def _first(piece: Column) -> Column:
@@ -95,7 +96,8 @@ def starter_scores(texts: DataFrame, counts: DataFrame, abbreviations: DataFrame
     """(word, n_after, n, score): words after sure sentence ends, and the likelihood ratio of the two going together.
 
     Sure is an end whose word is neither an abbreviation nor a single letter.  Pairs of words are counted before they
-    meet the abbreviations.
+    meet the abbreviations, and are stored, so that the texts are read once.  ``counts`` and ``abbreviations`` are read
+    several times: give stored tables.
     """
     pieces = texts.select(_pieces(F.col(text)).alias("p"))
     numbers = F.when(F.size("p") > 1, F.sequence(F.lit(1), F.size("p") - 1)).otherwise(F.array().cast("array<int>"))
@@ -105,10 +107,12 @@ def starter_scores(texts: DataFrame, counts: DataFrame, abbreviations: DataFrame
     pairs = pairs.groupBy("x.a", "x.b").agg(F.count("*").alias("n"))
     seen = pairs.select(word_of(F.col("a")).alias("before"), word_of(F.col("b")).alias("word"), "n")
     seen = seen.where(F.col("word") != "").groupBy("before", "word").agg(F.sum("n").alias("k"))
+    seen = shared.materialise(seen, "pairs")
     known = abbreviations.select(F.col("word").alias("before"), F.lit(True).alias("known"))
     sure = skew.lookup_join(seen, known, ["before"]).where(F.col("known").isNull() & ~F.col("before").rlike(r"^\p{L}$"))
     after = sure.groupBy("word").agg(F.sum("k").alias("n_after"))
     both = after.join(counts.select("word", (F.col("n_period") + F.col("n_bare")).alias("n")), "word")
+    both = shared.materialise(both, "starts")
     ends = both.agg(F.coalesce(F.sum("n_after"), F.lit(0))).first()[0]
     total = counts.agg(F.coalesce(F.sum(F.col("n_period") + F.col("n_bare")), F.lit(0))).first()[0]
     together, alone = F.col("n_after").cast("double"), F.col("n") - F.col("n_after").cast("double")
@@ -136,12 +140,20 @@ class Boundaries:
     listed: tuple[list[str], list[str]] | None
 
 
-def learn(texts: DataFrame, text: str = "text", listed_words: int = LISTED_WORDS) -> Boundaries:
-    """Abbreviations and sentence starters of a corpus, from two aggregations over all of it."""
+def scored_words(texts: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The abbreviations as a stored table of one column, ``word``, and the starters with their scores.
+
+    Both come from two passes over the texts: one counts words, one counts pairs around possible ends.
+    """
     counts = shared.materialise(word_counts(texts, text), "words")
     scores = abbreviation_scores(counts)
     short = shared.materialise(scores.where(F.col("score") >= ABBREVIATION_SCORE).select("word"), "abbreviations")
-    found = starter_scores(texts, counts, short, text)
+    return short, starter_scores(texts, counts, short, text)
+
+
+def learn(texts: DataFrame, text: str = "text", listed_words: int = LISTED_WORDS) -> Boundaries:
+    """Abbreviations and sentence starters of a corpus, from two aggregations over all of it."""
+    short, found = scored_words(texts, text)
     starters = shared.materialise(found.where(F.col("score") >= STARTER_SCORE).select("word"), "starters")
     listed = None
     if short.count() + starters.count() <= listed_words:

@@ -147,3 +147,16 @@ def test_counts_meet_once(spark, texts):
     assert plan.count("hashpartitioning(word") == 1 and "Python" not in plan
     split_ = boundaries.add_sentences(texts.select("text"), boundaries.learn(texts)).select(F.size("sentences"))
     assert "hashpartitioning" not in split_._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_read_once_for_each_count(spark):
+    """Words and pairs are counted in one job each, whatever reads the counts later."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = spark.createDataFrame([("Ask Dr. Smith. The end.",), ("He left. The door.",)], "text string").coalesce(1)
+    boundaries.scored_words(rows.select(F.udf(seen)("text").alias("text")))[1].collect()
+    assert read.value == 4
