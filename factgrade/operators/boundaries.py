@@ -138,6 +138,7 @@ class Boundaries:
     abbreviations: DataFrame
     starters: DataFrame
     listed: tuple[list[str], list[str]] | None
+    listed_words: int = LISTED_WORDS
 
 
 def scored_words(texts: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -158,7 +159,7 @@ def learn(texts: DataFrame, text: str = "text", listed_words: int = LISTED_WORDS
     listed = None
     if short.count() + starters.count() <= listed_words:
         listed = tuple(sorted(r["word"] for r in table.collect()) for table in (short, starters))
-    return Boundaries(short, starters, listed)
+    return Boundaries(short, starters, listed, listed_words)
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -171,7 +172,7 @@ def _ends(before: Column, after: Column, short: Callable[[Column], Column], star
 
     def decide(x: Column) -> Column:
         word = x["word"]
-        abbreviated = short(word) | word.rlike(r"^\p{L}$")
+        abbreviated = _abbreviated(word, short)
         return (
             F.when(x["before"].rlike(CALL_END), True)
             .when(word == "", ~x["after"].rlike(SMALL))
@@ -200,29 +201,78 @@ def _sentences(pieces: Column, ends: Column) -> Column:
     return _once(F.concat(F.array(F.lit(0)), ends), between)
 
 
+def _marked(text: Column) -> Column:
+    """The pieces of a text, with the last and the first token of each as ``marks``."""
+
+    def marked(pieces: Column) -> Column:
+        marks = F.transform(pieces, lambda p: F.struct(_last(p).alias("last"), _first(p).alias("first")))
+        return F.struct(pieces.alias("pieces"), marks.alias("marks"))
+
+    return _once(_pieces(text), marked)
+
+
+def _cuts(marks: Column) -> Column:
+    return F.when(F.size(marks) > 1, F.sequence(F.lit(1), F.size(marks) - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _abbreviated(word: Column, short: Callable[[Column], Column]) -> Column:
+    return short(word) | word.rlike(r"^\p{L}$")
+
+
+def _real_cuts(marks: Column, short: Callable[[Column], Column], starter: Callable[[Column], Column]) -> Column:
+    return F.filter(_cuts(marks), lambda i: _ends(F.get(marks, i - 1)["last"], F.get(marks, i)["first"], short, starter))
+
+
+def _doubtful(df: DataFrame, short: Callable[[Column], Column], text: str) -> DataFrame:
+    """(word): what stands with a capital after abbreviations and initials; no other word is looked for among the starters."""
+
+    def words(x: Column) -> Column:
+        marks = x["marks"]
+        pairs = F.transform(_cuts(marks), lambda i: F.struct(F.get(marks, i - 1)["last"].alias("before"), F.get(marks, i)["first"].alias("after")))
+        found = F.filter(pairs, lambda x: ~x["before"].rlike(CALL_END) & x["after"].rlike(CAPITAL) & _abbreviated(word_of(x["before"]), short))
+        return F.transform(found, lambda x: x["after"])
+
+    tokens = df.select(F.explode(_once(_marked(F.col(text)), words)).alias("token")).distinct()
+    return tokens.select(word_of(F.col("token")).alias("word")).distinct()
+
+
+def _listed(df: DataFrame, model: Boundaries, text: str) -> tuple[list[str], list[str]] | None:
+    """Abbreviations, and those starters that ``df`` needs, where they are few enough for an expression."""
+    if model.listed is not None:
+        return model.listed
+    if model.abbreviations.count() > model.listed_words:
+        return None
+    short = sorted(r["word"] for r in model.abbreviations.collect())
+    needed = model.starters.join(_doubtful(df, _among(short), text), "word", "left_semi")
+    starters = sorted(r["word"] for r in needed.limit(model.listed_words + 1).collect())
+    return (short, starters) if len(short) + len(starters) <= model.listed_words else None
+
+
 def add_sentences(df: DataFrame, model: Boundaries, text: str = "text", column: str = "sentences") -> DataFrame:
     """``df`` with the sentences of a text as an array; a null text has none.
 
-    Few learned words are part of the expression and nothing leaves the row.  Too many for that are joined to the
+    Few learned words are part of the expression and nothing leaves the row.  Of too many, those that decide something
+    in these texts are found by a pass over them first.  If these are too many as well, words are joined to the
     places in question, and only row numbers and places are shuffled before the texts meet them.
     """
-    if model.listed is not None:
-        short, starters = (_among(words) for words in model.listed)
+    listed = _listed(df, model, text)
+    if listed is not None:
+        short, starters = (_among(words) for words in listed)
 
         def split(x: Column) -> Column:
-            pieces, marks = x["pieces"], x["marks"]
-            cuts = F.when(F.size(pieces) > 1, F.sequence(F.lit(1), F.size(pieces) - 1)).otherwise(F.array().cast("array<int>"))
-            real = F.filter(cuts, lambda i: _ends(F.get(marks, i - 1)["last"], F.get(marks, i)["first"], short, starters))
-            return _once(real, lambda ends: _sentences(pieces, ends))
-
-        def marked(pieces: Column) -> Column:
-            marks = F.transform(pieces, lambda p: F.struct(_last(p).alias("last"), _first(p).alias("first")))
-            return _once(F.struct(pieces.alias("pieces"), marks.alias("marks")), split)
+            return _once(_real_cuts(x["marks"], short, starters), lambda ends: _sentences(x["pieces"], ends))
 
-        return df.withColumn(column, _once(_pieces(F.col(text)), marked))
+        return df.withColumn(column, _once(_marked(F.col(text)), split))
     numbered = shared.materialise(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    pieces = numbered.select("_row", _pieces(F.col(text)).alias("p")).select("_row", "p", F.posexplode("p").alias("i", "piece"))
-    places = pieces.where("i > 0").select("_row", "i", _last(F.get("p", F.col("i") - 1)).alias("before"), _first(F.col("piece")).alias("after"))
+
+    def pairs(x: Column) -> Column:
+        def pair(i: Column) -> Column:
+            return F.struct(i.alias("i"), F.get(x["marks"], i - 1)["last"].alias("before"), F.get(x["marks"], i)["first"].alias("after"))
+
+        return F.transform(_cuts(x["marks"]), pair)
+
+    # A place by itself: no row carries its text along.
+    places = numbered.select("_row", F.explode(_once(_marked(F.col(text)), pairs)).alias("x")).select("_row", "x.*")
     places = places.withColumns({"_short": word_of(F.col("before")), "_starter": word_of(F.col("after"))})
     for table, key in ((model.abbreviations, "_short"), (model.starters, "_starter")):
         known = table.select(F.col("word").alias(key), F.lit(True).alias(f"{key}_known"))

@@ -160,3 +160,23 @@ def test_texts_are_read_once_for_each_count(spark):
     rows = spark.createDataFrame([("Ask Dr. Smith. The end.",), ("He left. The door.",)], "text string").coalesce(1)
     boundaries.scored_words(rows.select(F.udf(seen)("text").alias("text")))[1].collect()
     assert read.value == 4
+
+
+def test_many_starters_of_which_few_are_needed(spark, texts):
+    """Starters beyond the limit stay outside the expression unless they stand after an abbreviation; texts stay in place."""
+    short, starters = learned(corpus())
+    extra = spark.createDataFrame([(f"never{i}",) for i in range(50)], "word string")
+    limit = len(short) + len(starters)
+    model = boundaries.learn(texts)
+    many = boundaries.Boundaries(model.abbreviations, model.starters.union(extra), None, limit)
+    got = boundaries.add_sentences(texts, many).select("row_id", "sentences")
+    assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    expected = {i: split(t, short, starters) for i, t in enumerate(corpus())}
+    assert {r["row_id"]: [" ".join(tokens(s)) for s in r["sentences"]] for r in got.collect()} == expected
+
+
+def test_places_do_not_carry_their_text(spark):
+    """Beyond the limit, what is exploded grows with the text: no place holds all pieces."""
+    df = spark.createDataFrame([("Dr. Smith came. " * 20_000,)], "text string")
+    model = boundaries.Boundaries(*(spark.createDataFrame([(w,)], "word string") for w in ("dr", "smith")), None, 0)
+    assert len(boundaries.add_sentences(df, model).first()["sentences"]) == 40_000
