@@ -86,11 +86,21 @@ def ask(
                 pass
         return [one(backend, p) for p in prompts]
 
+    def listed(column: pa.ListArray) -> list[list[dict]]:
+        """The messages of each prompt; field by field, for value by value takes several times as long."""
+        flat = column.flatten()
+        if column.null_count or flat.null_count:
+            return column.to_pylist()
+        names = [field.name for field in flat.type]
+        found = [dict(zip(names, values)) for values in zip(*(part.to_pylist() for part in flat.flatten()))]
+        offsets = column.offsets.to_pylist()
+        return [found[a - offsets[0] : b - offsets[0]] for a, b in itertools.pairwise(offsets)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         backend = None
         for rows in batches:
             hashes = rows.column("prompt_hash").to_pylist()
-            messages = rows.column("messages").to_pylist()
+            messages = listed(rows.column("messages"))
             replies: list[str] = []
             for start in range(0, len(messages), batch):
                 backend = backend or make_backend()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from factgrade import fixed
 from factgrade.functions.text import tokens
 from factgrade.operators import skew
+from factgrade.sources import shared
 
 # Splitting at single spaces never yields a token that holds a space, so this one is free.
 PAD = " "
@@ -95,37 +96,48 @@ def term_weights(examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> Weights:
     return Weights(scored.unionByName(pads), small)
 
 
-def top_examples(
-    sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN, weights: Weights | None = None
-) -> DataFrame:
-    """(sentence, rank, example_id, score) for each distinct sentence; ties go to the higher id.
+def _numbered(sentences: DataFrame) -> DataFrame:
+    """(_id, sentence): the distinct sentences, stored so that their numbers stay, and spread by number.
 
-    Repeats are dropped first.  The sentences left are spread over more partitions than the shuffle made,
-    because each grows by the number of examples it shares a term with; from there on scoring and ranking stay
-    in the partition.
+    They go to more partitions than the shuffle made, because each sentence grows by the number of examples it shares a
+    term with; from there on scoring and ranking stay in the partition, on numbers instead of texts.
     """
-    weights = weights or term_weights(examples, n)
     asked = sentences.select("sentence").where(F.col("sentence").isNotNull()).distinct()
-    asked = asked.repartition(FAN_OUT * skew.shuffle_partitions(asked), "sentence")
-    query = asked.select("sentence", F.explode(F.concat(tokens("sentence"), F.array(F.lit(PAD)))).alias("term"))
+    asked = shared.materialise(asked.withColumn("_id", F.monotonically_increasing_id()).select("_id", "sentence"), "asked")
+    return asked.repartition(FAN_OUT * skew.shuffle_partitions(asked), "_id")
+
+
+def _best(asked: DataFrame, n: int, weights: Weights) -> DataFrame:
+    """(_id, rank, example_id, score)."""
+    query = asked.select("_id", F.explode(F.concat(tokens("sentence"), F.array(F.lit(PAD)))).alias("term"))
     scored = (
         skew.lookup_join(query, weights.table, ["term"], "inner", small=weights.small)
-        .groupBy("sentence", "example_id")
+        .groupBy("_id", "example_id")
         .agg(F.round(F.sum("weight"), 6).alias("score"))
     )
-    best = Window.partitionBy("sentence").orderBy(F.desc("score"), F.desc("example_id"))
-    return (
-        scored.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= n)
-        .select("sentence", "rank", "example_id", "score")
-    )
+    best = Window.partitionBy("_id").orderBy(F.desc("score"), F.desc("example_id"))
+    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).select("_id", "rank", "example_id", "score")
+
+
+def top_examples(
+    sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN, weights: Weights | None = None
+) -> DataFrame:
+    """(sentence, rank, example_id, score) for each distinct sentence; ties go to the higher id.
+
+    Repeats are dropped first.
+    """
+    asked = _numbered(sentences)
+    best = _best(asked, n, weights or term_weights(examples, n))
+    return best.join(asked.hint("merge"), "_id").select("sentence", "rank", "example_id", "score")
 
 
 def with_examples(sentences: DataFrame, examples: DataFrame, n: int = fixed.EXAMPLES_SHOWN) -> DataFrame:
     """(sentence, examples): each distinct sentence with its best examples, best first."""
     weights = term_weights(examples, n)
-    chosen = top_examples(sentences, examples, n, weights)
+    asked = _numbered(sentences)
+    chosen = _best(asked, n, weights)
     texts = examples.select("example_id", F.struct("sentence", "facts").alias("shown"))
     listed = skew.lookup_join(chosen, texts, ["example_id"], "inner", small=weights.small)
     ranked = F.sort_array(F.collect_list(F.struct("rank", "shown")))
-    return listed.groupBy("sentence").agg(F.transform(ranked, lambda r: r["shown"]).alias("examples"))
+    shown = listed.groupBy("_id").agg(F.transform(ranked, lambda r: r["shown"]).alias("examples"))
+    return shown.join(asked.hint("merge"), "_id").select("sentence", "examples")

@@ -66,3 +66,12 @@ def test_sentences_are_shuffled_not_pairs(spark):
     above_join = plan.split("BroadcastHashJoin")[0]
     assert "Exchange" not in above_join
     assert "WindowGroupLimit" in above_join
+
+
+def test_scores_are_summed_by_number(spark):
+    """Neither scores nor ranks are keyed by the text of a sentence."""
+    examples = spark.createDataFrame(list(enumerate(CORPORA["plain"])), "example_id int, sentence string")
+    asked = spark.createDataFrame([(q,) for q in QUESTIONS], "sentence string")
+    weights = retrieve.Weights(retrieve.term_weights(examples).table, True)
+    plan = retrieve.top_examples(asked, examples, weights=weights)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[_id" in plan and "keys=[sentence" not in plan
