@@ -12,17 +12,17 @@ where they are.  A chunk's own vocabulary is joined to the ranks, so that no tas
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factgrade.llm.common import materialise, remainder, space_words
+from factgrade.llm.common import materialise, remainder
 from factgrade.sources.storage import remove, shared_folder
 
 FOLDS, HELD_OUT = 7, 2
@@ -44,11 +44,10 @@ ROW_TOKENS, LEAST_ROWS, MOST_ROWS = 256, 16, 22
 TAIL_ROUNDS, TAIL_SMOOTHING = 2, 1.0
 #: Training tokens under which a class of tail words isn't parted further; in it each word has its share.
 CLASS_MASS = 64
-#: Places whose way through the tree is worked out at a time.
-TAIL_STEP = 100_000
-STEP = 65_536
-#: The end of a text; no word is empty.
-END = b""
+#: Tokens of texts that are laid end to end, and places of these whose way through the tree is worked out at a time.
+TEXT_STEP, TAIL_STEP = 500_000, 32_768
+#: Events that are summed, and pairs of contexts whose probabilities are worked out, at a time.
+EVENT_STEP, PAIR_STEP = 1_000_000, 4096
 
 
 def is_held_out():
@@ -61,15 +60,27 @@ def pressed(numbers: np.ndarray) -> bytes:
     return len(numbers).to_bytes(4, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def restored(data: bytes, kind: type) -> np.ndarray:
-    n, width = int.from_bytes(data[:4], "little"), np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data[4:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+def restored(blobs: list[bytes], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of some ``pressed`` arrays, laid end to end, and how many each has."""
+    sizes, width = np.array([int.from_bytes(x[:4], "little") for x in blobs], dtype=np.int64), np.dtype(kind).itemsize
+    planes = [np.frombuffer(pa.decompress(x[4:], n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n) for x, n in zip(blobs, sizes.tolist())]
+    numbers = np.empty((sizes.sum(), width), dtype=np.uint8)
+    for k, plane in enumerate(np.concatenate(planes, axis=1)):
+        numbers[:, k] = plane
+    return numbers.view(kind).ravel(), sizes
 
 
 # ---- counting
 
 
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts, and where those of each text end; an empty token is the end of a text, no word is empty."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    # A space at the end of a text leaves an empty word after it, as the empty text has by itself.
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), "", pc.binary_join_element_wise(trimmed, "", " ")))
+    return lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+
+
 def chunked(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """Documents as ids of their chunk's vocabulary, and the vocabularies with counts over training texts.
 
@@ -80,52 +91,50 @@ def chunked(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
         [("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("at", pa.int32()), ("token", pa.binary()), ("n", pa.int64())]
     )
 
-    def packed(kind: str, chunk: int, rows: int, **columns: list | np.ndarray) -> pa.RecordBatch:
+    def packed(kind: str, chunk: int, rows: int, **columns: list | np.ndarray | pa.Array) -> pa.RecordBatch:
         given = {"kind": [kind] * rows, "chunk": [chunk] * rows, **columns}
         return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(rows, f.type) for f in arrow], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        known: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        counts = np.zeros(1024, dtype=np.int64)
+        rows: list[pa.RecordBatch] = []
+        tokens: list[pa.Array] = []
+        sizes: list[np.ndarray] = []
         size = 0
 
-        def vocabulary() -> Iterator[pa.RecordBatch]:
-            tokens = list(known)
-            for a in range(0, len(tokens), 50_000):
-                part = tokens[a : a + 50_000]
-                yield packed("words", number, len(part), at=np.arange(a, a + len(part), dtype=np.int32), token=part, n=counts[a : a + len(part)])
+        def chunk() -> Iterator[pa.RecordBatch]:
+            coded = pa.chunked_array(tokens).combine_chunks().dictionary_encode()
+            numbers, known = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary())
+            trained = np.repeat([not h for part in rows for h in part.column("held_out").to_pylist()], np.concatenate(sizes))
+            counts = np.bincount(numbers[trained], minlength=len(known))
+            ends = np.cumsum(np.concatenate(sizes))
+            for part in rows:
+                mine, ends = ends[: part.num_rows], ends[part.num_rows :]
+                ids = [pressed(x) for x in np.split(numbers[: mine[-1]], mine[:-1])]
+                numbers, ends = numbers[mine[-1] :], ends - mine[-1]
+                yield packed("texts", number, part.num_rows, doc_id=part.column("doc_id"), held_out=part.column("held_out"), ids=ids)
+            for a in range(0, len(known), 50_000):
+                some = known.slice(a, 50_000)
+                yield packed("words", number, len(some), at=np.arange(a, a + len(some), dtype=np.int32), token=some, n=counts[a : a + len(some)])
 
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids, held, texts = (part.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
-                rows: list[bytes] = []
-                first = 0
-                for k, text in enumerate(texts):
-                    words = space_words(text)
-                    words.append(END)
-                    numbers = np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
-                    if not held[k]:
-                        if len(known) > len(counts):
-                            counts = np.concatenate([counts, np.zeros(max(len(counts), len(known)), dtype=np.int64)])
-                        there = np.bincount(numbers)
-                        counts[: len(there)] += there
-                    rows.append(pressed(numbers))
-                    size += len(words)
+                words, ends = tokens_of(part.column("text"))
+                part, first, begin = part.select(["doc_id", "held_out"]), 0, 0
+                while first < part.num_rows:
+                    # Up to the text that fills the chunk, or all that are left.
+                    last = min(int(np.searchsorted(ends, begin + CHUNK_TOKENS - size)) + 1, part.num_rows)
+                    rows.append(part.slice(first, last - first))
+                    tokens.append(words.slice(begin, ends[last - 1] - begin))
+                    sizes.append(np.diff(ends[first:last], prepend=begin))
+                    size += int(ends[last - 1]) - begin
+                    first, begin = last, int(ends[last - 1])
                     if size >= CHUNK_TOKENS:
-                        if len(known) > len(counts):
-                            counts = np.concatenate([counts, np.zeros(len(known), dtype=np.int64)])
-                        yield packed("texts", number, len(rows), doc_id=ids[first : k + 1], held_out=held[first : k + 1], ids=rows)
-                        yield from vocabulary()
-                        number, size, rows, first = number + 1, 0, [], k + 1
-                        known, counts = defaultdict(itertools.count().__next__), np.zeros(1024, dtype=np.int64)
-                if rows:
-                    yield packed("texts", number, len(rows), doc_id=ids[first:], held_out=held[first:], ids=rows)
-        if known:
-            if len(known) > len(counts):
-                counts = np.concatenate([counts, np.zeros(len(known), dtype=np.int64)])
-            yield from vocabulary()
+                        yield from chunk()
+                        number, size, rows, tokens, sizes = number + 1, 0, [], [], []
+        if rows:
+            yield from chunk()
 
     flat = docs.select("doc_id", is_held_out().alias("held_out"), "text").mapInArrow(run, schema)
     flat.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
@@ -161,12 +170,34 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def group_of(target: np.ndarray) -> np.ndarray:
+    """Classes of words; the tail is a class by itself."""
+    return np.where(target >= HEAD, CLASSES, target // CLASS_WORDS)
+
+
+def row_sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    total = table.take(rows[0], 0)
+    for r in rows[1:]:
+        total += table.take(r, 0)
+    return total
+
+
+def unknown(known: np.ndarray, keys: np.ndarray) -> Iterator[np.ndarray]:
+    """The distinct keys that aren't known yet, ``PAIR_STEP`` at a time; they are known from now on."""
+    here = np.zeros(len(known), dtype=bool)
+    here[keys] = True
+    new = np.flatnonzero(here & ~known)
+    known[new] = True
+    return (new[a : a + PAIR_STEP] for a in range(0, len(new), PAIR_STEP))
+
+
 class Weights:
     """One row per feature: columns for the classes, then for the words of each class."""
 
     def __init__(self, table: np.ndarray, head: list[bytes]) -> None:
         self.table, self.head = table, head
         self.rank = {t: k for k, t in enumerate(head)}
+        self.rows = None
 
     def split(self) -> tuple[np.ndarray, np.ndarray]:
         classes = np.ascontiguousarray(self.table[:, : CLASSES + 1])
@@ -175,44 +206,67 @@ class Weights:
     def log_probability(self, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probabilities of words, for tails that of their class."""
         classes, words = self.split()
-        group = np.minimum(target // CLASS_WORDS, CLASSES)
-        group[target >= HEAD] = CLASSES
-        total = classes[rows[0]]
-        for r in rows[1:]:
-            total += classes[r]
-        out = log_softmax(total)[np.arange(len(target)), group].astype(np.float64)
+        group = group_of(target)
+        out = log_softmax(row_sums(classes, rows))[np.arange(len(target)), group].astype(np.float64)
         inside = np.flatnonzero(group < CLASSES)
         if len(inside):
-            at = rows[:, inside] * CLASSES + group[inside]
-            total = words[at[0]]
-            for r in at[1:]:
-                total += words[r]
+            total = row_sums(words, rows[:, inside] * CLASSES + group[inside])
             out[inside] += log_softmax(total)[np.arange(len(inside)), target[inside] % CLASS_WORDS]
         return out
 
-    def statistics(self, rows: np.ndarray, target: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Observed and expected counts of (feature, column) over events that occur ``n`` times."""
+    def at_places(self, before: np.ndarray, second: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """``log_probability`` of words after pairs of contexts; what depends on the pair alone is worked out once for each."""
+        if self.rows is None:
+            pairs = CONTEXTS * CONTEXTS
+            self.rows = feature_rows(*np.divmod(np.arange(pairs), CONTEXTS)).astype(np.int32)
+            self.classes, self.words = self.split()
+            self.known, self.known_inside = np.zeros(pairs, dtype=bool), np.zeros(pairs * CLASSES, dtype=bool)
+            self.log_class = np.empty((pairs, CLASSES + 1), dtype=np.float32)
+            self.most, self.log_sum = (np.empty(pairs * CLASSES, dtype=np.float32) for _ in range(2))
+        pair, group = before * CONTEXTS + second, group_of(target)
+        for some in unknown(self.known, pair):
+            self.log_class[some] = log_softmax(row_sums(self.classes, self.rows[:, some]))
+        out = self.log_class.ravel().take(pair * (CLASSES + 1) + group).astype(np.float64)
+        inside = np.flatnonzero(group < CLASSES)
+        pair, target = pair[inside], target[inside]
+        at = pair * CLASSES + group[inside]
+        for some in unknown(self.known_inside, at):
+            total = row_sums(self.words, self.rows[:, some // CLASSES] * np.int64(CLASSES) + some % CLASSES)
+            self.most[some] = total.max(1)
+            self.log_sum[some] = np.log(np.exp(total - self.most[some][:, None]).sum(1))
+        total = row_sums(self.words.ravel(), self.rows[:, pair] * np.int64(WORDS_WIDTH) + target)
+        out[inside] += total - self.most[at] - self.log_sum[at]
+        return out
+
+    def observed(self, rows: np.ndarray, target: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Counts of (feature, column) over events that occur ``n`` times."""
+        seen = np.zeros_like(self.table, dtype=np.float64)
+        group = group_of(target)
+        inside = np.flatnonzero(group < CLASSES)
+        for r in rows:
+            seen += np.bincount(r * COLUMNS + group, n, seen.size).reshape(seen.shape)
+            seen += np.bincount(r[inside] * COLUMNS + CLASSES + 1 + target[inside], n[inside], seen.size).reshape(seen.shape)
+        return seen
+
+    def expected(self, pair: np.ndarray, group: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """What the model expects of ``observed`` where a word of the class ``group`` follows a pair of contexts ``n`` times."""
         classes, words = self.split()
-        seen, expected = np.zeros_like(self.table, dtype=np.float64), np.zeros_like(self.table, dtype=np.float64)
-        group = np.minimum(target // CLASS_WORDS, CLASSES)
-        group[target >= HEAD] = CLASSES
-        p = np.exp(log_softmax(sum(classes[r] for r in rows))) * n[:, None]
         wide = CLASSES + 1
+        out, size = np.zeros_like(self.table, dtype=np.float64), len(self.table)
         inside = np.flatnonzero(group < CLASSES)
-        q = np.empty((0, CLASS_WORDS))
-        if len(inside):
-            q = np.exp(log_softmax(sum(words[r[inside] * CLASSES + group[inside]] for r in rows))) * n[inside, None]
-        size = len(self.table)
+        rows = feature_rows(*np.divmod(pair[inside], CONTEXTS)) * CLASSES + group[inside]
+        q = np.exp(log_softmax(row_sums(words, rows))) * n[inside, None]
+        for r in rows:
+            flat = (r[:, None] * CLASS_WORDS + np.arange(CLASS_WORDS)).ravel()
+            out[:, wide:] += np.bincount(flat, q.ravel(), size * WORDS_WIDTH).reshape(size, WORDS_WIDTH)
+        n = np.bincount(pair, n, CONTEXTS * CONTEXTS)
+        pair = np.flatnonzero(n)
+        rows = feature_rows(*np.divmod(pair, CONTEXTS))
+        p = np.exp(log_softmax(row_sums(classes, rows))) * n[pair, None]
         for r in rows:
             flat = (r[:, None] * wide + np.arange(wide)).ravel()
-            expected[:, :wide] += np.bincount(flat, p.ravel(), size * wide).reshape(size, wide)
-            seen[:, :wide] += np.bincount(r * wide + group, n, size * wide).reshape(size, wide)
-            if len(inside):
-                at = (r[inside] * CLASSES + group[inside]) * CLASS_WORDS
-                flat = (at[:, None] + np.arange(CLASS_WORDS)).ravel()
-                expected[:, wide:] += np.bincount(flat, q.ravel(), size * WORDS_WIDTH).reshape(size, WORDS_WIDTH)
-                seen[:, wide:] += np.bincount(at + target[inside] % CLASS_WORDS, n[inside], size * WORDS_WIDTH).reshape(size, WORDS_WIDTH)
-        return seen, expected
+            out[:, :wide] += np.bincount(flat, p.ravel(), size * wide).reshape(size, wide)
+        return out
 
 
 def places(contexts: np.ndarray, starts: np.ndarray, none: int = START) -> tuple[np.ndarray, np.ndarray]:
@@ -265,9 +319,10 @@ class Tail:
         run = np.clip(np.searchsorted(self.mass, mass, "right") - 1, 0, len(self.each) - 1)
         return np.rint(self.first[run] + (mass - self.mass[run]) / self.each[run]).astype(np.int64)
 
-    def walk(self, codes: np.ndarray, before: np.ndarray, second: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, ...]]:
-        """From the root down: the places still on their way, their rows of a table of ``size``, their turn and its bias.
+    def walk(self, codes: np.ndarray, before: np.ndarray, second: np.ndarray, size: int) -> Iterator[tuple]:
+        """From the root down: the places still on their way, their rows of a table of ``size``, the nodes' turns and bias.
 
+        ``codes`` ascend, so that the places at a node are a range, and turns are how many of them go left and right.
         The features of a node are the token before, the skip and both; the bias is the logarithm of the masses' ratio.
         At the end it yields the places' shares of their last classes.
         """
@@ -275,62 +330,93 @@ class Tail:
         x, y = before.astype(np.uint64), second.astype(np.uint64)
         features = [mixed(v).astype(np.uint32) for v in (x + np.uint64(1 << 40), y + np.uint64(2 << 40), mixed(x) + y)]
         shift = np.uint32(33 - size.bit_length())
-        at, going = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64)
+        at: np.ndarray | slice = slice(None)
         last = np.zeros(len(codes))
-        low, high = np.array([0]), self.first[-1:]
-        while len(at):
-            # Nodes that are reached here, a place's ``going`` is one of them.
+        # Nodes that are reached here: their ranges of codes, and how many places each has.
+        low, high, own = np.array([0]), self.first[-1:], np.array([len(codes)])
+        while True:
             light, heavy = self.below(low), self.below(high)
             open_ = (high - low > 1) & (heavy - light > CLASS_MASS)
-            ends = np.flatnonzero(~open_[going])
-            if len(ends):
-                last[at[ends]] = (heavy - light)[going[ends]]
-                more = np.flatnonzero(open_[going])
-                at, going, place, features = at[more], going[more], place[more], [f[more] for f in features]
-                if not len(at):
-                    break
-            cut = np.minimum(np.maximum(self.nearest((light + heavy) / 2), low + 1), np.maximum(high - 1, low))
+            if not open_.all():
+                stay = np.repeat(open_, own)
+                at = np.arange(len(codes))[at]
+                last[at[~stay]] = np.repeat((heavy - light)[~open_], own[~open_])
+                more = np.flatnonzero(stay)
+                at, place, features = at[more], place[more], [f[more] for f in features]
+                low, high, light, heavy, own = (v[open_] for v in (low, high, light, heavy, own))
+            if not len(place):
+                break
+            cut = np.minimum(np.maximum(self.nearest((light + heavy) / 2), low + 1), high - 1)
             middle = self.below(cut)
             bias = np.log(np.maximum(heavy - middle, 1e-9) / np.maximum(middle - light, 1e-9)).astype(np.float32)
-            node = mixed(mixed(low.astype(np.uint64)) + high.astype(np.uint64)).astype(np.uint32)[going]
-            right = place >= cut[going]
-            rows = [(((f ^ node) * np.uint32(0x9E3779B1)) >> shift).astype(np.int64) for f in features]
-            yield at, rows, right, bias[going]
-            child = 2 * going + right
-            used = np.zeros(2 * len(low), dtype=bool)
-            used[child] = True
-            going = (np.cumsum(used) - 1)[child]
-            low, high = np.stack([low, cut], 1).ravel()[used], np.stack([cut, high], 1).ravel()[used]
-        yield np.arange(len(codes)), last
+            node = np.repeat(mixed(mixed(low.astype(np.uint64)) + high.astype(np.uint64)).astype(np.uint32), own)
+            left = np.searchsorted(place, cut) - np.cumsum(own) + own
+            turns = np.stack([left, own - left], 1).ravel()
+            rows = []
+            for f in features:
+                h = f ^ node
+                h *= np.uint32(0x9E3779B1)
+                rows.append(np.right_shift(h, shift, out=np.empty(len(h), dtype=np.int64), casting="unsafe"))
+            yield at, rows, turns, bias
+            used = turns > 0
+            low, high, own = np.stack([low, cut], 1).ravel()[used], np.stack([cut, high], 1).ravel()[used], turns[used]
+        yield slice(None), last
+
+    @staticmethod
+    def by_code(codes: np.ndarray) -> Iterator[np.ndarray]:
+        """Places in order of their codes, ``TAIL_STEP`` at a time: those of a step share most of their nodes."""
+        order = np.argsort(codes)
+        return (order[a : a + TAIL_STEP] for a in range(0, len(order), TAIL_STEP))
+
+    @staticmethod
+    def rightward(turns: np.ndarray) -> np.ndarray:
+        return np.repeat(np.arange(len(turns)) % 2 == 1, turns)
+
+    @staticmethod
+    def logits(table: np.ndarray, rows: list[np.ndarray], turns: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        x = np.repeat(bias, turns[::2] + turns[1::2])
+        for r in rows:
+            x += table.take(r, mode="clip")
+        return x
 
     def log_probability(self, table: np.ndarray, codes: np.ndarray, before: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Natural log-probabilities of words given that they are of the tail."""
         out = np.zeros(len(codes))
-        for a in range(0, len(codes), TAIL_STEP):
-            part, own = out[a : a + TAIL_STEP], codes[a : a + TAIL_STEP]
-            for at, *turn in self.walk(own, before[a : a + TAIL_STEP], second[a : a + TAIL_STEP], len(table)):
+        for some in self.by_code(codes):
+            own = codes[some]
+            part = np.zeros(len(some))
+            for at, *turn in self.walk(own, before[some], second[some], len(table)):
                 if len(turn) == 1:
                     part += np.log((self.count(own) + 1) / turn[0])
                     continue
-                rows, right, bias = turn
-                against = bias + table[rows[0]] + table[rows[1]] + table[rows[2]]
-                against[right] *= -1
-                part[at] -= np.maximum(against, 0) + np.log1p(np.exp(-np.abs(against)))
+                rows, turns, bias = turn
+                against = self.logits(table, rows, turns, bias)
+                np.negative(against, out=against, where=self.rightward(turns))
+                small = np.abs(against)
+                np.log1p(np.exp(np.negative(small, out=small), out=small), out=small)
+                part[at] -= np.add(np.maximum(against, 0, out=against), small, out=small)
+            out[some] = part
         return out
 
     def add_statistics(self, total: np.ndarray, table: np.ndarray, codes: np.ndarray, before: np.ndarray, second: np.ndarray) -> None:
         """Adds the gradient and the curvature of the places to the two rows of ``total``."""
-        for a in range(0, len(codes), TAIL_STEP):
-            found: list[tuple[np.ndarray, ...]] = []
-            for _, *turn in self.walk(*(v[a : a + TAIL_STEP] for v in (codes, before, second)), len(table)):
+        known = table.any()
+        # Both go to the same row, so they are the two parts of one number: half the memory that is reached at random.
+        sums = np.zeros(len(table), dtype=np.complex64)
+        for some in self.by_code(codes):
+            for _, *turn in self.walk(codes[some], before[some], second[some], len(table)):
                 if len(turn) > 1:
-                    rows, right, bias = turn
-                    p = 1 / (1 + np.exp(-(bias + table[rows[0]] + table[rows[1]] + table[rows[2]])))
-                    found += [(r, right - p, p * (1 - p)) for r in rows]
-            if found:
-                rows, gradient, curvature = (np.concatenate(x) for x in zip(*found))
-                total[0] += np.bincount(rows, gradient, len(table))
-                total[1] += np.bincount(rows, curvature, len(table))
+                    rows, turns, bias = turn
+                    # Without weights the places of a node have one probability.
+                    p = 1 / (1 + np.exp(-(self.logits(table, rows, turns, bias) if known else np.repeat(bias, 2))))
+                    both = np.empty(len(p), dtype=np.complex64)
+                    both.real = (self.rightward(turns) if known else np.arange(len(turns)) % 2 == 1) - p
+                    both.imag = p * (1 - p)
+                    both = both if known else np.repeat(both, turns)
+                    for r in rows:
+                        np.add.at(sums, r, both)
+        total[0] += sums.real
+        total[1] += sums.imag
 
 
 def table_size(tokens: int) -> int:
@@ -340,7 +426,7 @@ def table_size(tokens: int) -> int:
 
 def tail_places(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     """Code, token before and skip of the tail words in some texts, the latter two as whole tokens."""
-    for _, codes, _, starts in laid_out(batch):
+    for _, codes, starts in laid_out(batch):
         before, second = places(codes.astype(np.int64) + 1, starts, 0)
         there = np.flatnonzero(codes >= HEAD)
         yield codes[there], before[there], second[there]
@@ -349,7 +435,7 @@ def tail_places(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
 def train_tail(coded: DataFrame, tail: Tail, tokens: int, rounds: int) -> np.ndarray:
     """The tail's weights after ``rounds`` gradient updates, each summed over the training places of all tasks."""
     table = np.zeros(table_size(tokens), dtype=np.float32)
-    chosen = coded.where(~F.col("held_out")).select("n_tokens", "codes", "letters")
+    chosen = coded.where(~F.col("held_out")).select("n_tokens", "codes")
     for _ in range(rounds):
         sent = coded.sparkSession.sparkContext.broadcast(table)
 
@@ -398,7 +484,8 @@ def count_events(coded: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
 
         for batch in batches:
-            for _, codes, contexts, starts in laid_out(batch):
+            for rows, codes, starts in laid_out(batch):
+                contexts = contexts_at(batch, rows, codes)
                 before, second = places(contexts, starts)
                 keys.append((before * CONTEXTS + second) * (HEAD + 1) + np.minimum(contexts, HEAD))
                 size += len(contexts)
@@ -430,31 +517,49 @@ def summed(partial: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["part"], np.float32) for r in sorted(rows, key=lambda r: r["shard"])]).astype(np.float64).reshape(shape)
 
 
-def summed_statistics(events: DataFrame, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """Observed and expected counts over all events: tasks sum theirs, then each of ``SHARDS`` parts is summed."""
+def by_class(events: DataFrame) -> DataFrame:
+    """Events with the same contexts and the same class of words taken together: all that the expected counts depend on."""
+    pair = F.floor(F.col("key") / (HEAD + 1)).cast("bigint")
+    group = F.floor((F.col("key") % (HEAD + 1)) / CLASS_WORDS)
+    group = F.when(F.col("key") % (HEAD + 1) >= HEAD, CLASSES).otherwise(group).cast("bigint")
+    return events.groupBy((pair * (CLASSES + 1) + group).alias("key")).agg(F.sum("n").alias("n"))
+
+
+def summed_statistics(events: DataFrame, weights: Weights, observed: bool) -> np.ndarray:
+    """Observed counts over all events, or expected ones over those ``by_class``: tasks sum theirs, then each of ``SHARDS`` parts is summed."""
     shape = weights.table.shape
     sent = events.sparkSession.sparkContext.broadcast((weights.table, weights.head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Weights(*sent.value)
-        total = np.zeros((2, *shape))
-        some = False
+        total = np.zeros(shape)
+
+        def add(some: list[pa.RecordBatch]) -> None:
+            key, n = (np.concatenate([b.column(c).to_numpy() for b in some]) for c in (0, 1))
+            pair, which = np.divmod(key, HEAD + 1 if observed else CLASSES + 1)
+            n = n.astype(np.float64)
+            if observed:
+                total[:] += model.observed(feature_rows(*np.divmod(pair, CONTEXTS)), which, n)
+            else:
+                total[:] += model.expected(pair, which, n)
+
+        waiting: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            key, n = batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy().astype(np.float64)
-            for a in range(0, len(key), 65_536):
-                some = True
-                k = key[a : a + 65_536]
-                pair, target = np.divmod(k, HEAD + 1)
-                before, second = np.divmod(pair, CONTEXTS)
-                seen, expected = model.statistics(feature_rows(before, second), target, n[a : a + 65_536])
-                total[0] += seen
-                total[1] += expected
-        if some:
+            if batch.num_rows:
+                waiting.append(batch)
+                size += batch.num_rows
+            if size >= EVENT_STEP:
+                add(waiting)
+                waiting, size = [], 0
+        if waiting:
+            add(waiting)
+        if total.any():
             yield shards(total)
 
-    out = summed(events.mapInArrow(run, "shard int, part binary"), (2, *shape))
+    out = summed(events.mapInArrow(run, "shard int, part binary"), shape)
     sent.unpersist()
-    return out[0], out[1]
+    return out
 
 
 def train(events: DataFrame, head: list[bytes], rounds: int = ROUNDS) -> Weights:
@@ -464,17 +569,17 @@ def train(events: DataFrame, head: list[bytes], rounds: int = ROUNDS) -> Weights
     empty = np.arange(CLASSES * CLASS_WORDS) >= len(head)
     weights.table[WIDTH, CLASSES + 1 :][empty] = -30
     weights.table[WIDTH, :CLASSES][empty.reshape(CLASSES, CLASS_WORDS).all(1)] = -30
-    for k in range(rounds):
-        seen, expected = summed_statistics(events, weights)
-        if not seen.any():
-            break
-        if k == 0:
-            # The bias starts at the frequencies themselves.
-            start = np.log(seen[WIDTH] + 0.1)
-            start[CLASSES + 1 :][empty] = -30
-            start[: CLASSES + 1][seen[WIDTH, : CLASSES + 1] == 0] = -30
-            weights.table[WIDTH] = start
-            continue
+    seen = summed_statistics(events, weights, True) if rounds else np.zeros(weights.table.shape)
+    if not seen.any():
+        return weights
+    # The bias starts at the frequencies themselves, as the first of the rounds.
+    start = np.log(seen[WIDTH] + 0.1)
+    start[CLASSES + 1 :][empty] = -30
+    start[: CLASSES + 1][seen[WIDTH, : CLASSES + 1] == 0] = -30
+    weights.table[WIDTH] = start
+    grouped = materialise(by_class(events), "classes") if rounds > 1 else events
+    for _ in range(rounds - 1):
+        expected = summed_statistics(grouped, weights, False)
         step = RATE * (seen - expected) / (np.maximum(seen, expected) + SMOOTHING)
         step[WIDTH, CLASSES + 1 :][empty] = 0
         weights.table += step.astype(np.float32)
@@ -496,7 +601,7 @@ def encode(texts: DataFrame, words: DataFrame, coded: DataFrame, tail: Tail, bas
         base = np.log10(c + 1.0) - np.log10(base_mass)
         rows = []
         for x in left["ids"]:
-            x = restored(x, np.int32)
+            x = restored([x], np.int32)[0]
             rows.append((len(x), int((c[x] > 0).sum()), float(base[x].sum()), pressed(code[x]), pressed(letters[x])))
         found = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "codes", "letters"])
         found.insert(0, "doc_id", left["doc_id"].to_numpy())
@@ -510,17 +615,19 @@ def encode(texts: DataFrame, words: DataFrame, coded: DataFrame, tail: Tail, bas
     return texts.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(run, schema)
 
 
-def laid_out(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-    """Some texts at a time, laid end to end: which rows, their codes and contexts, and where texts start."""
+def laid_out(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Some texts at a time, laid end to end: which rows, their codes, and where texts start."""
     done = batch.column("n_tokens").to_numpy().cumsum()
-    for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(done // TAIL_STEP)) + 1):
+    for at in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(done // TEXT_STEP)) + 1):
         if len(at):
             rows = slice(int(at[0]), int(at[-1]) + 1)
-            codes = [restored(x.as_py(), np.int32) for x in batch.column("codes")[rows]]
-            letters = [restored(x.as_py(), np.uint8) for x in batch.column("letters")[rows]]
-            starts = np.concatenate([[0], np.cumsum([len(x) for x in codes])[:-1]]).astype(np.int64)
-            codes = np.concatenate(codes)
-            yield rows, codes, contexts_of(codes, np.concatenate(letters)), starts
+            codes, sizes = restored(batch.column("codes")[rows].to_pylist(), np.int32)
+            yield rows, codes, np.cumsum(sizes) - sizes
+
+
+def contexts_at(batch: pa.RecordBatch, rows: slice, codes: np.ndarray) -> np.ndarray:
+    """The contexts of some texts, as ``laid_out`` gives them."""
+    return contexts_of(codes, restored(batch.column("letters")[rows].to_pylist(), np.uint8)[0])
 
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -550,13 +657,11 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         weights, head, tail_table = sent.value
         model = Weights(weights, head)
         for batch in batches:
-            for rows, codes, contexts, starts in laid_out(batch):
+            for rows, codes, starts in laid_out(batch):
+                contexts = contexts_at(batch, rows, codes)
                 before, second = places(contexts, starts)
                 target = np.minimum(contexts, HEAD)
-                log_p = np.empty(len(codes))
-                for a in range(0, len(codes), STEP):
-                    b = slice(a, a + STEP)
-                    log_p[b] = model.log_probability(feature_rows(before[b], second[b]), target[b])
+                log_p = model.at_places(before, second, target)
                 there = np.flatnonzero(codes >= HEAD)
                 before, second = places(codes.astype(np.int64) + 1, starts, 0)
                 log_p[there] += tail.log_probability(tail_table, codes[there], before[there], second[there])

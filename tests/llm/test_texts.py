@@ -8,9 +8,11 @@ from hashlib import sha256
 
 from llm import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from factgrade.llm import decontaminate, language, licenses, pieces, quality
+from factgrade.llm.common import space_words
 from factgrade.llm.queries import QUERIES
 
 
@@ -238,3 +240,40 @@ def test_tail_gradient_against_differences(monkeypatch):
     parts = np.zeros((2, 256))
     tail.add_statistics(parts, table, codes, before, second)
     assert np.allclose(parts, total, atol=1e-3)
+
+
+def test_tokens_are_those_of_the_words(spark):
+    """Arrow's split gives the tokens of ``space_words``, with an empty one at the end of each text."""
+    texts = ["", None, " ", "One  two\x0b\x0cOne ", "\t\x1f\x85\xa0É x y\r\n", "".join(f"a{chr(c)}" for c in range(1, 128))]
+    tokens, ends = language.tokens_of(pa.array(texts, pa.string()))
+    assert [[t.encode() for t in part] for part in np.split(np.array(tokens.to_pylist(), object), ends[:-1])] == [[*space_words(t), b""] for t in texts]
+
+
+def test_head_pairs_are_scored_once_and_alike():
+    rng = np.random.default_rng(2)
+    model = language.Weights(rng.normal(size=(language.WIDTH + 1, language.COLUMNS)).astype(np.float32), [])
+    before, second = rng.integers(0, 40, 5000), rng.integers(0, language.CONTEXTS, 5000)
+    target = rng.integers(0, language.HEAD + 1, 5000)
+    expected = model.log_probability(language.feature_rows(before, second), target)
+    for part in (slice(0, 3000), slice(2000, 5000)):
+        assert np.allclose(model.at_places(before[part], second[part], target[part]), expected[part], atol=1e-5)
+    n = rng.integers(1, 9, 5000).astype(float)
+    seen = model.observed(language.feature_rows(before, second), target, n)
+    expected = model.expected(before * language.CONTEXTS + second, language.group_of(target), n)
+    # In each row the classes, and the words of each class, are expected as often as they are seen there.
+    assert np.allclose(expected[:, : language.CLASSES + 1].sum(1), seen[:, : language.CLASSES + 1].sum(1))
+    words = [x[:, language.CLASSES + 1 :].reshape(-1, language.CLASSES, language.CLASS_WORDS).sum(2) for x in (seen, expected)]
+    assert np.allclose(*words)
+
+
+def test_places_of_a_node_are_a_range():
+    """At a step the tree's nodes are worked out once, not for each place, however the places are ordered."""
+    rng = np.random.default_rng(6)
+    tail = language.Tail([(900, 250), (500, 3), (40, 5), (7, 30), (2, 100), (1, 400)], 255)
+    codes, before, second = rng.integers(255, 789, 3000), rng.integers(0, 9, 3000), rng.integers(0, 9, 3000)
+    table = rng.normal(size=1 << 10).astype(np.float32)
+    for some in tail.by_code(codes):
+        for _, *turn in tail.walk(codes[some], before[some], second[some], len(table)):
+            assert len(turn) == 1 or (len(turn[2]) == len(turn[1]) / 2 and len(turn[0][0]) == turn[1].sum())
+    alone = [tail.log_probability(table, *(v[k : k + 1] for v in (codes, before, second)))[0] for k in range(200)]
+    assert np.allclose(tail.log_probability(table, codes, before, second)[:200], alone)
